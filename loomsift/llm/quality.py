@@ -69,10 +69,10 @@ def _count(buckets: int):
         for batch in batches:
             for part in tk.pieces(batch, "text"):
                 bucket, row = _grams(part.column("text"), buckets)
-                raw += np.bincount(bucket, minlength=buckets)
+                np.add.at(raw, bucket, 1)
                 chosen = part.column("target").fill_null(False).to_numpy(zero_copy_only=False)
                 if chosen.any():
-                    target += np.bincount(bucket[chosen[row]], minlength=buckets)
+                    np.add.at(target, bucket[chosen[row]], 1)
         at = np.flatnonzero(raw)
         for i in range(0, len(at), 1 << 17):
             b = at[i : i + (1 << 17)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing, neardup, packing, quality
+from . import ann, htmlcrf, lblm, linededup, mixing, neardup, ogg, packing, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,23 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), scored=True)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lblm.score(_read(spark, sf_dir, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlcrf.extract(_read(spark, sf_dir, "pages"))
+
+
+def op4_ogg_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packets of a media column that holds every document as an Ogg file."""
+    return ogg.demux(ogg.media_table(_read(spark, sf_dir, "documents")))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
@@ -27,6 +44,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(_read(spark, sf_dir, "embeddings"), k=10)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), copy="copy")
 
@@ -37,13 +58,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_ogg_packets": op4_ogg_packets,
+    "op5_secret_scan": op5_secret_scan,
     "op6_packing": op6_packing,
     "op7_near_dedup": op7_near_dedup,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_secret_scan": secrets.SQL,
     "op9_mixing": mixing.SQL,
     "op10_line_dedup": linededup.SQL,
 }

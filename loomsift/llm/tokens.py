@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACE, WORD, PUNCT = 0, 1, 2
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -98,7 +98,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
     """64-bit hashes of the byte spans; equal bytes give equal hashes wherever they stand."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    size = 1 << max(23, int(len(data)).bit_length())
+    size = 1 << max(21, int(len(data)).bit_length())
     power, inverse = _powers(size)
     values = (LOWER[data] if lower else data).astype(np.uint64)
     values += np.uint64(1)
