@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import cut, table
+from .state import cut, small_batches, table
 
-TREES, SURE, BLOCK = 48, 0.96, 8192
+TREES, SURE, BLOCK = 48, 0.94, 8192
 _ROUTED = "g long, id long, query boolean, member boolean, vec binary"
 _FOUND = "id long, near array<long>, sim array<float>"
 
@@ -140,7 +140,11 @@ def _scan(k: int):
                 s[ids[part][:, None] == ids[there]] = -np.inf
                 if len(there) > k:
                     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                    # neighbours as similar as the k-th may be left out; the lesser id is preferred among those kept
+                    least = np.take_along_axis(s, top, 1).min(1)
+                    tied = (s >= least[:, None]).sum(1) > k
+                    for i in np.flatnonzero(tied & (least > -np.inf)):
+                        at_least = np.flatnonzero(s[i] >= least[i])
+                        top[i] = at_least[np.lexsort((ids[there][at_least], -s[i, at_least]))[:k]]
                     sims = np.take_along_axis(s, top, 1)
                 else:
                     top, sims = np.broadcast_to(np.arange(len(there)), s.shape), s
@@ -172,6 +176,7 @@ def _merge(k: int):
 def neighbours(vectors: DataFrame, k: int = 10, trees: int = TREES, sure: float = SURE, id_column: str = "vec_id", column: str = "embedding", group: int = 16) -> DataFrame:
     """(vec_id, rank, neighbour_id, similarity): the k nearest others of each vector, rank from 1."""
     spark = vectors.sparkSession
+    small_batches(spark)
     valid = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < 1e18))
     plain = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v")).where("id is not null").where(valid).withColumn("d", F.size("v"))
     common = plain.groupBy("d").count().orderBy(F.desc("count"), "d").first()

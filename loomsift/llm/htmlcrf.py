@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .state import small_batches
 from .tokens import pieces
 
 WIDTH = 1 << 13
@@ -136,7 +137,7 @@ def features(page: list[Block]) -> list[list[int]]:
             names.add("path " + "/".join(t for t, _ in path[-3:]))
             own = cache[b.path] = [_hash(n) for n in sorted(names)]
         n = len(b.text)
-        digits = sum(c.isdigit() for c in b.text[:200]) * 4 // min(n, 200)
+        digits = sum(map(b.text.count, "0123456789")) * 4 // n
         rest = (
             f"length {n.bit_length()}", f"words {(b.text.count(' ') + 1).bit_length()}", f"linked {b.linked * 4 // n}", f"digits {digits}",
             f"end {b.text[-1] if not b.text[-1].isalnum() else 'a'}", f"capital {b.text[0].isupper()}", f"place {i * 5 // len(page)}", f"from start {min(i, 4)}", f"from end {min(len(page) - 1 - i, 4)}",
@@ -269,12 +270,13 @@ def fit(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Crf:
 
 def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
     """(page_id, text, blocks, kept): the content blocks of each page, a line each. Rows pass by one at a time: no shuffle."""
+    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(fit(pages) if model is None else model)
     id_type = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "html", 2 << 20):
+            for part in pieces(batch, "html", 1 << 20):
                 found = [blocks(x) if x else [] for x in part.column("html").to_pylist()]
                 labels = viterbi(shared.value, [features(b) for b in found])
                 empty = [not x for x in part.column("html").to_pylist()]

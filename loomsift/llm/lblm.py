@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
+from .state import cut, small_batches
 
 UNK, BOS = 0, 1
 
@@ -99,31 +100,31 @@ def encode(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of word hashes over a partition, compacted now and then."""
+    """Counts of word hashes, added up over a million entries at a time."""
     h, n = [], []
 
-    def compact() -> None:
+    def compact() -> Iterator[pa.RecordBatch]:
         words, back = np.unique(np.concatenate(h), return_inverse=True)
-        h[:], n[:] = [words], [np.bincount(back.ravel(), weights=np.concatenate(n)).astype(np.int64)]
+        sums = np.bincount(back.ravel(), weights=np.concatenate(n)).astype(np.int64)
+        h.clear()
+        n.clear()
+        for at in range(0, len(words), 1 << 17):
+            yield pa.record_batch({"word": pa.array(words[at : at + (1 << 17)].view(np.int64)), "n": pa.array(sums[at : at + (1 << 17)])})
 
     for batch in batches:
         for part in tk.pieces(batch, "text"):
             words, counts = np.unique(_token_hashes(part.column("text"))[0], return_counts=True)
             h.append(words)
             n.append(counts)
-            if sum(map(len, h)) > 3_000_000:
-                compact()
+            if sum(map(len, h)) > 1_000_000:
+                yield from compact()
     if h:
-        compact()
-        for at in range(0, len(h[0]), 1 << 17):
-            yield pa.record_batch({"word": pa.array(h[0][at : at + (1 << 17)].view(np.int64)), "n": pa.array(n[0][at : at + (1 << 17)])})
+        yield from compact()
 
 
 def vocabulary(docs: DataFrame, p: Params) -> tuple[np.ndarray, np.ndarray]:
     """The most common words' hashes, and the unigram probabilities of all ids."""
     counts = docs.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    from .state import cut
-
     counts = cut(counts)
     total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.orderBy(F.desc("n"), "word").limit(p.vocabulary - 2).collect()
@@ -203,6 +204,7 @@ def _train(shared, p: Params):
 
 def fit(docs: DataFrame, p: Params = Params()) -> Model | None:
     """The model, trained on all documents; None if they have no word."""
+    small_batches(docs.sparkSession)
     words, unigram = vocabulary(docs, p)
     if not len(words):
         return None
@@ -252,6 +254,7 @@ def score(docs: DataFrame, model: Model | None = None, p: Params = Params()) ->
     model = fit(docs, p) if model is None else model
     if model is None:
         return docs.select("doc_id", F.lit(0).cast("long").alias("tokens"), F.lit(0.0).alias("log_prob"), F.lit(None).cast("double").alias("mean_log_prob"))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cuckoo import CuckooFilter
-from .state import cut, shared_dir
+from .state import cut, shared_dir, small_batches
 
 BLANK = r"^[ \t\r]*$"
 KEYS = ["hi", "lo"]
@@ -89,6 +89,7 @@ def _fresh(df: DataFrame, *names: str) -> list[str]:
 
 def strip(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs without the lines that `later` names. One shuffle of the texts, shared by the window and the join."""
+    small_batches(docs.sparkSession)
     names = _fresh(docs, "ld_none", "ld_doc", "ld_th", "ld_row", "ld_gone", "ld_text")
     none, doc, th, row, places, text = names
     keyed = docs.select("*", *[c.alias(n) for c, n in zip(_who(docs), (none, doc, th))])

@@ -39,7 +39,7 @@ from . import align
 from . import tokens as tk
 from .graph import components
 from .linededup import WHO, _fresh, _who
-from .state import cut, table
+from .state import cut, small_batches, table
 
 
 @dataclass(frozen=True)
@@ -205,6 +205,7 @@ def _across(p: Params):
 
 def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(none, doc, th, doc_id, keep_none, keep_doc, keep_th, keep_id, size) for each row of a group of two or more rows; keep_* is the row that stays."""
+    small_batches(docs.sparkSession)
     with ExitStack() as open_tables:
         texts = docs.select(*_who(docs), docs["doc_id"], docs["text"])
         sketched = open_tables.enter_context(table(texts.where("text is not null").mapInArrow(_sketch(p), f"none boolean, doc long, th long, doc_id {dict(docs.dtypes)['doc_id']}, n long, keys array<long>")))

@@ -27,6 +27,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .state import small_batches
+
 CONTINUED, BEGIN, END = 1, 2, 4
 _HEADER = struct.Struct("<4sBBqIIIB")
 _MIRROR = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
@@ -175,12 +177,13 @@ def text_as_media(text: str, serial: int) -> bytes:
 
 def media_table(docs: DataFrame) -> DataFrame:
     """(doc_id, media): each document's text as an Ogg file; null for a null text."""
+    small_batches(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
                 media = [None if t is None else text_as_media(t, zlib.crc32(repr(i).encode()) & 0x7FFFFFFF) for i, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(media, pa.binary())], names=["doc_id", "media"])
@@ -190,6 +193,7 @@ def media_table(docs: DataFrame) -> DataFrame:
 
 def demux(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
     """(key, serial, link, codec, packet, bytes, md5, granule, seconds, gap) for each complete packet. Rows pass by one at a time: no shuffle."""
+    small_batches(media.sparkSession)
     key_type = dict(media.dtypes)[key]
     schema = f"`{key}` {key_type}, serial long, link int, codec string, packet int, bytes int, md5 string, granule long, seconds double, gap boolean"
     kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.float64(), pa.bool_()]
@@ -197,8 +201,8 @@ def demux(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 rows, out = [], []
                 for i, value in enumerate(part.column(1)):
                     for serial, link, codec, number, packet, granule, seconds, gap in packets(value.as_py() or b""):

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
+from .state import cut, small_batches
 
 
 @dataclass(frozen=True)
@@ -115,6 +116,7 @@ def _gumbel(doc_id: Column, seed: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[Model, Column]:
     """The model, and the column of log weights to apply to docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     clean = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") >= 1).alias("q"), (F.max(F.coalesce("toxic", F.lit(0))) == 0).alias("t"))
     sample = (
         clean.select("doc_id", (F.col("q") & F.col("t")).alias("clean"), F.xxhash64("doc_id", F.lit(p.seed)).alias("h"))
@@ -170,8 +172,6 @@ def resample(docs: DataFrame, labels: DataFrame, p: Params = Params(), scored: b
     if np.isinf(model.limit):
         kept = docs.where(docs["text"].isNotNull())
     else:
-        from .state import cut
-
         both = cut(docs.select(weight.alias("w"), key.alias("key")).where("w is not null"))
         k = both.where(F.col("w") >= model.limit).count()
         kept = docs.where(key >= F.lit(kth_largest(both.select("key"), k))) if k else docs.limit(0)

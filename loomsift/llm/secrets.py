@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from . import tokens as tk
 from .automaton import BREAK, EDGE, Automaton
+from .state import small_batches
 
 RULES = {
     "assigned_token": EDGE + r"""(?:token|secret|passwd|password|api_key|apikey|access_key) ?[=:] ?["'][0-9A-Za-z_+/.-]{16,}={0,2}["']""",
@@ -90,6 +91,7 @@ def scan_texts(texts: pa.Array, rules: dict[str, str] = RULES, automata=None) ->
 
 def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """(doc_id, rule, nth, start, stop, md5) for every match; nth counts from 1 within document and rule. Rows pass by one at a time: no shuffle."""
+    small_batches(docs.sparkSession)
     names, id_type = list(rules), dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(compiled(tuple(rules.items())))  # its size is that of the rules
 

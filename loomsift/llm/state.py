@@ -28,6 +28,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of a few MB between the JVM and Python, however long the texts are, unless the session sets its own."""
+    for name, usual, small in (("maxBytesPerBatch", "67108864b", "4m"), ("maxRecordsPerBatch", "10000", "2000")):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key) == usual:
+            spark.conf.set(key, small)
+
+
 @contextmanager
 def table(df: DataFrame):
     """df written as Parquet to the shared folder; it is deleted at the end of the block."""
