@@ -1,10 +1,667 @@
-"""Queries over the test tables, one or more for each operator, and the same in SQL."""
+"""Queries over the test tables, one or more for each operator, and the same in SQL.
+
+The documents have no URLs, bullets, ellipses, blank lines or unusual white
+space, so the text queries run over a view in which five of six documents get
+some, by an expression that both engines share.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import normalize as nz
+from .functions import providers
+from .functions import text as tx
+from .operators import aggregates as ag
+from .operators import dedup as dd
+from .operators import enrichers as en
+from .operators import filters as fl
+from .operators import modifiers as md
+from .operators import packing as pk
+from .plans import catalog as ct
+from .plans import pipeline as pl
+from .sources import jsonl
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+VARIED = """CASE CAST(doc_id % 6 AS INT)
+  WHEN 1 THEN replace(text, chr(10), chr(10) || '• ')
+  WHEN 2 THEN replace(text, '. ', '...' || chr(10))
+  WHEN 3 THEN replace(text, chr(10), chr(10) || chr(10))
+  WHEN 4 THEN '{ see https://www.example.com/a?b=1 and 10.0.0.1 ' || replace(text, ', ', chr(9) || '[12] ')
+  WHEN 5 THEN '3 likes' || chr(10) || replace(text, '. ', '.' || chr(13) || chr(10))
+  ELSE text END"""
+D = f"WITH d AS (SELECT doc_id, {VARIED} AS text, lang, source, n_chars FROM documents)"
+T = F.col("text")
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").withColumn("text", F.expr(VARIED))
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+# ---- the same primitives in SQL
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def s_strip(x: str) -> str:
+    return f"regexp_replace({x}, {_q(tx.STRIP)}, '', 'g')"
+
+
+def s_words(x: str) -> str:
+    return f"list_filter(string_split_regex({x}, {_q(f'[{tx.SPACE}]+')}), lambda w: w <> '')"
+
+
+def s_segments(x: str, mark: str = "chr(10)") -> str:
+    return f"list_filter(list_transform(string_split({x}, {mark}), lambda p: {s_strip('p')}), lambda p: p <> '')"
+
+
+def s_lines(x: str) -> str:
+    parts = f"string_split_regex({x}, {_q(tx.LINE_END)})"
+    return f"(CASE WHEN {parts}[-1] = '' THEN {parts}[1:-2] ELSE {parts} END)"
+
+
+def s_count(x: str, literal: str) -> str:
+    return f"((length({x}) - length(replace({x}, {_q(literal)}, ''))) // {len(literal)})"
+
+
+def s_kept_lines(x: str, keep: str) -> str:
+    return f"coalesce(array_to_string(list_filter(string_split({x}, chr(10)), lambda x: {keep}), chr(10)), '')"
+
+
+def s_fasttext(x: str) -> str:
+    marked = f"replace({x}, chr(10), ' </s> ')"
+    return f"list_filter(string_split_regex({marked}, '[ \\n\\r\\t\\x{{0b}}\\x{{0c}}\\x{{00}}]+'), lambda w: w <> '')"
+
+
+def s_only(x: str, chars: str) -> str:
+    return f"length(regexp_replace({x}, '[^{chars}]', '', 'g'))"
+
+
+# ---- filters on content: doc_ids that stay
+
+
+def keeps(name: str, column: Callable[[], Column] | Column, sql: str | None, where: str = "d") -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return varied(spark, sf_dir).where(column() if callable(column) else column).select("doc_id")
+
+    query(name, f"{D} SELECT doc_id FROM {where} WHERE {sql}" if sql else None)(run)
+
+
+FILENAME = "source || CASE CAST(doc_id % 4 AS INT) WHEN 0 THEN '.py' WHEN 1 THEN '.txt' WHEN 2 THEN '.C' ELSE 'Makefile' END"
+keeps("filter_source_file", lambda: fl.source_file(F.expr(FILENAME)), f"regexp_matches({FILENAME}, {_q('(?:' + '|'.join(re.escape(s) for s in fl.SOURCE_SUFFIXES) + r')\z')})")
+keeps("filter_line_length_max", fl.line_length(T, "max", 600), f"text <> '' AND list_max(list_transform({s_lines('text')}, lambda x: length(x))) <= 600")
+keeps("filter_line_length_mean", fl.line_length(T, "mean", 200), f"text <> '' AND CAST(list_sum(list_transform({s_lines('text')}, lambda x: length(x))) AS DOUBLE) / len({s_lines('text')}) <= 200")
+keeps("filter_alphanumeric_ratio", fl.alphanumeric_ratio(T, 0.8), f"{s_only('text', r'\p{L}\p{N}')} / CAST(length(text) AS DOUBLE) >= 0.8")
+
+
+def s_repeated(limit: float, mark: str, characters: bool) -> str:
+    segs = s_segments("text", mark)
+    size = "length(s)" if characters else "1"
+    return f"""doc_id IN (
+  WITH u AS (SELECT doc_id, unnest({segs}) AS s FROM d), g AS (SELECT doc_id, s, count(*) AS c, {size.replace('s)', 'any_value(s))')} AS l FROM u GROUP BY doc_id, s)
+  SELECT doc_id FROM g GROUP BY doc_id HAVING sum(c) = 1 OR coalesce(CAST(sum(CASE WHEN c > 1 THEN c * l ELSE 0 END) AS DOUBLE) / nullif(sum(c * l), 0), 0) <= {limit})"""
+
+
+keeps("filter_repeated_lines", fl.repeated_segments(T, 0.1, "\n", characters=False), s_repeated(0.1, "chr(10)", False))
+keeps("filter_repeated_line_chars", fl.repeated_segments(T, 0.05, "\n"), s_repeated(0.05, "chr(10)", True))
+keeps("filter_repeated_paragraphs", fl.repeated_segments(T, 0.1, "\n\n", characters=False), s_repeated(0.1, "chr(10) || chr(10)", False))
+keeps("filter_repeated_paragraph_chars", fl.repeated_segments(T, 0.05, "\n\n"), s_repeated(0.05, "chr(10) || chr(10)", True))
+keeps("filter_web_repetition", lambda: fl.web_repetition(T), None)
+keeps("filter_repeated_ngrams", lambda: fl.repeated_ngrams(T, {3: 0.05}), None)
+keeps("filter_letters_per_token", lambda: fl.letters_per_token(T, "/opt/tokenizers/byte_bpe_50k.json", 2.0), None)
+keeps("filter_length_char", fl.page_length(T, "char", 500, 5000), "length(text) BETWEEN 500 AND 5000")
+keeps("filter_length_line", fl.page_length(T, "line", 3, 12), f"len({s_segments('text')}) BETWEEN 3 AND 12")
+keeps("filter_length_paragraph", fl.page_length(T, "paragraph", 2), f"len({s_segments('text', 'chr(10) || chr(10)')}) >= 2")
+keeps("filter_length_word", fl.page_length(T, "word", 50, 1000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 1000")
+keeps("filter_length_word_fasttext", fl.page_length(T, "word", 50, 1000), f"len({s_fasttext('text')}) BETWEEN 50 AND 1000")
+keeps("filter_length_word_uniseg", lambda: fl.page_length(T, "word", 50, 1000, model="uniseg", ignore_punctuation=True), None)
+keeps("filter_length_sentence", lambda: fl.page_length(T, "sentence", 3), None)
+keeps("filter_substring", fl.no_substring(T, ["{", "with the", r"\[12\]"]), r"NOT regexp_matches(text, '(?i)(?:\{|with the|\[12\])')")
+keeps("filter_substring_word", fl.no_substring(T, ["likes", "AND"], exact_word=True, case_sensitive=True), r"NOT regexp_matches(text, '\b(?:likes|AND)\b')")
+keeps("filter_bullets", fl.bullet_lines(T, 0.5), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.5")
+keeps("filter_ellipses", fl.ellipsis_lines(T, 0.3), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3")
+_STOPS = "(" + ", ".join(_q(w) for w in fl.STOP_WORDS) + ")"
+keeps("filter_stop_words", fl.stop_words(T, 2), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2")
+keeps("filter_stop_words_unique", fl.stop_words(T, 4, unique=True), f"len(list_distinct(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS}))) >= 4")
+keeps("filter_word_length", fl.mean_word_length(T, 3, 6), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 6")
+keeps("filter_symbol_ratio", fl.symbol_ratio(T, 0.02), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.02")
+keeps("filter_words_removed", fl.words_removed(T, F.col("n_chars").cast("int") / 6, most=0.05, ignore_punctuation=False), f"(n_chars / 6.0 - len({s_fasttext('text')})) / nullif(n_chars / 6.0, 0) <= 0.05")
+keeps("filter_wordless_words", fl.wordless_words(T, 0.05), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.05")
+keeps("filter_sampled", fl.sampled(F.col("doc_id"), 0.5, 7), None)
+keeps("filter_language", fl.in_language(F.create_map(F.col("lang"), F.col("n_chars") / 10000.0), ["en", "fr"], 0.1), "lang IN ('en', 'fr') AND n_chars / 10000.0 > 0.1")
+keeps("filter_score", fl.scored(F.col("n_chars") / 1000.0, 2.0), "n_chars / 1000.0 >= 2.0")
+keeps("filter_score_lower", fl.scored(F.col("n_chars") / 1000.0, 2.0, lower_is_better=True), "n_chars / 1000.0 <= 2.0")
+keeps("text_is_space_or_punct", ~tx.is_space_or_punct(F.regexp_replace("text", r"[\p{L}\p{N}]", "")), r"NOT regexp_matches(regexp_replace(text, '[\p{L}\p{N}]', '', 'g'), '\A[ !-/:-@\[-`{-~]*\z')")
+
+_AUTHORITY = r"lower(regexp_extract(url, '\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1))"
+
+
+@query("filter_banned_domains", f"SELECT page_id FROM pages WHERE {_AUTHORITY} NOT IN (SELECT {_AUTHORITY} FROM pages WHERE page_id % 3 = 0)")
+def _(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    banned = pages.where("page_id % 3 = 0").select(fl.authority(F.col("url")).alias("domain"))
+    return fl.banned_domains(pages, banned).select("page_id")
+
+
+@query("filter_url_substrings", "SELECT page_id FROM pages WHERE len(list_distinct(regexp_extract_all(lower(url), '(?:casino|feed|win|th)', 0))) < 2")
+def _(spark, sf_dir):
+    return read(spark, sf_dir, "pages").where(fl.url_substrings(F.col("url"), ["win", "casino", "feed", "th"], least=2)).select("page_id")
+
+
+# ---- modifiers: doc_id and the new text
+
+
+def modifies(name: str, column: Callable[[], Column] | Column, sql: str | None, source: str = "text") -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = varied(spark, sf_dir).withColumn("text", F.expr(source))
+        return md.apply(df, "text", column() if callable(column) else column).select("doc_id", "text")
+
+    query(name, f"{D}, e AS (SELECT doc_id, {source} AS text FROM d), f AS (SELECT doc_id, {sql} AS text FROM e) SELECT doc_id, text FROM f WHERE text IS NOT NULL" if sql else None)(run)
+
+
+def s_nonempty(x: str) -> str:
+    return f"nullif({x}, '')"
+
+
+LATEX = r"""'% draft' || chr(10) || '\newcommand{\xx}{yy}' || chr(10) || 'pre 50\% done % note' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '\section{One} \xx ' END || text || '\begin{comment}z\end{comment}' || CASE WHEN doc_id % 2 = 0 THEN '\appendix more' ELSE '\bibliography{a}' END"""
+# Spark reads a backslash in a string literal as an escape, SQL as itself
+_SPARK_LATEX = LATEX.replace("\\", "\\\\")
+
+
+def latex(name: str, column, sql: str | None) -> None:
+    modifies(name, column, sql)
+    QUERIES[name] = lambda spark, sf_dir: md.apply(varied(spark, sf_dir).withColumn("text", F.expr(_SPARK_LATEX)), "text", column() if callable(column) else column).select("doc_id", "text")
+    if name in ORACLE_SQL:
+        ORACLE_SQL[name] = f"{D}, e AS (SELECT doc_id, {LATEX} AS text FROM d), f AS (SELECT doc_id, {sql} AS text FROM e) SELECT doc_id, text FROM f WHERE text IS NOT NULL"
+
+
+latex("modify_latex_appendix", md.cut_appendix(T), s_nonempty(r"regexp_replace(text, '(?s)(?:\\appendix|\\begin\{(?:references|REFERENCES|thebibliography)\}|\\bibliography\{.*?\}).*', '', 'g')"))
+latex("modify_latex_comments", md.drop_comments(T, environments=True), s_nonempty(r"regexp_replace(regexp_replace(regexp_replace(text, '(?m)^%.*\n?', '', 'g'), '(?m)[^\\]%.+$', '', 'g'), '(?s)\\begin\{comment\}.*?\\end\{comment\}', '', 'g')"))
+latex("modify_latex_sections", md.from_first_section(T), r"CASE WHEN strpos(text, '\section{') > 0 THEN substr(text, strpos(text, '\section{')) END")
+latex("modify_latex_macros", lambda: md.expand_macros(T), r"nullif(replace(replace(text, '\xx}', 'yy}'), '\xx ', 'yy '), '')")
+modifies("modify_drop_lines", md.drop_lines_with(T, ["likes", r"the \w+ing"]), s_nonempty(s_strip(s_kept_lines("text", r"NOT regexp_matches(x, '(?i)(?:likes|the \w+ing)')"))))
+modifies("modify_drop_matches", md.drop_lines_with(T, ["likes", "see"], max_words=30, match_only=True), s_nonempty(s_strip(
+    f"""coalesce(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '(?i)\\s?(?:likes|see)') AND len({s_words('x')}) <= 30
+    THEN CASE WHEN {s_strip("regexp_replace(x, '(?i)\\s?(?:likes|see)', '', 'g')")} = '' THEN NULL ELSE regexp_replace(x, '(?i)\\s?(?:likes|see)', '', 'g') END ELSE x END), lambda x: x IS NOT NULL), chr(10)), '')""")))
+modifies("modify_punctuated_lines", md.punctuated_lines(T, drop_ellipses=True), s_nonempty(s_kept_lines("text", f"(x = '' OR regexp_matches(x, '[.!?\"…][{tx.SPACE}]*\\z')) AND NOT regexp_matches(x, '(?:\\.\\.\\.|…)[{tx.SPACE}]*\\z')")))
+modifies("modify_lines_by_length", md.lines_by_length(T, 5, 60), s_nonempty(s_kept_lines("text", f"x = '' OR len({s_words('x')}) BETWEEN 5 AND 60")))
+modifies("modify_lines_by_word", md.lines_by_longest_word(T, 14), s_nonempty(s_kept_lines("text", f"coalesce(list_max(list_transform({s_words('x')}, lambda w: length(w))), 0) <= 14")))
+modifies("modify_lines_by_word_uniseg", lambda: md.lines_by_longest_word(T, 14, "uniseg"), None)
+modifies("modify_uppercase_lines", md.uppercase_lines(T, 0.2), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', r'\p{Lu}')} / CAST(length(x) AS DOUBLE) <= 0.2"))))
+modifies("modify_numeric_lines", md.numeric_lines(T, 0.1), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', tx.DIGIT)} / CAST(length(x) AS DOUBLE) <= 0.1"))))
+modifies("modify_citations", md.drop_citations(T), r"regexp_replace(text, '\[(?:\p{Nd}*|edit|citation needed)\]', '', 'g')")
+modifies("modify_urls", md.drop_urls(T, ["com", "org"]), s_nonempty(r"regexp_replace(CASE WHEN regexp_matches(text, '\.(?:com|org)') THEN regexp_replace(text, '\s{0,10}(?:(?:https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.(?:com|org)\b[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g') ELSE text END, '\s{0,10}\b(?:(?:https?|ftp)://)?(?:[0-2]?[0-9]{1,2}\.){3}[0-2]?[0-9]{1,2}[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g')"))
+modifies("modify_counters", md.drop_counters(T), s_nonempty(s_strip(s_kept_lines("text", rf"NOT regexp_matches(lower(x), '\A[^\p{{L}}\p{{N}}_]*\d[\d,.]*[kmb]?\s+(?:{'|'.join(md.COUNTED)})[^\p{{L}}\p{{N}}_]*\z')"))))
+modifies("modify_dedup_within", lambda: md.dedup_within(T), f"""(SELECT string_agg(x, chr(10) ORDER BY i) FROM (SELECT x, i, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY i) AS r FROM
+  (SELECT unnest(string_split(e.text, chr(10))) AS x, unnest(generate_series(1, len(string_split(e.text, chr(10))))) AS i)) WHERE r = 1 OR {s_strip('x')} = '')""")
+modifies("modify_squeeze_newlines", md.squeeze_newlines(T, 1), r"regexp_replace(text, '\n{2,}', chr(10), 'g')")
+modifies("modify_split_and_join", md.join_lines(md.split_lines(T, ". "), " | "), "array_to_string(string_split(nullif(text, ''), '. '), ' | ')")
+modifies("modify_html_text", lambda: md.html_text(F.concat(F.lit("<p>"), F.replace(T, F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))), None)
+
+
+@query("modify_html_pages")
+def _(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").withColumnRenamed("html", "text")
+    return md.apply(pages, "text", md.html_text(T)).select("page_id", "text")
+
+
+@query("modify_conversations", """SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN 'Q: ' ELSE 'A: ' END || coalesce(text, ''), chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+def _(spark, sf_dir):
+    return md.conversations_as_text(read(spark, sf_dir, "conversations"))
+
+
+POSTS = "named_struct('text', '<li>' || text || '</li>') AS question, transform(split(text, '[.] '), (x, i) -> named_struct('text', x, 'score', IF(i % 5 = 4, CAST(NULL AS INT), CAST((length(x) * 7 + i) % 11 AS INT)))) AS answers"
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").selectExpr("doc_id", POSTS)
+
+
+@query("modify_posts_as_text", """
+WITH a AS (SELECT doc_id, text, string_split(text, '. ') AS p FROM documents), b AS (SELECT doc_id, text, unnest(p) AS x, unnest(generate_series(0, len(p) - 1)) AS i FROM a),
+c AS (SELECT *, CASE WHEN i % 5 = 4 THEN 0 ELSE (length(x) * 7 + i) % 11 END AS score FROM b)
+SELECT doc_id, 'Q: ' || chr(10) || '*' || any_value(text) || string_agg(chr(10) || 'A: ' || x, '' ORDER BY score DESC, i) AS text FROM c GROUP BY doc_id""")
+def _(spark, sf_dir):
+    p = md.on_posts(posts(spark, sf_dir), md.mark_lists).withColumn("answers", md.sort_answers(F.col("answers")))
+    return md.apply(p, "text", md.question_and_answers(F.col("question"), F.col("answers"))).select("doc_id", "text")
+
+
+@query("modify_posts_html")
+def _(spark, sf_dir):
+    return md.on_posts_html(posts(spark, sf_dir)).select("doc_id", F.col("question")["text"].alias("question"), F.size("answers").alias("answers"))
+
+
+REPOS = "transform(split(text, chr(10)), (x, i) -> named_struct('filename', 'f' || CAST(i AS STRING), 'text', x)) AS files"
+
+
+@query("modify_split_repositories", """
+WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), b AS (SELECT doc_id, unnest(p) AS x, unnest(generate_series(0, len(p) - 1)) AS i FROM a)
+SELECT doc_id, string_agg('<file_sep>f' || CAST(i AS VARCHAR) || chr(10) || x, '' ORDER BY i) AS text FROM (SELECT doc_id, x, i, i // 4 AS part FROM b) GROUP BY doc_id, part""")
+def _(spark, sf_dir):
+    repos = read(spark, sf_dir, "documents").selectExpr("doc_id", "source AS repo_name", "CAST(NULL AS STRING) AS text", REPOS)
+    parts = md.split_repositories(repos, 4)
+    told = md.format_repository(F.col("files"), F.col("repo_name"), F.col("doc_id"), with_names=1.0)
+    return parts.select("doc_id", F.regexp_replace(told, r"\A<repo_name>[^<]*", "").alias("text"))
+
+
+@query("modify_rename_and_url", "SELECT page_id, 'u' || url AS url, html AS text FROM pages")
+def _(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"), F.create_map(F.lit("WARC-Target-URI"), F.concat(F.lit("u"), "url")).alias("metadata"))
+    return md.rename(md.url_from_metadata(pages)).drop("metadata")
+
+
+# ---- enrichers and normalisers
+
+@query("enrich_counts", f"{D} SELECT doc_id, len({s_segments('text')}) AS num_lines, len({s_fasttext('text')}) AS word_count, len(list_filter({s_words('text')}, lambda w: regexp_matches(w, '\\A[\\p{{L}}\\p{{N}}]'))) AS words FROM d")
+def _(spark, sf_dir):
+    from .functions import words as wd
+
+    df = en.add(varied(spark, sf_dir), "num_lines", en.line_count(T).cast("long"))
+    df = en.add(df, "word_count", en.word_count(T, ignore_punctuation=False).cast("long"))
+    return en.add(df, "words", wd.word_count(T, "split", ignore_punctuation=True).cast("long")).select("doc_id", "num_lines", "word_count", "words")
+
+
+@query("normalize_url", r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, 'https?://(?:www\.)?', '', 'g'), '(?s)\?(?:utm_|ref|feed).*', '', 'g'), '/+\z', '', 'g') AS url FROM pages")
+def _(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", nz.url(F.col("url")).alias("url"))
+
+
+@query("normalize_text", f"{D} SELECT doc_id, md5(lower({s_strip('text')})) AS folded, md5(text) AS hash FROM d")
+def _(spark, sf_dir):
+    return varied(spark, sf_dir).select("doc_id", nz.text_hash(nz.whitespace_and_case(T)).alias("folded"), nz.text_hash(T).alias("hash"))
+
+
+@query("normalize_timestamp", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN -1.0 ELSE CAST(floor(epoch(ts)) AS DOUBLE) END AS seconds FROM events")
+def _(spark, sf_dir):
+    text = F.when(F.col("event_id") % 7 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return read(spark, sf_dir, "events").select("event_id", nz.timestamp(text).alias("seconds"))
+
+
+@query("normalize_dedup_key")
+def _(spark, sf_dir):
+    return varied(spark, sf_dir).select("doc_id", nz.dedup_key(T).alias("key"))
+
+
+_PUNCT_SQL = "text"
+for _k, _v in nz.PUNCTUATION.items():
+    _PUNCT_SQL = f"replace({_PUNCT_SQL}, {_q(_k)}, {_q(_v)})"
+
+
+@query("normalize_punctuation", f"{D} SELECT doc_id, md5(regexp_replace({_PUNCT_SQL.replace('text', 'regexp_replace(lower(' + s_strip('text') + '), ' + _q(r'\p{Nd}') + ', ' + _q('0') + ', ' + _q('g') + ')', 1)}, {_q(f'[{nz.CONTROL}]')}, '', 'g')) AS key FROM d")
+def _(spark, sf_dir):
+    return varied(spark, sf_dir).select("doc_id", F.md5(nz.language_model_line(T)).alias("key"))
+
+
+@query("enrich_language")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = providers.LanguageModel.train(docs)
+    return docs.select("doc_id", "lang", ag.top_key(en.language_of_page(T, model), 0.5, "unknown").alias("guess"))
+
+
+@query("enrich_sentence_languages")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = providers.LanguageModel.train(docs)
+    return en.languages_of_sentences(docs, "doc_id", "text", model).select("doc_id", F.size("languages").alias("languages"))
+
+
+@query("enrich_quality")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    fit, test = providers.holdout(docs, "doc_id", 0.3)
+    scored = providers.QualityModel.train(fit).score(test)
+    return ag.precision_recall(scored)
+
+
+@query("enrich_perplexity")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = providers.NgramModel.train(docs)
+    return docs.select("doc_id", en.perplexity(T, model).alias("perplexity"))
+
+
+# ---- joins
+
+@query("join_left", "SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0")
+def _(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").where("c_acctbal > 0")
+    o = read(spark, sf_dir, "orders")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", "c_name")
+
+
+@query("join_semi_and_anti", "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS has_orders FROM customer")
+def _(spark, sf_dir):
+    c, o = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    some = c.join(o, c.c_custkey == o.o_custkey, "left_semi").select("c_custkey", F.lit(True).alias("has_orders"))
+    return some.unionByName(c.join(o, c.c_custkey == o.o_custkey, "left_anti").select("c_custkey", F.lit(False).alias("has_orders")))
+
+
+@query("join_not_done", "SELECT url AS path FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
+def _(spark, sf_dir):
+    p = read(spark, sf_dir, "pages").select(F.col("url").alias("path"), "page_id")
+    return jsonl.not_done(p, p.where("page_id % 2 = 0")).select("path")
+
+
+# ---- aggregates
+
+_PCT = ", ".join(f"max(CASE WHEN i = CAST(round_even((n - 1) * {q}, 0) AS BIGINT) THEN v END) AS {_q(k)[1:-1]}" for k, q in ag.PERCENTILES.items()).replace(" AS min", ' AS "min"').replace(" AS max", ' AS "max"')
+
+
+@query("aggregate_percentiles", f"WITH r AS (SELECT p_retailprice AS v, row_number() OVER (ORDER BY p_retailprice) - 1 AS i, count(*) OVER () AS n FROM part) SELECT {_PCT}, round(avg(v), 6) AS mean FROM r")
+def _(spark, sf_dir):
+    return ag.percentiles(read(spark, sf_dir, "part"), "p_retailprice").withColumn("mean", F.round("mean", 6))
+
+
+@query("aggregate_percentiles_by", f"WITH r AS (SELECT p_brand, CAST(p_size AS DOUBLE) AS v, row_number() OVER (PARTITION BY p_brand ORDER BY p_size) - 1 AS i, count(*) OVER (PARTITION BY p_brand) AS n FROM part) SELECT p_brand, {_PCT}, round(avg(v), 6) AS mean FROM r GROUP BY p_brand")
+def _(spark, sf_dir):
+    return ag.percentiles(read(spark, sf_dir, "part"), "p_size", ["p_brand"]).withColumn("mean", F.round("mean", 6))
+
+
+@query("aggregate_histogram", "WITH r AS (SELECT CAST(min(p_size) AS DOUBLE) AS lo, CAST(max(p_size) AS DOUBLE) AS hi FROM part), b AS (SELECT least(floor((p_size - lo) / ((hi - lo) / 10)), 9) AS b FROM part, r) SELECT round(lo + i * ((hi - lo) / 10), 6) AS left_edge, (SELECT count(*) FROM b WHERE b.b = i) AS n FROM r, range(10) t(i)")
+def _(spark, sf_dir):
+    return ag.histogram(read(spark, sf_dir, "part"), "p_size").withColumn("left_edge", F.round("left_edge", 6))
+
+
+@query("aggregate_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def _(spark, sf_dir):
+    return ag.counts(read(spark, sf_dir, "events"), "event_type")
+
+
+@query("aggregate_top_key", "SELECT doc_id, CASE WHEN n_chars >= 3000 THEN 'long' WHEN n_chars % 1000 >= 500 THEN 'odd' ELSE 'none' END AS label FROM documents")
+def _(spark, sf_dir):
+    m = F.create_map(F.lit("long"), F.col("n_chars") / 3000.0, F.lit("odd"), F.least(F.lit(1.0), F.floor((F.col("n_chars") % 1000) / 500.0).cast("double")))
+    return read(spark, sf_dir, "documents").select("doc_id", ag.top_key(m, 1.0, "none").alias("label"))
+
+
+EVALS = "SELECT source AS model, lang AS task, avg(n_chars % 100) / 100.0 AS score FROM documents GROUP BY source, lang"
+TASKS = "SELECT 'en' AS task, 'germanic' AS category, 25.0 AS baseline UNION ALL SELECT 'de', 'germanic', 0.0 UNION ALL SELECT 'fr', 'romance', 50.0 UNION ALL SELECT 'es', 'romance', 10.0 UNION ALL SELECT 'xx', 'none', 0.0"
+
+
+def evaluations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    scores = read(spark, sf_dir, "documents").groupBy(F.col("source").alias("model"), F.col("lang").alias("task")).agg((F.avg(F.col("n_chars") % 100) / 100.0).alias("score"))
+    evals = scores.groupBy("model").agg(F.map_from_entries(F.collect_list(F.struct("task", "score"))).alias("scores"))
+    tasks = spark.createDataFrame([("en", "germanic", 25.0), ("de", "germanic", 0.0), ("fr", "romance", 50.0), ("es", "romance", 10.0), ("xx", "none", 0.0)], "task string, category string, baseline double")
+    return evals, tasks
+
+
+@query("aggregate_roll_up", f"WITH e AS ({EVALS}), t AS ({TASKS}) SELECT model, category, round(avg((score - 0.01 * baseline) / (1 - 0.01 * baseline)), 6) AS mean_score, count(*) AS tasks FROM e JOIN t USING (task) GROUP BY model, category")
+def _(spark, sf_dir):
+    return ag.roll_up(*evaluations(spark, sf_dir)).withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query("aggregate_missing_tasks", f"WITH e AS ({EVALS}), t AS ({TASKS}) SELECT DISTINCT e.model, t.task FROM e, t WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.model = e.model AND x.task = t.task)")
+def _(spark, sf_dir):
+    return ag.missing_tasks(*evaluations(spark, sf_dir))
+
+
+@query("aggregate_by_task_prefix", "SELECT task, round(avg(score), 6) AS score FROM (SELECT source || lang AS key, n_chars AS score FROM documents) d JOIN (SELECT unnest(['src1', 'en', 'zz']) AS task) t ON contains(d.key, t.task) GROUP BY task")
+def _(spark, sf_dir):
+    scores = read(spark, sf_dir, "documents").select(F.concat("source", "lang").alias("key"), F.col("n_chars").alias("score"))
+    return ag.by_task_prefix(scores, ["src1", "en", "zz"]).withColumn("score", F.round("score", 6))
+
+
+@query("aggregate_compare_runs", "WITH s AS (SELECT lang AS task, avg(n_chars) AS a, avg(n_chars % 100) AS b, count(*) AS n FROM documents GROUP BY lang) SELECT task, round(a - b, 6) AS difference, n AS share FROM s")
+def _(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").groupBy(F.col("lang").alias("task"))
+    a, b = d.agg(F.avg("n_chars").alias("score")), d.agg(F.avg(F.col("n_chars") % 100).alias("score"))
+    return ag.compare_runs(a, b, d.agg(F.count("*").alias("share"))).withColumn("difference", F.round("difference", 6))
+
+
+@query("aggregate_precision_recall", "WITH x AS (SELECT quality AS label, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS predicted FROM labels JOIN documents USING (doc_id)) SELECT count(*) AS n, round(CAST(sum(label * predicted) AS DOUBLE) / sum(predicted), 6) AS precision, round(CAST(sum(label * predicted) AS DOUBLE) / sum(label), 6) AS recall FROM x")
+def _(spark, sf_dir):
+    x = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    out = ag.precision_recall(x.select(F.col("quality").alias("label"), (F.col("n_chars") > 1000).cast("int").alias("predicted")))
+    return out.select("n", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+# ---- dedup
+
+@query("dedup_documents", f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower({s_strip('text')}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+def _(spark, sf_dir):
+    return dd.exact(read(spark, sf_dir, "documents"), nz.whitespace_and_case(T), [F.col("doc_id")]).select("doc_id")
+
+
+@query("dedup_urls", r"SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY lower(regexp_extract(url, '\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)) ORDER BY md5(url) DESC, page_id) AS r FROM pages) WHERE r = 1")
+def _(spark, sf_dir):
+    return dd.exact(read(spark, sf_dir, "pages"), fl.authority(F.col("url")), [nz.text_hash(F.col("url")).desc(), F.col("page_id")]).select("page_id")
+
+
+@query("dedup_lines", f"""
+WITH u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, i) AS r FROM u)
+SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS text FROM r WHERE r = 1 GROUP BY doc_id""")
+def _(spark, sf_dir):
+    docs = md.apply(read(spark, sf_dir, "documents"), "text", md.split_lines(T))
+    kept = dd.exact_units(docs, "text", nz.whitespace_and_case, [nz.text_hash(F.col("doc_id").cast("string"))], "doc_id")
+    return md.apply(kept, "text", md.join_lines(T)).select("doc_id", "text")
+
+
+def _checkpoints(spark: SparkSession) -> None:
+    """Iterative plans cut their lineage in the cluster's shared folder; a temporary one only where Spark is one process."""
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            import tempfile
+
+            folder = f"file://{tempfile.mkdtemp(prefix='loomsift-')}"
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def _fuzzy(name: str, run) -> None:
+    def go(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _checkpoints(spark)
+        return run(read(spark, sf_dir, "documents")).select("doc_id", "text")
+
+    query(name)(go)
+
+
+_fuzzy("dedup_fuzzy_paragraphs", dd.fuzzy_paragraphs)
+_fuzzy("dedup_fuzzy_documents", dd.fuzzy_documents)
+_fuzzy("dedup_fuzzy_old_both", dd.fuzzy_both)
+_fuzzy("dedup_fuzzy_both", lambda d: dd.fuzzy_both(d, rule="both"))
+_fuzzy("dedup_fuzzy_naive_both", lambda d: dd.fuzzy_both(d, rule="naive"))
+_fuzzy("dedup_substrings", lambda d: dd.sequential(d, "source", "doc_id", "text", least_tokens=50))
+_fuzzy("dedup_exact_in_shards", lambda d: dd.sequential(d, "source", "doc_id", "text", mode="exact"))
+ORACLE_SQL["dedup_exact_in_shards"] = "SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS r FROM documents) WHERE r = 1"
+
+
+@query("dedup_annotate")
+def _(spark, sf_dir):
+    return dd.sequential(read(spark, sf_dir, "documents"), "source", "doc_id", "text", annotate=True).select("doc_id", "spans")
+
+
+@query("decontaminate")
+def _(spark, sf_dir):
+    return dd.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select("doc_id", "text")
+
+
+@query("contaminated_items")
+def _(spark, sf_dir):
+    return dd.contaminated(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents")).select("item_id", F.round("share", 6).alias("share"))
+
+
+# ---- packing
+
+@query("pack_contexts", """
+WITH w AS (SELECT source, doc_id, unnest(list_concat(list_transform(string_split(text, ' '), lambda x: length(x)), [0])) AS t, unnest(generate_series(0, len(string_split(text, ' ')))) AS i FROM documents),
+p AS (SELECT source, t, row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS at FROM w)
+SELECT source, at // 2049 AS context, count(*) AS n_tokens, CAST(sum(t * ((at % 2049) + 1)) AS BIGINT) AS checksum FROM p GROUP BY source, at // 2049""")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").withColumn("tokens", F.transform(F.split("text", " "), lambda x: F.length(x)))
+    c = pk.contexts(pk.end_marked(docs), "source", "doc_id")
+    sums = F.aggregate(F.transform(F.slice("tokens", F.lit(1), F.col("n_tokens")), lambda x, i: x.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return c.select("source", "context", F.col("n_tokens").cast("long").alias("n_tokens"), sums.alias("checksum"))
+
+
+def _contexts(spark, sf_dir):
+    docs = pk.tokenize(read(spark, sf_dir, "documents"), "/opt/tokenizers/byte_bpe_50k.json")
+    return pk.contexts(pk.end_marked(docs), "source", "doc_id", pad=50258)
+
+
+@query("pack_tokenized")
+def _(spark, sf_dir):
+    return _contexts(spark, sf_dir).select("source", "context", "n_tokens")
+
+
+@query("pack_manifest")
+def _(spark, sf_dir):
+    return pk.manifest(pk.shuffled(_contexts(spark, sf_dir), seed=3, per_chunk=64))
+
+
+@query("pack_sample_by_source")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    rates = docs.groupBy("source").agg(F.lit(0.5).alias("rate"))
+    return pk.sample_by_source(docs, rates, "doc_id").select("doc_id")
+
+
+@query("pack_token_total", "SELECT CAST(sum(n) * 2049 AS BIGINT) AS tokens FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+def _(spark, sf_dir):
+    m = read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("num_sequences"))
+    return pk.token_total(m, 2049)
+
+
+# ---- catalog, sources
+
+@query("catalog_enrich", """
+WITH e AS (SELECT o_orderkey AS uuid, o_custkey AS model_uuid, o_totalprice AS score FROM orders), m AS (SELECT c_custkey AS uuid, c_name AS name, c_nationkey AS dataset_uuid FROM customer), d AS (SELECT n_nationkey AS uuid, n_name AS name FROM nation)
+SELECT e.uuid, score, m.name AS model_name, d.name AS dataset_name FROM e LEFT JOIN m ON model_uuid = m.uuid LEFT JOIN d ON dataset_uuid = d.uuid""")
+def _(spark, sf_dir):
+    e = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("uuid"), F.col("o_custkey").alias("model_uuid"), F.col("o_totalprice").alias("score"))
+    m = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("uuid"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("dataset_uuid"))
+    d = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("uuid"), F.col("n_name").alias("name"))
+    return ct.enrich_evaluations(e, m, d).select("uuid", "score", "model_name", "dataset_name")
+
+
+@query("catalog_filter", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_totalprice >= 100000 AND regexp_matches(o_orderpriority, '^[12]')")
+def _(spark, sf_dir):
+    return ct.where(read(spark, sf_dir, "orders"), "o_totalprice>=100K", "o_orderpriority=^[12]").select("o_orderkey", "o_orderpriority")
+
+
+@query("catalog_references", "SELECT c_custkey, n_name AS nation_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
+def _(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation_uuid"))
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("uuid"), F.col("n_name").alias("name"))
+    return ct.name_references(c, {"nations": n}).select("c_custkey", "nation_name")
+
+
+@query("catalog_paths", "SELECT page_id, CASE WHEN starts_with(url, 'http://') THEN 's3://a/' || substr(url, 8) ELSE url END AS url, 'page_id=' || CAST(page_id AS VARCHAR) AS run_name FROM pages")
+def _(spark, sf_dir):
+    p = ct.run_name(read(spark, sf_dir, "pages"), ["page_id"])
+    return ct.columns(p.withColumn("url", ct.replace_prefix(F.col("url"), {"http://": "s3://a/"})).drop("html"), leading="run")
+
+
+@query("catalog_rows", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 20 OFFSET 10")
+def _(spark, sf_dir):
+    return ct.rows(read(spark, sf_dir, "customer"), "c_custkey", 10, 30).select("c_custkey", "c_name")
+
+
+@query("source_keys", "SELECT replace(replace('/warc/' || url || '.warc.gz', '/warc/', '/wet/'), 'warc.gz', 'warc.wet.gz') AS path FROM pages")
+def _(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select(jsonl.text_archive_path(F.concat(F.lit("/warc/"), "url", F.lit(".warc.gz"))).alias("path"))
+
+
+@query("source_sample")
+def _(spark, sf_dir):
+    return jsonl.sample(read(spark, sf_dir, "pages").select(F.col("url").alias("key")), 50)
+
+
+@query("union_by_name", "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+def _(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment AS segment")
+    return c.unionByName(read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), allowMissingColumns=True)
+
+
+# ---- pipelines
+
+RULES = {
+    "words": (lambda: fl.page_length(T, "word", 50, 100_000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 100000"),
+    "word_length": (lambda: fl.mean_word_length(T, 3, 10), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 10"),
+    "symbols": (lambda: fl.symbol_ratio(T, 0.1), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.1"),
+    "bullets": (lambda: fl.bullet_lines(T), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.9"),
+    "ellipses": (lambda: fl.ellipsis_lines(T), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3"),
+    "letters": (lambda: fl.wordless_words(T), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.2"),
+    "stop_words": (lambda: fl.stop_words(T), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2"),
+}
+_CASES = " ".join(f"WHEN NOT coalesce({sql}, FALSE) THEN '{name}'" for name, (_, sql) in RULES.items())
+
+
+@query("quality_funnel", f"{D}, r AS (SELECT lang, CASE {_CASES} ELSE 'kept' END AS drop_reason FROM d) SELECT drop_reason, lang, count(*) AS n FROM r GROUP BY drop_reason, lang")
+def _(spark, sf_dir):
+    marked = pl.drop_reasons(varied(spark, sf_dir), {k: c() for k, (c, _) in RULES.items()})
+    return marked.groupBy("drop_reason", "lang").agg(F.count("*").alias("n"))
+
+
+C4 = """
+- source: documents
+  steps:
+    - {func: page_length_filter, length_type: char, max_length: 190000}
+    - {func: word_length_modifier, max_length: 1000, model: split}
+    - func: citation_removal_modifier
+    - {func: punctuation_line_modifier, remove_ellipses: true}
+    - {func: line_length_modifier, min_length: 5}
+    - {func: substring_filter, banlist: ['{']}
+    - {func: substring_line_modifier, banlist: [cookies, likes]}
+    - {func: split_lines_modifier, delimiter: "\\n"}
+    - {func: exact_dedup, content_key: text, normalize: normalize_whitespace_and_lowercase}
+    - {func: join_lines_modifier, delimiter: "\\n"}
+"""
+REFINED = """
+- source: documents
+  steps:
+    - func: url_removal_modifier
+    - {func: newline_removal_modifier, max_consecutive: 2}
+    - {func: page_length_filter, length_type: word, min_length: 50, max_length: 100000, model: uniseg, ignore_punctuation: true}
+    - {func: word_length_filter, min_length: 3, max_length: 10}
+    - {func: symbol_ratio_filter, max_symbol_to_word_ratio: 0.1}
+    - {func: bullet_count_filter, max_bullet_start_ratio: 0.9}
+    - {func: ellipsis_count_filter, max_ellipsis_end_ratio: 0.3}
+    - {func: alphabetic_word_ratio_filter, max_ratio: 0.2}
+    - {func: stop_word_filter, min_stop_word: 2}
+    - func: massive_web_repetition_filters
+    - {func: word_counter_enricher, key: previous_word_count}
+    - {func: uppercase_ratio_line_modifier, max_ratio: 0.5}
+    - {func: numeric_ratio_line_modifier, max_ratio: 0.999999}
+    - func: counter_line_modifier
+    - {func: line_length_modifier, min_length: 2}
+    - {func: substring_line_modifier, banlist: sign-in, max_length: 10, location: prefix, remove_substring_only: true}
+    - {func: word_removal_ratio_filter, prev_word_count_key: previous_word_count, max_removed_ratio: 0.05}
+"""
+
+
+def _pipeline(name: str, text: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return pl.compile(varied(spark, sf_dir), pl.Spec.parse(text)[0], observe=False).df.select("doc_id", "text")
+
+    query(name)(run)
+
+
+_pipeline("pipeline_c4_style", C4)
+_pipeline("pipeline_refined_style", REFINED)
+_pipeline("pipeline_sample", "- {source: d, steps: [{func: random_sampling_filter, keep_probability: 0.5, key: doc_id}]}")
