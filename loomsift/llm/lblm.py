@@ -174,13 +174,16 @@ class Trainer:
         m.place += 0.2 * rate * d_place / np.sqrt(self.squares[2] + 1e-8)
 
     def learn(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        """All trigrams, each distinct one once with its count, in random order."""
-        v = len(self.m.bias)
+        """All trigrams: distinct ones with their counts, in random order, for as many steps as there are batches of tokens."""
+        v, size = len(self.m.bias), self.p.batch
         triple, n = np.unique((two.astype(np.int64) * v + one) * v + ids, return_counts=True)
-        order = self.rng.permutation(len(triple))
-        for at in range(0, len(order), self.p.batch):
-            t = triple[order[at : at + self.p.batch]]
-            self.step(t % v, t // v % v, t // (v * v), n[order[at : at + self.p.batch]].astype(np.float32))
+        left = max(-(-len(ids) // size), -(-len(triple) // size))
+        while left > 0:
+            order = self.rng.permutation(len(triple))
+            for at in range(0, min(len(order), left * size), size):
+                t = triple[order[at : at + size]]
+                self.step(t % v, t // v % v, t // (v * v), n[order[at : at + size]].astype(np.float32))
+                left -= 1
 
 
 def _train(shared, p: Params):

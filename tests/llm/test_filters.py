@@ -1,0 +1,170 @@
+"""Quality resampling, secret scans, language-model scores: operators that take each document by itself."""
+
+import math
+import random
+import re
+import string
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from loomsift.llm import lblm, quality, secrets
+from loomsift.llm.automaton import Automaton
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# names that the operators use inside
+CLASH = "doc_id long, text string, target boolean, clean string, h long, w double, key string, s int"
+
+
+def _words(rng, vocabulary, n):
+    return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    clean = ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(3, 8))) for _ in range(120)]
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 5 == 0
+        text = _words(rng, clean, rng.randint(20, 80))
+        if bad:
+            text = text + " !! " + _words(rng, ["foulword", "vileword", "junk"], 8)
+        rows.append((i, text))
+        if i % 2:
+            labels.append((i, 1, int(bad)))
+    return rows, labels
+
+
+def test_resampling_keeps_clean_and_rejects_bad(spark, corpus):
+    rows, labels = corpus
+    docs = spark.createDataFrame([(i, t, None, "x", 1, 0.0, "k", 7) for i, t in rows], CLASH)
+    kept = quality.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    bad = {i for i, _ in rows if i % 5 == 0}
+    assert len(ids & bad) / len(bad) < 0.05
+    assert len(ids - bad) / (len(rows) - len(bad)) > 0.9
+
+
+def test_weights_are_the_sum_over_ngrams(spark, corpus):
+    rows, _ = corpus
+    p = quality.Params(buckets=1 << 10)
+    weights = np.random.default_rng(0).standard_normal(p.buckets).astype(np.float32)
+    score = quality._scorer(spark.sparkContext.broadcast(weights), p.buckets)
+    docs = spark.createDataFrame(rows[:50], "doc_id long, text string")
+    for r in docs.select("text", score("text").alias("s")).collect():
+        bucket, _ = quality._grams(pa.array([r.text]), p.buckets)
+        assert len(bucket) == 2 * len(re.findall(r"\w+|[^\w\s]+", r.text)) - 1
+        assert math.isclose(weights[bucket].sum(), r.s, rel_tol=1e-3, abs_tol=1e-3)
+
+
+def test_resampling_of_odd_rows(spark, corpus):
+    rows, labels = corpus
+    odd = [(None, "text without an id"), (1000, None), (1001, ""), (1002, "a" * 300_000), (1, rows[1][1])]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    labels = labels + [(1, 1, None), (None, 1, 0), (3, None, 0)]
+    got = [(r.doc_id, r.text) for r in quality.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()]
+    assert 1000 not in {i for i, _ in got}
+    assert got.count((1, rows[1][1])) in (0, 2)
+    empty = spark.createDataFrame([], DOCS)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.resample(empty, none).count() == 0
+    assert quality.resample(docs, none).count() == len(rows) + len(odd) - 1
+
+
+def test_kth_largest_with_ties(spark):
+    rng = random.Random(1)
+    values = [float(rng.randint(0, 30)) for _ in range(500)] + [rng.random() for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for k in (1, 7, 499, 1000):
+        assert quality.kth_largest(df, k) == sorted(values, reverse=True)[k - 1]
+
+
+# ---- secrets
+
+
+def test_automaton_against_re():
+    rng = random.Random(5)
+    patterns = [b"ab+c", b"(?:x|yz){2,3}", b"[a-c]{2}d?", b"q[^a\\n]{1,3}z"]
+    union = Automaton(patterns, anywhere=True)
+    assert len(union.table) <= union.built
+    for _ in range(40):
+        data = bytes(rng.choices(b"abcdxyzq\n", k=rng.randint(0, 3000)))
+        where, states = union.run(np.frombuffer(data, np.uint8))
+        got = {(int(w), n) for w, m in zip(where, union.masks[states]) for n in range(len(patterns)) if m >> n & 1}
+        # quadratic, so only short texts
+        if len(data) < 400:
+            want = {(e - 1, n) for n, p in enumerate(patterns) for e in range(1, len(data) + 1) if any(re.compile(p).fullmatch(data, s, e) for s in range(max(0, e - 60), e))}
+            assert {x for x in got if x[1] != 0} == {x for x in want if x[1] != 0}
+            assert {x for x in want if x[1] == 0} <= got
+
+
+def test_automaton_refuses_what_it_cannot_do():
+    for bad in (b"(?=x)a", b"a*", b"(a)\\1", b"^a"):
+        with pytest.raises(ValueError):
+            Automaton([bad], anywhere=True)
+
+
+def _fake(rng):
+    a, h = string.ascii_letters + string.digits, "0123456789abcdef"
+    return rng.choice([
+        lambda: f'token = "{"".join(rng.choices(h, k=40))}"', lambda: "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=16)), lambda: "ghp_" + "".join(rng.choices(a, k=36)),
+        lambda: "xoxb-" + "".join(rng.choices(a, k=20)), lambda: "AIza" + "".join(rng.choices(a + "_-", k=35)), lambda: "eyJ" + "".join(rng.choices(a, k=20)) + ".eyJ" + "".join(rng.choices(a, k=30)) + "." + "".join(rng.choices(a, k=25)),
+        lambda: "-----BEGIN RSA PRIVATE KEY-----", lambda: "https://user:pa55-word@host/", lambda: "sk_live_" + "".join(rng.choices(a, k=24)), lambda: "password: 'short'", lambda: "akia1234",
+    ])()
+
+
+def test_scan_against_re(spark):
+    rng = random.Random(9)
+    texts = [" ".join(_fake(rng) if rng.random() < 0.2 else rng.choice(["naïve", "word", "x.y/z", "token", "=", "é", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(120)]
+    texts += [None, "", "y" * 200_000 + " " + _fake(random.Random(1)), texts[3]]
+    docs = spark.createDataFrame([(i if i else None, t, "r", 1) for i, t in enumerate(texts)], "doc_id long, text string, rule string, nth int")
+    got = sorted((r.doc_id or 0, r.rule, r.nth, r.start, r.stop) for r in secrets.scan(docs).collect())
+    want = []
+    for i, t in enumerate(texts):
+        for name, p in secrets.RULES.items():
+            for n, m in enumerate(re.finditer(p.encode(), (t or "").encode()), 1):
+                want.append((i, name, n, m.start(), m.end()))
+    assert got == sorted(want) and len(want) > 100
+    assert secrets.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# ---- language model
+
+
+def _markov(rng, n):
+    """Each word is followed by one of two."""
+    words, out = [f"w{i}" for i in range(40)], [0]
+    for _ in range(n):
+        out.append((out[-1] * 3 + rng.randint(0, 1)) % 40)
+    return " ".join(words[i] for i in out)
+
+
+def test_language_model_is_normalised_and_learns(spark):
+    rng = random.Random(2)
+    p = lblm.Params(vocabulary=64, width=16, batch=256, noise=16, rate=0.2)
+    rows = [(i, _markov(rng, 200)) for i in range(300)]
+    model = lblm.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), p)
+    scorer = lblm.Scorer(model)
+    v = len(model.bias)
+    for one, two in ((2, 3), (0, 1), (5, 5)):
+        lp = scorer.log_probs(np.arange(v), np.full(v, one), np.full(v, two))
+        assert math.isclose(np.exp(lp.astype(float)).sum(), 1, rel_tol=1e-4)
+    ids, one, two, _ = lblm.encode(pa.array([_markov(rng, 2000)]), model.words)
+    learnt, unigram = scorer.log_probs(ids, one, two).mean(), np.log(model.unigram[ids]).mean()
+    assert learnt > unigram + 1.0
+
+
+def test_language_model_of_odd_rows(spark):
+    rows = [(1, "a b c a b c"), (2, None), (3, ""), (4, "  \n"), (None, "a b"), (1, "a b c a b c"), (5, "z " * 50_000)]
+    docs = spark.createDataFrame([(i, t, "x", 0.5) for i, t in rows], "doc_id long, text string, word string, n double")
+    p = lblm.Params(vocabulary=8, width=4, batch=16, noise=4)
+    got = [(r.doc_id, r.tokens, r.log_prob, r.mean_log_prob) for r in lblm.score(docs, p=p).collect()]
+    assert len(got) == len(rows)
+    by = {g[0]: g for g in got}
+    assert by[2][1:] == by[3][1:] == by[4][1:] == (0, 0.0, None)
+    assert by[5][1] == 50_000 and by[None][1] == 2 and by[1][2] < 0
+    assert lblm.score(spark.createDataFrame([], DOCS)).count() == 0
+    assert [r.tokens for r in lblm.score(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [0]
