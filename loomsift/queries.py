@@ -233,11 +233,12 @@ def _(spark, sf_dir):
     return md.conversations_as_text(read(spark, sf_dir, "conversations"))
 
 
-POSTS = "named_struct('text', '<li>' || text || '</li>') AS question, transform(split(text, '[.] '), (x, i) -> named_struct('text', x, 'score', IF(i % 5 = 4, CAST(NULL AS INT), CAST((length(x) * 7 + i) % 11 AS INT)))) AS answers"
+QUESTION = "named_struct('text', '<li>' || text || '</li>') AS question"
+ANSWERS = "transform(split(text, '[.] '), (x, i) -> named_struct('text', x, 'score', IF(i % 5 = 4, CAST(NULL AS INT), CAST((length(x) * 7 + i) % 11 AS INT)))) AS answers"
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").selectExpr("doc_id", POSTS)
+    return read(spark, sf_dir, "documents").selectExpr("doc_id", QUESTION, ANSWERS)
 
 
 @query("modify_posts_as_text", """
