@@ -511,8 +511,8 @@ def _(spark, sf_dir):
 
 @query("pack_contexts", """
 WITH w AS (SELECT source, doc_id, unnest(list_concat(list_transform(string_split(text, ' '), lambda x: length(x)), [0])) AS t, unnest(generate_series(0, len(string_split(text, ' ')))) AS i FROM documents),
-p AS (SELECT source, t, row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS at FROM w)
-SELECT source, at // 2049 AS context, count(*) AS n_tokens, CAST(sum(t * ((at % 2049) + 1)) AS BIGINT) AS checksum FROM p GROUP BY source, at // 2049""")
+p AS (SELECT source, t, row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS place FROM w)
+SELECT source, place // 2049 AS context, count(*) AS n_tokens, CAST(sum(t * ((place % 2049) + 1)) AS BIGINT) AS checksum FROM p GROUP BY source, place // 2049""")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").withColumn("tokens", F.transform(F.split("text", " "), lambda x: F.length(x)))
     c = pk.contexts(pk.end_marked(docs), "source", "doc_id")
@@ -545,7 +545,7 @@ def _(spark, sf_dir):
 @query("pack_token_total", "SELECT CAST(sum(n) * 2049 AS BIGINT) AS tokens FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
 def _(spark, sf_dir):
     m = read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("num_sequences"))
-    return pk.token_total(m, 2049)
+    return ag.token_total(m, 2049)
 
 
 # ---- catalog, sources
