@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _char_ngrams(text: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
-    """Distinct character n-grams of the lower-cased text."""
-    low = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), F.lit(" "))
-    each = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i, n=n: F.substring(low, i, n)) for n in sizes]
-    return F.array_distinct(F.concat(*each))
+def char_ngrams(text: str, sizes: tuple[int, ...] = (1, 2, 3)) -> set[str]:
+    """Distinct character n-grams of the lower-cased letters, with single spaces for all else."""
+    low = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    return {low[i : i + n] for n in sizes for i in range(len(low) - n + 1)}
 
 
 class LanguageModel:
@@ -24,18 +25,26 @@ class LanguageModel:
     @classmethod
     def train(cls, df: DataFrame, text: str = "text", label: str = "lang", features: int = 20_000) -> LanguageModel:
         """Counts of the most common n-grams in labelled texts; `features` bounds what reaches the driver."""
-        head = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, F.explode(_char_ngrams(F.col(text))).alias("g"))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                seen: dict[tuple[str, str], int] = {}
+                for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    for g in char_ngrams(t):
+                        seen[lang, g] = seen.get((lang, g), 0) + 1
+                yield pa.record_batch({"lang": pa.array([x for x, _ in seen], pa.string()), "g": pa.array([g for _, g in seen], pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+
+        head = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, text).mapInArrow(count, "lang string, g string, n long")
         total = {r[label]: r.n for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}
         languages = sorted(total)
-        by = head.groupBy("g").pivot(label, languages).count().na.fill(0)
+        by = head.groupBy("g").pivot("lang", languages).sum("n").na.fill(0)
         rows = by.withColumn("n", sum((F.col(f"`{x}`") for x in languages), F.lit(0))).orderBy(F.desc("n"), "g").limit(features).collect()
         n = np.array([total[x] for x in languages], float)
         logs = {r.g: np.log((np.array([r[x] for x in languages]) + 0.5) / (n + 1)).tolist() for r in rows}
         return cls(logs, languages, np.log(n / n.sum()).tolist(), np.log(0.5 / (n + 1)).tolist())
 
     def probabilities(self, text: str) -> dict[str, float]:
-        low = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
-        found = {low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)} & self.table.keys()
+        found = char_ngrams(text) & self.table.keys()
         if not found:
             return {}
         score = np.array(self.prior) + np.array([self.table[g] for g in sorted(found)]).sum(0)
@@ -95,13 +104,23 @@ class NgramModel:
     @classmethod
     def train(cls, df: DataFrame, text: str = "text", least: int = 2, most: int = 200_000) -> NgramModel:
         """Counts of n-grams that occur `least` times, the `most` most common ones: that is what the model on the driver holds."""
-        w = F.concat(F.array(F.lit("<s>"), F.lit("<s>")), F.split(F.trim(text), r"\s+"), F.array(F.lit("</s>")))
-        lines = df.select(F.explode(F.split(text, "\n")).alias(text)).where(F.trim(text) != "").select(w.alias("w"))
-        grams = None
-        for n in (1, 2, 3):
-            g = lines.select(F.explode(F.transform(F.sequence(F.lit(3), F.size("w")), lambda i, n=n: F.slice("w", i - n + 1, F.lit(n)))).alias("g"))
-            grams = g if grams is None else grams.unionByName(g)
-        counted = grams.groupBy("g").agg(F.count("*").alias("n"))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                seen: dict[str, int] = {}
+                for t in b.column(0).to_pylist():
+                    for line in (t or "").split("\n"):
+                        if not line.strip():
+                            continue
+                        w = ["<s>", "<s>", *line.split(), "</s>"]
+                        for i in range(2, len(w)):
+                            for n in (1, 2, 3):
+                                g = "\x01".join(w[i - n + 1 : i + 1])
+                                seen[g] = seen.get(g, 0) + 1
+                yield pa.record_batch({"g": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+
+        grams = df.select(text).mapInArrow(count, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
+        counted = grams.select(F.split("g", "\x01").alias("g"), "n")
         total = counted.where(F.size("g") == 1).agg(F.sum("n"), F.count("*")).first()
         rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "g").limit(most).collect()
         counts = {tuple(r.g): r.n for r in rows}

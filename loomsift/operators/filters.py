@@ -79,7 +79,7 @@ def repeated_segments(text: Column, limit: float, mark: str = "\n", characters:
         return F.when(F.size(ordered) == 0, False).when(F.size(ordered) == 1, True).otherwise(share <= limit)
 
     # a lambda's variable is computed once, while an expression inside a lambda is computed for each element
-    return F.transform(F.array(F.array_sort(own)), verdict)[0]
+    return F.when(text.isNotNull(), F.transform(F.array(F.array_sort(own)), verdict)[0])
 
 
 def ngram_share(words: list[str], n: int, rule: str) -> float:

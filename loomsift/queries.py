@@ -38,7 +38,11 @@ VARIED = """CASE CAST(doc_id % 6 AS INT)
   WHEN 5 THEN '3 likes' || chr(10) || replace(text, '. ', '.' || chr(13) || chr(10))
   ELSE text END"""
 D = f"WITH d AS (SELECT doc_id, {VARIED} AS text, lang, source, n_chars FROM documents)"
-T = F.col("text")
+
+
+def T() -> Column:
+    return F.col("text")
+
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,18 +107,18 @@ def s_only(x: str, chars: str) -> str:
 # ---- filters on content: doc_ids that stay
 
 
-def keeps(name: str, column: Callable[[], Column] | Column, sql: str | None, where: str = "d") -> None:
+def keeps(name: str, column: Callable[[], Column], sql: str | None, where: str = "d") -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return varied(spark, sf_dir).where(column() if callable(column) else column).select("doc_id")
+        return varied(spark, sf_dir).where(column()).select("doc_id")
 
     query(name, f"{D} SELECT doc_id FROM {where} WHERE {sql}" if sql else None)(run)
 
 
 FILENAME = "source || CASE CAST(doc_id % 4 AS INT) WHEN 0 THEN '.py' WHEN 1 THEN '.txt' WHEN 2 THEN '.C' ELSE 'Makefile' END"
 keeps("filter_source_file", lambda: fl.source_file(F.expr(FILENAME)), f"regexp_matches({FILENAME}, {_q('(?:' + '|'.join(re.escape(s) for s in fl.SOURCE_SUFFIXES) + r')\z')})")
-keeps("filter_line_length_max", fl.line_length(T, "max", 600), f"text <> '' AND list_max(list_transform({s_lines('text')}, lambda x: length(x))) <= 600")
-keeps("filter_line_length_mean", fl.line_length(T, "mean", 200), f"text <> '' AND CAST(list_sum(list_transform({s_lines('text')}, lambda x: length(x))) AS DOUBLE) / len({s_lines('text')}) <= 200")
-keeps("filter_alphanumeric_ratio", fl.alphanumeric_ratio(T, 0.8), f"{s_only('text', r'\p{L}\p{N}')} / CAST(length(text) AS DOUBLE) >= 0.8")
+keeps("filter_line_length_max", lambda: fl.line_length(T(), "max", 600), f"text <> '' AND list_max(list_transform({s_lines('text')}, lambda x: length(x))) <= 600")
+keeps("filter_line_length_mean", lambda: fl.line_length(T(), "mean", 200), f"text <> '' AND CAST(list_sum(list_transform({s_lines('text')}, lambda x: length(x))) AS DOUBLE) / len({s_lines('text')}) <= 200")
+keeps("filter_alphanumeric_ratio", lambda: fl.alphanumeric_ratio(T(), 0.8), f"{s_only('text', r'\p{L}\p{N}')} / CAST(length(text) AS DOUBLE) >= 0.8")
 
 
 def s_repeated(limit: float, mark: str, characters: bool) -> str:
@@ -125,36 +129,36 @@ def s_repeated(limit: float, mark: str, characters: bool) -> str:
   SELECT doc_id FROM g GROUP BY doc_id HAVING sum(c) = 1 OR coalesce(CAST(sum(CASE WHEN c > 1 THEN c * l ELSE 0 END) AS DOUBLE) / nullif(sum(c * l), 0), 0) <= {limit})"""
 
 
-keeps("filter_repeated_lines", fl.repeated_segments(T, 0.1, "\n", characters=False), s_repeated(0.1, "chr(10)", False))
-keeps("filter_repeated_line_chars", fl.repeated_segments(T, 0.05, "\n"), s_repeated(0.05, "chr(10)", True))
-keeps("filter_repeated_paragraphs", fl.repeated_segments(T, 0.1, "\n\n", characters=False), s_repeated(0.1, "chr(10) || chr(10)", False))
-keeps("filter_repeated_paragraph_chars", fl.repeated_segments(T, 0.05, "\n\n"), s_repeated(0.05, "chr(10) || chr(10)", True))
-keeps("filter_web_repetition", lambda: fl.web_repetition(T), None)
-keeps("filter_repeated_ngrams", lambda: fl.repeated_ngrams(T, {3: 0.05}), None)
-keeps("filter_letters_per_token", lambda: fl.letters_per_token(T, "/opt/tokenizers/byte_bpe_50k.json", 2.0), None)
-keeps("filter_length_char", fl.page_length(T, "char", 500, 5000), "length(text) BETWEEN 500 AND 5000")
-keeps("filter_length_line", fl.page_length(T, "line", 3, 12), f"len({s_segments('text')}) BETWEEN 3 AND 12")
-keeps("filter_length_paragraph", fl.page_length(T, "paragraph", 2), f"len({s_segments('text', 'chr(10) || chr(10)')}) >= 2")
-keeps("filter_length_word", fl.page_length(T, "word", 50, 1000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 1000")
-keeps("filter_length_word_fasttext", fl.page_length(T, "word", 50, 1000), f"len({s_fasttext('text')}) BETWEEN 50 AND 1000")
-keeps("filter_length_word_uniseg", lambda: fl.page_length(T, "word", 50, 1000, model="uniseg", ignore_punctuation=True), None)
-keeps("filter_length_sentence", lambda: fl.page_length(T, "sentence", 3), None)
-keeps("filter_substring", fl.no_substring(T, ["{", "with the", r"\[12\]"]), r"NOT regexp_matches(text, '(?i)(?:\{|with the|\[12\])')")
-keeps("filter_substring_word", fl.no_substring(T, ["likes", "AND"], exact_word=True, case_sensitive=True), r"NOT regexp_matches(text, '\b(?:likes|AND)\b')")
-keeps("filter_bullets", fl.bullet_lines(T, 0.5), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.5")
-keeps("filter_ellipses", fl.ellipsis_lines(T, 0.3), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3")
+keeps("filter_repeated_lines", lambda: fl.repeated_segments(T(), 0.1, "\n", characters=False), s_repeated(0.1, "chr(10)", False))
+keeps("filter_repeated_line_chars", lambda: fl.repeated_segments(T(), 0.05, "\n"), s_repeated(0.05, "chr(10)", True))
+keeps("filter_repeated_paragraphs", lambda: fl.repeated_segments(T(), 0.1, "\n\n", characters=False), s_repeated(0.1, "chr(10) || chr(10)", False))
+keeps("filter_repeated_paragraph_chars", lambda: fl.repeated_segments(T(), 0.05, "\n\n"), s_repeated(0.05, "chr(10) || chr(10)", True))
+keeps("filter_web_repetition", lambda: fl.web_repetition(T()), None)
+keeps("filter_repeated_ngrams", lambda: fl.repeated_ngrams(T(), {3: 0.05}), None)
+keeps("filter_letters_per_token", lambda: fl.letters_per_token(T(), "/opt/tokenizers/byte_bpe_50k.json", 2.0), None)
+keeps("filter_length_char", lambda: fl.page_length(T(), "char", 500, 5000), "length(text) BETWEEN 500 AND 5000")
+keeps("filter_length_line", lambda: fl.page_length(T(), "line", 3, 12), f"len({s_segments('text')}) BETWEEN 3 AND 12")
+keeps("filter_length_paragraph", lambda: fl.page_length(T(), "paragraph", 2), f"len({s_segments('text', 'chr(10) || chr(10)')}) >= 2")
+keeps("filter_length_word", lambda: fl.page_length(T(), "word", 50, 1000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 1000")
+keeps("filter_length_word_fasttext", lambda: fl.page_length(T(), "word", 50, 1000), f"len({s_fasttext('text')}) BETWEEN 50 AND 1000")
+keeps("filter_length_word_uniseg", lambda: fl.page_length(T(), "word", 50, 1000, model="uniseg", ignore_punctuation=True), None)
+keeps("filter_length_sentence", lambda: fl.page_length(T(), "sentence", 3), None)
+keeps("filter_substring", lambda: fl.no_substring(T(), ["{", "with the", r"\[12\]"]), r"NOT regexp_matches(text, '(?i)(?:\{|with the|\[12\])')")
+keeps("filter_substring_word", lambda: fl.no_substring(T(), ["likes", "AND"], exact_word=True, case_sensitive=True), r"NOT regexp_matches(text, '\b(?:likes|AND)\b')")
+keeps("filter_bullets", lambda: fl.bullet_lines(T(), 0.5), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.5")
+keeps("filter_ellipses", lambda: fl.ellipsis_lines(T(), 0.3), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3")
 _STOPS = "(" + ", ".join(_q(w) for w in fl.STOP_WORDS) + ")"
-keeps("filter_stop_words", fl.stop_words(T, 2), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2")
-keeps("filter_stop_words_unique", fl.stop_words(T, 4, unique=True), f"len(list_distinct(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS}))) >= 4")
-keeps("filter_word_length", fl.mean_word_length(T, 3, 6), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 6")
-keeps("filter_symbol_ratio", fl.symbol_ratio(T, 0.02), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.02")
-keeps("filter_words_removed", fl.words_removed(T, F.col("n_chars").cast("int") / 6, most=0.05, ignore_punctuation=False), f"(n_chars / 6.0 - len({s_fasttext('text')})) / nullif(n_chars / 6.0, 0) <= 0.05")
-keeps("filter_wordless_words", fl.wordless_words(T, 0.05), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.05")
-keeps("filter_sampled", fl.sampled(F.col("doc_id"), 0.5, 7), None)
-keeps("filter_language", fl.in_language(F.create_map(F.col("lang"), F.col("n_chars") / 10000.0), ["en", "fr"], 0.1), "lang IN ('en', 'fr') AND n_chars / 10000.0 > 0.1")
-keeps("filter_score", fl.scored(F.col("n_chars") / 1000.0, 2.0), "n_chars / 1000.0 >= 2.0")
-keeps("filter_score_lower", fl.scored(F.col("n_chars") / 1000.0, 2.0, lower_is_better=True), "n_chars / 1000.0 <= 2.0")
-keeps("text_is_space_or_punct", ~tx.is_space_or_punct(F.regexp_replace("text", r"[\p{L}\p{N}]", "")), r"NOT regexp_matches(regexp_replace(text, '[\p{L}\p{N}]', '', 'g'), '\A[ !-/:-@\[-`{-~]*\z')")
+keeps("filter_stop_words", lambda: fl.stop_words(T(), 2), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2")
+keeps("filter_stop_words_unique", lambda: fl.stop_words(T(), 4, unique=True), f"len(list_distinct(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS}))) >= 4")
+keeps("filter_word_length", lambda: fl.mean_word_length(T(), 3, 6), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 6")
+keeps("filter_symbol_ratio", lambda: fl.symbol_ratio(T(), 0.02), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.02")
+keeps("filter_words_removed", lambda: fl.words_removed(T(), F.col("n_chars").cast("int") / 6, most=0.05, ignore_punctuation=False), f"(n_chars / 6.0 - len({s_fasttext('text')})) / nullif(n_chars / 6.0, 0) <= 0.05")
+keeps("filter_wordless_words", lambda: fl.wordless_words(T(), 0.05), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.05")
+keeps("filter_sampled", lambda: fl.sampled(F.col("doc_id"), 0.5, 7), None)
+keeps("filter_language", lambda: fl.in_language(F.create_map(F.col("lang"), F.col("n_chars") / 10000.0), ["en", "fr"], 0.1), "lang IN ('en', 'fr') AND n_chars / 10000.0 > 0.1")
+keeps("filter_score", lambda: fl.scored(F.col("n_chars") / 1000.0, 2.0), "n_chars / 1000.0 >= 2.0")
+keeps("filter_score_lower", lambda: fl.scored(F.col("n_chars") / 1000.0, 2.0, lower_is_better=True), "n_chars / 1000.0 <= 2.0")
+keeps("text_is_space_or_punct", lambda: ~tx.is_space_or_punct(F.regexp_replace("text", r"[\p{L}\p{N}]", "")), r"NOT regexp_matches(regexp_replace(text, '[\p{L}\p{N}]', '', 'g'), '\A[ !-/:-@\[-`{-~]*\z')")
 
 _AUTHORITY = r"lower(regexp_extract(url, '\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1))"
 
@@ -174,10 +178,10 @@ def _(spark, sf_dir):
 # ---- modifiers: doc_id and the new text
 
 
-def modifies(name: str, column: Callable[[], Column] | Column, sql: str | None, source: str = "text") -> None:
+def modifies(name: str, column: Callable[[], Column], sql: str | None, source: str = "text") -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = varied(spark, sf_dir).withColumn("text", F.expr(source))
-        return md.apply(df, "text", column() if callable(column) else column).select("doc_id", "text")
+        return md.apply(df, "text", column()).select("doc_id", "text")
 
     query(name, f"{D}, e AS (SELECT doc_id, {source} AS text FROM d), f AS (SELECT doc_id, {sql} AS text FROM e) SELECT doc_id, text FROM f WHERE text IS NOT NULL" if sql else None)(run)
 
@@ -193,39 +197,39 @@ _SPARK_LATEX = LATEX.replace("\\", "\\\\")
 
 def latex(name: str, column, sql: str | None) -> None:
     modifies(name, column, sql)
-    QUERIES[name] = lambda spark, sf_dir: md.apply(varied(spark, sf_dir).withColumn("text", F.expr(_SPARK_LATEX)), "text", column() if callable(column) else column).select("doc_id", "text")
+    QUERIES[name] = lambda spark, sf_dir: md.apply(varied(spark, sf_dir).withColumn("text", F.expr(_SPARK_LATEX)), "text", column()).select("doc_id", "text")
     if name in ORACLE_SQL:
         ORACLE_SQL[name] = f"{D}, e AS (SELECT doc_id, {LATEX} AS text FROM d), f AS (SELECT doc_id, {sql} AS text FROM e) SELECT doc_id, text FROM f WHERE text IS NOT NULL"
 
 
-latex("modify_latex_appendix", md.cut_appendix(T), s_nonempty(r"regexp_replace(text, '(?s)(?:\\appendix|\\begin\{(?:references|REFERENCES|thebibliography)\}|\\bibliography\{.*?\}).*', '', 'g')"))
-latex("modify_latex_comments", md.drop_comments(T, environments=True), s_nonempty(r"regexp_replace(regexp_replace(regexp_replace(text, '(?m)^%.*\n?', '', 'g'), '(?m)[^\\]%.+$', '', 'g'), '(?s)\\begin\{comment\}.*?\\end\{comment\}', '', 'g')"))
-latex("modify_latex_sections", md.from_first_section(T), r"CASE WHEN strpos(text, '\section{') > 0 THEN substr(text, strpos(text, '\section{')) END")
-latex("modify_latex_macros", lambda: md.expand_macros(T), r"nullif(replace(replace(text, '\xx}', 'yy}'), '\xx ', 'yy '), '')")
-modifies("modify_drop_lines", md.drop_lines_with(T, ["likes", r"the \w+ing"]), s_nonempty(s_strip(s_kept_lines("text", r"NOT regexp_matches(x, '(?i)(?:likes|the \w+ing)')"))))
-modifies("modify_drop_matches", md.drop_lines_with(T, ["likes", "see"], max_words=30, match_only=True), s_nonempty(s_strip(
+latex("modify_latex_appendix", lambda: md.cut_appendix(T()), s_nonempty(r"regexp_replace(text, '(?s)(?:\\appendix|\\begin\{(?:references|REFERENCES|thebibliography)\}|\\bibliography\{.*?\}).*', '', 'g')"))
+latex("modify_latex_comments", lambda: md.drop_comments(T(), environments=True), s_nonempty(r"regexp_replace(regexp_replace(regexp_replace(text, '(?m)^%.*\n?', '', 'g'), '(?m)[^\\]%.+$', '', 'g'), '(?s)\\begin\{comment\}.*?\\end\{comment\}', '', 'g')"))
+latex("modify_latex_sections", lambda: md.from_first_section(T()), r"CASE WHEN strpos(text, '\section{') > 0 THEN substr(text, strpos(text, '\section{')) END")
+latex("modify_latex_macros", lambda: md.expand_macros(T()), r"nullif(replace(replace(text, '\xx}', 'yy}'), '\xx ', 'yy '), '')")
+modifies("modify_drop_lines", lambda: md.drop_lines_with(T(), ["likes", r"the \w+ing"]), s_nonempty(s_strip(s_kept_lines("text", r"NOT regexp_matches(x, '(?i)(?:likes|the \w+ing)')"))))
+modifies("modify_drop_matches", lambda: md.drop_lines_with(T(), ["likes", "see"], max_words=30, match_only=True), s_nonempty(s_strip(
     f"""coalesce(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '(?i)\\s?(?:likes|see)') AND len({s_words('x')}) <= 30
     THEN CASE WHEN {s_strip("regexp_replace(x, '(?i)\\s?(?:likes|see)', '', 'g')")} = '' THEN NULL ELSE regexp_replace(x, '(?i)\\s?(?:likes|see)', '', 'g') END ELSE x END), lambda x: x IS NOT NULL), chr(10)), '')""")))
-modifies("modify_punctuated_lines", md.punctuated_lines(T, drop_ellipses=True), s_nonempty(s_kept_lines("text", f"(x = '' OR regexp_matches(x, '[.!?\"…][{tx.SPACE}]*\\z')) AND NOT regexp_matches(x, '(?:\\.\\.\\.|…)[{tx.SPACE}]*\\z')")))
-modifies("modify_lines_by_length", md.lines_by_length(T, 5, 60), s_nonempty(s_kept_lines("text", f"x = '' OR len({s_words('x')}) BETWEEN 5 AND 60")))
-modifies("modify_lines_by_word", md.lines_by_longest_word(T, 14), s_nonempty(s_kept_lines("text", f"coalesce(list_max(list_transform({s_words('x')}, lambda w: length(w))), 0) <= 14")))
-modifies("modify_lines_by_word_uniseg", lambda: md.lines_by_longest_word(T, 14, "uniseg"), None)
-modifies("modify_uppercase_lines", md.uppercase_lines(T, 0.2), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', r'\p{Lu}')} / CAST(length(x) AS DOUBLE) <= 0.2"))))
-modifies("modify_numeric_lines", md.numeric_lines(T, 0.1), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', tx.DIGIT)} / CAST(length(x) AS DOUBLE) <= 0.1"))))
-modifies("modify_citations", md.drop_citations(T), r"regexp_replace(text, '\[(?:\p{Nd}*|edit|citation needed)\]', '', 'g')")
-modifies("modify_urls", md.drop_urls(T, ["com", "org"]), s_nonempty(r"regexp_replace(CASE WHEN regexp_matches(text, '\.(?:com|org)') THEN regexp_replace(text, '\s{0,10}(?:(?:https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.(?:com|org)\b[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g') ELSE text END, '\s{0,10}\b(?:(?:https?|ftp)://)?(?:[0-2]?[0-9]{1,2}\.){3}[0-2]?[0-9]{1,2}[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g')"))
-modifies("modify_counters", md.drop_counters(T), s_nonempty(s_strip(s_kept_lines("text", rf"NOT regexp_matches(lower(x), '\A[^\p{{L}}\p{{N}}_]*\d[\d,.]*[kmb]?\s+(?:{'|'.join(md.COUNTED)})[^\p{{L}}\p{{N}}_]*\z')"))))
-modifies("modify_dedup_within", lambda: md.dedup_within(T), f"""(SELECT string_agg(x, chr(10) ORDER BY i) FROM (SELECT x, i, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY i) AS r FROM
+modifies("modify_punctuated_lines", lambda: md.punctuated_lines(T(), drop_ellipses=True), s_nonempty(s_kept_lines("text", f"(x = '' OR regexp_matches(x, '[.!?\"…][{tx.SPACE}]*\\z')) AND NOT regexp_matches(x, '(?:\\.\\.\\.|…)[{tx.SPACE}]*\\z')")))
+modifies("modify_lines_by_length", lambda: md.lines_by_length(T(), 5, 60), s_nonempty(s_kept_lines("text", f"x = '' OR len({s_words('x')}) BETWEEN 5 AND 60")))
+modifies("modify_lines_by_word", lambda: md.lines_by_longest_word(T(), 14), s_nonempty(s_kept_lines("text", f"coalesce(list_max(list_transform({s_words('x')}, lambda w: length(w))), 0) <= 14")))
+modifies("modify_lines_by_word_uniseg", lambda: md.lines_by_longest_word(T(), 14, "uniseg"), None)
+modifies("modify_uppercase_lines", lambda: md.uppercase_lines(T(), 0.2), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', r'\p{Lu}')} / CAST(length(x) AS DOUBLE) <= 0.2"))))
+modifies("modify_numeric_lines", lambda: md.numeric_lines(T(), 0.1), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', tx.DIGIT)} / CAST(length(x) AS DOUBLE) <= 0.1"))))
+modifies("modify_citations", lambda: md.drop_citations(T()), r"regexp_replace(text, '\[(?:\p{Nd}*|edit|citation needed)\]', '', 'g')")
+modifies("modify_urls", lambda: md.drop_urls(T(), ["com", "org"]), s_nonempty(r"regexp_replace(CASE WHEN regexp_matches(text, '\.(?:com|org)') THEN regexp_replace(text, '\s{0,10}(?:(?:https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.(?:com|org)\b[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g') ELSE text END, '\s{0,10}\b(?:(?:https?|ftp)://)?(?:[0-2]?[0-9]{1,2}\.){3}[0-2]?[0-9]{1,2}[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g')"))
+modifies("modify_counters", lambda: md.drop_counters(T()), s_nonempty(s_strip(s_kept_lines("text", rf"NOT regexp_matches(lower(x), '\A[^\p{{L}}\p{{N}}_]*\d[\d,.]*[kmb]?\s+(?:{'|'.join(md.COUNTED)})[^\p{{L}}\p{{N}}_]*\z')"))))
+modifies("modify_dedup_within", lambda: md.dedup_within(T()), f"""(SELECT string_agg(x, chr(10) ORDER BY i) FROM (SELECT x, i, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY i) AS r FROM
   (SELECT unnest(string_split(e.text, chr(10))) AS x, unnest(generate_series(1, len(string_split(e.text, chr(10))))) AS i)) WHERE r = 1 OR {s_strip('x')} = '')""")
-modifies("modify_squeeze_newlines", md.squeeze_newlines(T, 1), r"regexp_replace(text, '\n{2,}', chr(10), 'g')")
-modifies("modify_split_and_join", md.join_lines(md.split_lines(T, ". "), " | "), "array_to_string(string_split(nullif(text, ''), '. '), ' | ')")
-modifies("modify_html_text", lambda: md.html_text(F.concat(F.lit("<p>"), F.replace(T, F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))), None)
+modifies("modify_squeeze_newlines", lambda: md.squeeze_newlines(T(), 1), r"regexp_replace(text, '\n{2,}', chr(10), 'g')")
+modifies("modify_split_and_join", lambda: md.join_lines(md.split_lines(T(), ". "), " | "), "array_to_string(string_split(nullif(text, ''), '. '), ' | ')")
+modifies("modify_html_text", lambda: md.html_text(F.concat(F.lit("<p>"), F.replace(T(), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))), None)
 
 
 @query("modify_html_pages")
 def _(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").withColumnRenamed("html", "text")
-    return md.apply(pages, "text", md.html_text(T)).select("page_id", "text")
+    return md.apply(pages, "text", md.html_text(T())).select("page_id", "text")
 
 
 @query("modify_conversations", """SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN 'Q: ' ELSE 'A: ' END || coalesce(text, ''), chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
@@ -280,9 +284,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     from .functions import words as wd
 
-    df = en.add(varied(spark, sf_dir), "num_lines", en.line_count(T).cast("long"))
-    df = en.add(df, "word_count", en.word_count(T, ignore_punctuation=False).cast("long"))
-    return en.add(df, "words", wd.word_count(T, "split", ignore_punctuation=True).cast("long")).select("doc_id", "num_lines", "word_count", "words")
+    df = en.add(varied(spark, sf_dir), "num_lines", en.line_count(T()).cast("long"))
+    df = en.add(df, "word_count", en.word_count(T(), ignore_punctuation=False).cast("long"))
+    return en.add(df, "words", wd.word_count(T(), "split", ignore_punctuation=True).cast("long")).select("doc_id", "num_lines", "word_count", "words")
 
 
 @query("normalize_url", r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, 'https?://(?:www\.)?', '', 'g'), '(?s)\?(?:utm_|ref|feed).*', '', 'g'), '/+\z', '', 'g') AS url FROM pages")
@@ -292,18 +296,18 @@ def _(spark, sf_dir):
 
 @query("normalize_text", f"{D} SELECT doc_id, md5(lower({s_strip('text')})) AS folded, md5(text) AS hash FROM d")
 def _(spark, sf_dir):
-    return varied(spark, sf_dir).select("doc_id", nz.text_hash(nz.whitespace_and_case(T)).alias("folded"), nz.text_hash(T).alias("hash"))
+    return varied(spark, sf_dir).select("doc_id", nz.text_hash(nz.whitespace_and_case(T())).alias("folded"), nz.text_hash(T()).alias("hash"))
 
 
 @query("normalize_timestamp", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN -1.0 ELSE CAST(floor(epoch(ts)) AS DOUBLE) END AS seconds FROM events")
 def _(spark, sf_dir):
-    text = F.when(F.col("event_id") % 7 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    text = F.when(F.col("event_id") % 7 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T()'HH:mm:ss'Z'"))
     return read(spark, sf_dir, "events").select("event_id", nz.timestamp(text).alias("seconds"))
 
 
 @query("normalize_dedup_key")
 def _(spark, sf_dir):
-    return varied(spark, sf_dir).select("doc_id", nz.dedup_key(T).alias("key"))
+    return varied(spark, sf_dir).select("doc_id", nz.dedup_key(T()).alias("key"))
 
 
 _PUNCT_SQL = "text"
@@ -313,14 +317,14 @@ for _k, _v in nz.PUNCTUATION.items():
 
 @query("normalize_punctuation", f"{D} SELECT doc_id, md5(regexp_replace({_PUNCT_SQL.replace('text', 'regexp_replace(lower(' + s_strip('text') + '), ' + _q(r'\p{Nd}') + ', ' + _q('0') + ', ' + _q('g') + ')', 1)}, {_q(f'[{nz.CONTROL}]')}, '', 'g')) AS key FROM d")
 def _(spark, sf_dir):
-    return varied(spark, sf_dir).select("doc_id", F.md5(nz.language_model_line(T)).alias("key"))
+    return varied(spark, sf_dir).select("doc_id", F.md5(nz.language_model_line(T())).alias("key"))
 
 
 @query("enrich_language")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = providers.LanguageModel.train(docs)
-    return docs.select("doc_id", "lang", ag.top_key(en.language_of_page(T, model), 0.5, "unknown").alias("guess"))
+    return docs.select("doc_id", "lang", ag.top_key(en.language_of_page(T(), model), 0.5, "unknown").alias("guess"))
 
 
 @query("enrich_sentence_languages")
@@ -342,7 +346,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = providers.NgramModel.train(docs)
-    return docs.select("doc_id", en.perplexity(T, model).alias("perplexity"))
+    return docs.select("doc_id", en.perplexity(T(), model).alias("perplexity"))
 
 
 # ---- joins
@@ -443,7 +447,7 @@ def _(spark, sf_dir):
 
 @query("dedup_documents", f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower({s_strip('text')}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
 def _(spark, sf_dir):
-    return dd.exact(read(spark, sf_dir, "documents"), nz.whitespace_and_case(T), [F.col("doc_id")]).select("doc_id")
+    return dd.exact(read(spark, sf_dir, "documents"), nz.whitespace_and_case(T()), [F.col("doc_id")]).select("doc_id")
 
 
 @query("dedup_urls", r"SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY lower(regexp_extract(url, '\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)) ORDER BY md5(url) DESC, page_id) AS r FROM pages) WHERE r = 1")
@@ -456,9 +460,9 @@ WITH u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(gener
 r AS (SELECT *, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, i) AS r FROM u)
 SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS text FROM r WHERE r = 1 GROUP BY doc_id""")
 def _(spark, sf_dir):
-    docs = md.apply(read(spark, sf_dir, "documents"), "text", md.split_lines(T))
+    docs = md.apply(read(spark, sf_dir, "documents"), "text", md.split_lines(T()))
     kept = dd.exact_units(docs, "text", nz.whitespace_and_case, [nz.text_hash(F.col("doc_id").cast("string"))], "doc_id")
-    return md.apply(kept, "text", md.join_lines(T)).select("doc_id", "text")
+    return md.apply(kept, "text", md.join_lines(T())).select("doc_id", "text")
 
 
 def _checkpoints(spark: SparkSession) -> None:
@@ -602,13 +606,13 @@ def _(spark, sf_dir):
 # ---- pipelines
 
 RULES = {
-    "words": (lambda: fl.page_length(T, "word", 50, 100_000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 100000"),
-    "word_length": (lambda: fl.mean_word_length(T, 3, 10), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 10"),
-    "symbols": (lambda: fl.symbol_ratio(T, 0.1), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.1"),
-    "bullets": (lambda: fl.bullet_lines(T), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.9"),
-    "ellipses": (lambda: fl.ellipsis_lines(T), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3"),
-    "letters": (lambda: fl.wordless_words(T), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.2"),
-    "stop_words": (lambda: fl.stop_words(T), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2"),
+    "words": (lambda: fl.page_length(T(), "word", 50, 100_000, model="split"), f"len({s_words('text')}) BETWEEN 50 AND 100000"),
+    "word_length": (lambda: fl.mean_word_length(T(), 3, 10), f"CAST(list_sum(list_transform({s_words('text')}, lambda w: length(w))) AS DOUBLE) / len({s_words('text')}) BETWEEN 3 AND 10"),
+    "symbols": (lambda: fl.symbol_ratio(T(), 0.1), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.1"),
+    "bullets": (lambda: fl.bullet_lines(T()), f"len(list_filter({s_segments('text')}, lambda x: regexp_matches(x, '^[●•*-]'))) <= len({s_segments('text')}) * 0.9"),
+    "ellipses": (lambda: fl.ellipsis_lines(T()), f"len(list_filter({s_segments('text')}, lambda x: ends_with(x, '...') OR ends_with(x, '. . .') OR ends_with(x, '…'))) <= len({s_segments('text')}) * 0.3"),
+    "letters": (lambda: fl.wordless_words(T()), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.2"),
+    "stop_words": (lambda: fl.stop_words(T()), f"len(list_filter({s_words('lower(text)')}, lambda w: w IN {_STOPS})) >= 2"),
 }
 _CASES = " ".join(f"WHEN NOT coalesce({sql}, FALSE) THEN '{name}'" for name, (_, sql) in RULES.items())
 
