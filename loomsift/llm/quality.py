@@ -6,10 +6,9 @@ document. The logarithm of their ratio, summed over a document, is its log
 importance weight; with Gumbel noise added, the top k documents are a sample
 without replacement in proportion to the weights.
 
-Two refinements keep the sum about the document instead of about its length:
-a log ratio counts only as far as it exceeds `caution` standard errors (rare
-n-grams say nothing), and the target's mean log ratio is taken off each
-n-gram (a long clean document has no bonus to hide bad words behind).
+A log ratio counts only as far as it exceeds `caution` standard errors: rare
+n-grams say nothing, and what they would add up to over a long document
+doesn't drown the few that do.
 
 Defined results:
 * A null text is rejected; an empty text has weight 0.
@@ -83,16 +82,14 @@ def _count(buckets: int):
 
 
 def _weights(raw: np.ndarray, target: np.ndarray, caution: float) -> np.ndarray:
-    """Cautious log ratios, centred on the target's mean."""
+    """Log ratios of target to raw, as far as they exceed `caution` standard errors."""
     r, t = raw.sum(), target.sum()
     if not t or not r:
         return np.zeros(len(raw), np.float32)
     expected = raw * (t / r)
-    ratio = np.log((target + 0.5) / (expected + 0.5 * t / r)) - np.log1p(0.5 * len(raw) / t) + np.log1p(0.5 * len(raw) / r)
+    ratio = np.log((target + 0.5) / (expected + 0.5))
     error = np.sqrt(1 / (np.maximum(target, expected) + 0.5) + 1 / (raw + 0.5))
-    sure = np.sign(ratio) * np.maximum(0, np.abs(ratio) - caution * error)
-    sure -= (sure * target).sum() / t
-    return sure.astype(np.float32)
+    return (np.sign(ratio) * np.maximum(0, np.abs(ratio) - caution * error)).astype(np.float32)
 
 
 def _scorer(weights, buckets: int):
