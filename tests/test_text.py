@@ -94,7 +94,7 @@ def test_nulls_drop(spark):
         assert df.where(c).count() == 0, name
 
 
-def test_ngram_repetition():
+def test_ngram_repetition(spark):
     assert fl.ngram_share("a b c d".split(), 2, "most_common") == 0
     assert fl.ngram_share("a b a b c".split(), 2, "most_common") == pytest.approx(4 / 5)
     assert fl.ngram_share("a bb a bb x y".split(), 2, "all") == pytest.approx(6 / 8)
