@@ -85,8 +85,8 @@ def is_space_or_punct(c: Column) -> Column:
 
 
 def if_kept(c: Column) -> Column:
-    """Null, which drops the row, for an empty text."""
-    return F.when(c != "", c)
+    """Null, which drops the row, for an empty text. The column is computed once, though it is looked at and returned."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
 
 
 def java_regex(pattern: str) -> str:

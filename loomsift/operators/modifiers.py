@@ -20,8 +20,15 @@ BACKSLASH = r"\\"
 
 
 def apply(df: DataFrame, column: str, value: Column) -> DataFrame:
-    """df with the modified column, without the rows for which it is null."""
-    return df.withColumn(column, value).where(F.col(column).isNotNull())
+    """df with the modified column, without the rows for which it is null.
+
+    The value goes through a generator of one row. Otherwise the optimizer would
+    push the test for null below the projection, and compute the whole chain of
+    modifiers again for each step of a pipeline.
+    """
+    names = [c for c in df.columns if c != column]
+    out = df.select(*[F.col(f"`{c}`") for c in names], F.explode(F.array(value)).alias(column)).where(F.col(column).isNotNull())
+    return out.select(*[F.col(f"`{c}`") for c in df.columns]) if column in df.columns else out
 
 
 # ---- code and papers
