@@ -68,8 +68,9 @@ def drop_comments(text: Column, environments: bool = False) -> Column:
     return tx.if_kept(out)
 
 
-_NEW_COMMAND = re.compile(r"\\newcommand\b\*?\{(\\[a-zA-Z0-9]+)\}\{(.*?)\}$", re.M)
-_DEF = re.compile(r"\\def\s*(\\[a-zA-Z0-9]+)\s*\{(.*?)\}$", re.M)
+_NAME, _BODY = r"(\\[0-9A-Za-z]+)", r"\{(.*?)\}$"
+_NEW_COMMAND = re.compile(r"\\newcommand\b[*]?[{]" + _NAME + "[}]" + _BODY, re.M)
+_DEF = re.compile(r"\\def\s*" + _NAME + r"\s*" + _BODY, re.M)
 
 
 def expand_macros_in(text: str) -> str:
@@ -79,7 +80,7 @@ def expand_macros_in(text: str) -> str:
         for m in pattern.finditer(text):
             found[m.group(1)] = m.group(2)
     for name, value in found.items():
-        text = re.sub(re.escape(name) + "(?=([^a-zA-Z0-9]))", lambda m, v=value: v, text)
+        text = re.sub(re.escape(name) + "(?=[^0-9A-Za-z])", lambda m, v=value: v, text)
     return text
 
 
@@ -301,9 +302,11 @@ def drop_citations(text: Column) -> Column:
 def drop_urls(text: Column, domains: list[str], strict_gate: bool = False) -> Column:
     """URLs whose host ends in one of the top-level domains, then URLs with an IPv4 address, and up to ten spaces before. strict_gate: the former only where the text itself begins with a domain."""
     tops = "|".join(re.escape(d) for d in sorted(domains, key=lambda d: (-len(d), d)))
-    tail = r"[-a-zA-Z0-9()@:%_+.~#?&/=]*"
-    named = rf"(?U)\s{{0,10}}(?:(?:https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{{1,256}}\.(?:{tops})\b{tail}"
-    numbered = rf"(?U)\s{{0,10}}\b(?:(?:https?|ftp)://)?(?:[0-2]?[0-9]{{1,2}}\.){{3}}[0-2]?[0-9]{{1,2}}{tail}"
+    tail = r"[0-9A-Za-z()@:%_+.~#?&/=\-]*"
+    scheme = "(?:(?:ftp|https?)://)?"
+    named = rf"(?U)\s{{0,10}}{scheme}[0-9A-Za-z@:%._+~#=\-]{{1,256}}\.(?:{tops})\b{tail}"
+    byte = "[012]?[0-9][0-9]?"
+    numbered = rf"(?U)\s{{0,10}}\b{scheme}(?:{byte}\.){{3}}{byte}{tail}"
     gate = text.rlike(rf"\A(?:{tops})") if strict_gate else text.rlike(rf"\.(?:{tops})")
     out = F.when(gate, F.regexp_replace(text, named, "")).otherwise(text)
     return tx.if_kept(F.regexp_replace(out, numbered, ""))

@@ -217,7 +217,7 @@ modifies("modify_lines_by_word_uniseg", lambda: md.lines_by_longest_word(T(), 14
 modifies("modify_uppercase_lines", lambda: md.uppercase_lines(T(), 0.2), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', r'\p{Lu}')} / CAST(length(x) AS DOUBLE) <= 0.2"))))
 modifies("modify_numeric_lines", lambda: md.numeric_lines(T(), 0.1), s_nonempty(s_strip(s_kept_lines("text", f"x = '' OR {s_only('x', tx.DIGIT)} / CAST(length(x) AS DOUBLE) <= 0.1"))))
 modifies("modify_citations", lambda: md.drop_citations(T()), r"regexp_replace(text, '\[(?:\p{Nd}*|edit|citation needed)\]', '', 'g')")
-modifies("modify_urls", lambda: md.drop_urls(T(), ["com", "org"]), s_nonempty(r"regexp_replace(CASE WHEN regexp_matches(text, '\.(?:com|org)') THEN regexp_replace(text, '\s{0,10}(?:(?:https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{1,256}\.(?:com|org)\b[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g') ELSE text END, '\s{0,10}\b(?:(?:https?|ftp)://)?(?:[0-2]?[0-9]{1,2}\.){3}[0-2]?[0-9]{1,2}[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g')"))
+modifies("modify_urls", lambda: md.drop_urls(T(), ["com", "org"]), s_nonempty(r"regexp_replace(CASE WHEN regexp_matches(text, '\.(?:com|org)') THEN regexp_replace(text, '\s{0,10}(?:(?:ftp|https?)://)?[0-9A-Za-z@:%._+~#=\-]{1,256}\.(?:com|org)\b[0-9A-Za-z()@:%_+.~#?&/=\-]*', '', 'g') ELSE text END, '\s{0,10}\b(?:(?:ftp|https?)://)?(?:[012]?[0-9][0-9]?\.){3}[012]?[0-9][0-9]?[0-9A-Za-z()@:%_+.~#?&/=\-]*', '', 'g')"))
 modifies("modify_counters", lambda: md.drop_counters(T()), s_nonempty(s_strip(s_kept_lines("text", rf"NOT regexp_matches(lower(x), '\A[^\p{{L}}\p{{N}}_]*\d[\d,.]*[kmb]?\s+(?:{'|'.join(md.COUNTED)})[^\p{{L}}\p{{N}}_]*\z')"))))
 modifies("modify_dedup_within", lambda: md.dedup_within(T()), f"""(SELECT string_agg(x, chr(10) ORDER BY i) FROM (SELECT x, i, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY i) AS r FROM
   (SELECT unnest(string_split(e.text, chr(10))) AS x, unnest(generate_series(1, len(string_split(e.text, chr(10))))) AS i)) WHERE r = 1 OR {s_strip('x')} = '')""")
