@@ -4,21 +4,26 @@ The model predicts a word from the two before it: each context word's vector
 goes through a matrix of its place, their sum is the predicted vector, and a
 word's score is its product with the word's own vector, and a bias. Training
 tells words of the corpus from words drawn from the unigram distribution, which
-needs no sum over the vocabulary. Scoring does normalise: matrix products give
-the scores of all words for whole batches of contexts, and a context's
-log-sum-exp is kept, so that every log-probability is exact under the model.
+needs no sum over the vocabulary.
 
-The vocabulary is counted over all documents. Every document trains the model
-once: partitions start from the same parameters, learn from all their trigrams
-with their counts, and the results are averaged by tokens; this is done for an
-eighth of the documents and then, from there, for the rest.
+The vocabulary grows with the corpus: its size is `growth` times the root of the
+number of distinct words, counted over all documents. The most common words are
+classes of their own, the others are in bands of about equal frequency, and a
+word's probability is that of its class times that within the class. Scoring
+normalises both exactly, by matrix products with the classes and with one band.
+A token out of the vocabulary is <unk>, and is spelled: its bytes have the
+probabilities of an interpolated byte trigram model of all such tokens.
+
+Every document trains the model once: partitions start from the same parameters,
+learn from all their trigrams with their counts, and send the vectors that they
+changed, which are averaged by how often each partition saw the word; this is
+done for an eighth of the documents and then, from there, for the rest.
 
 Defined results:
 * A null or empty text, or one of white space, has 0 tokens, log_prob 0 and a
   null mean.
-* Tokens are lower-cased words and runs of punctuation; those out of the
-  vocabulary are the word <unk>, which has a probability as the others. Equal
-  counts are ordered by hash. An empty table has no model and gives no rows.
+* Tokens are lower-cased words and runs of punctuation. Equal counts are ordered
+  by hash. An empty table has no model and gives no rows.
 * Repeated rows are each scored, and count each in training.
 """
 
@@ -40,9 +45,13 @@ UNK, BOS = 0, 1
 
 @dataclass(frozen=True)
 class Params:
-    vocabulary: int = 1024
+    vocabulary: int | None = None  # None: grows with the corpus
+    growth: int = 32
+    least: int = 1024
+    head: int = 128
     width: int = 32
     noise: int = 48
+    inner: int = 4
     batch: int = 8192
     rate: float = 0.08
     seed: int = 23
@@ -50,53 +59,125 @@ class Params:
 
 @dataclass
 class Model:
-    """words: hashes of the words 2, 3, ...; unigram: probabilities of all."""
+    """words: hashes of the words 2, 3, ...; unigram: probabilities of all; head: how many ids are classes of their own; band: the size of the others' classes."""
 
     words: np.ndarray
     unigram: np.ndarray
+    head: int
+    band: int
     context: np.ndarray  # vocabulary x width
     target: np.ndarray  # vocabulary x width
-    place: np.ndarray  # 2 x width x width
     bias: np.ndarray
+    group: np.ndarray  # classes x width
+    group_bias: np.ndarray
+    place: np.ndarray  # 2 x width x width
+    spelling: tuple[np.ndarray, np.ndarray] | None = None  # byte trigrams and their counts
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """The class of each id."""
+        return np.where(ids < self.head, ids, self.head + (ids - self.head) // self.band)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.context, self.target, self.place, self.bias)]).astype(np.float64)
+        """A row for each word, class and row of the matrices, as wide as a word's."""
+        v, c, d = len(self.bias), len(self.group), self.place.shape[-1]
+        out = np.zeros((v + c + 2 * d, 2 * d + 1), np.float32)
+        out[:v, :d], out[:v, d:-1], out[:v, -1] = self.context, self.target, self.bias
+        out[v : v + c, :d], out[v : v + c, -1] = self.group, self.group_bias
+        out[v + c :, :d] = self.place.reshape(-1, d)
+        return out
 
     def filled(self, flat: np.ndarray) -> Model:
-        out, at = [], 0
-        for x in (self.context, self.target, self.place, self.bias):
-            out.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
-            at += x.size
-        return Model(self.words, self.unigram, *out)
+        v, c, d = len(self.bias), len(self.group), self.place.shape[-1]
+        parts = flat[:v, :d], flat[:v, d:-1], flat[:v, -1], flat[v : v + c, :d], flat[v : v + c, -1], flat[v + c :, :d].reshape(2, d, d)
+        return Model(self.words, self.unigram, self.head, self.band, *(x.astype(np.float32, order="C") for x in parts), self.spelling)
 
 
 def fresh(words: np.ndarray, unigram: np.ndarray, p: Params) -> Model:
     rng = np.random.default_rng(p.seed)
     v, d = len(unigram), p.width
+    head = min(v, p.head)
+    band = max(1, int(np.ceil(np.sqrt(v - head))))
     place = np.stack([np.eye(d), 0.5 * np.eye(d)]).astype(np.float32)
-    return Model(words, unigram, *(rng.standard_normal((v, d)).astype(np.float32) * 0.1 for _ in "ct"), place, np.log(unigram).astype(np.float32))
+    vectors = lambda n: rng.standard_normal((n, d)).astype(np.float32) * 0.1
+    m = Model(words, unigram, head, band, vectors(v), vectors(v), np.zeros(v, np.float32), np.zeros((0, d), np.float32), np.zeros(0, np.float32), place)
+    of = m.of(np.arange(v))
+    mass = np.bincount(of, weights=unigram)
+    m.group, m.group_bias = vectors(len(mass)), np.log(mass).astype(np.float32)
+    m.bias = np.log(unigram / mass[of]).astype(np.float32)
+    return m
 
 
-def _token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data, off = tk.utf8(texts)
-    starts, ends, first = tk.spans(data, off, tk.BY_CLASS)
+    return data, *tk.spans(data, off, tk.BY_CLASS)
+
+
+def _token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, starts, ends, first = _tokens(texts)
     return tk.hashes(data, starts, ends), first
 
 
+def _ids(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    if not len(words):
+        return np.zeros(len(h), np.int32)
+    order = np.argsort(words)
+    ordered = words[order]
+    at = np.searchsorted(ordered, h)
+    at[at == len(words)] = 0
+    return np.where(ordered[at] == h, order[at] + 2, UNK).astype(np.int32)
+
+
 def encode(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word ids, the ids one and two places before, and each text's first token (n + 1 entries)."""
     h, first = _token_hashes(texts)
-    order = np.argsort(words)
-    at = np.searchsorted(words[order], h)
-    at[at == len(words)] = 0
-    ids = np.where(words[order][at] == h, order[at] + 2, UNK).astype(np.int32) if len(words) else np.zeros(len(h), np.int32)
+    ids = _ids(h, words)
+    return ids, *_before(ids, first), first
+
+
+def _before(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     one, two = np.empty_like(ids), np.empty_like(ids)
     one[1:], two[2:] = ids[:-1], ids[:-2]
     begin = first[:-1][np.diff(first) > 0]
     one[begin] = two[begin] = BOS
     second = first[:-1][np.diff(first) > 1] + 1
     two[second] = BOS
-    return ids, one, two, first
+    return one, two
+
+
+START, END = 0xFE, 0xFF  # in no UTF-8 text
+
+
+def _trigrams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The byte trigrams of tokens, lower-cased and with an end, and where each token's begin (n + 1 entries)."""
+    begin = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts + 1, out=begin[1:])
+    if not len(starts):
+        return np.zeros(0, np.int64), begin
+    at = np.arange(begin[-1]) + np.repeat(starts - begin[:-1], np.diff(begin))
+    byte = tk.LOWER[data[np.minimum(at, len(data) - 1)]]
+    byte[begin[1:] - 1] = END
+    one, two = np.full_like(byte, START), np.full_like(byte, START)
+    one[1:], two[2:] = byte[:-1], byte[:-2]
+    one[begin[:-1]] = two[begin[:-1]] = START
+    two[begin[:-1] + 1] = START
+    return (two.astype(np.int64) << 16) | (one.astype(np.int64) << 8) | byte, begin
+
+
+def _spell(shared):
+    """Counts of the byte trigrams of tokens out of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 24, np.int64)
+        for batch in batches:
+            for part in tk.pieces(batch, "text"):
+                data, starts, ends, _ = _tokens(part.column("text"))
+                out = np.flatnonzero(_ids(tk.hashes(data, starts, ends), shared.value) == UNK)
+                codes, n = np.unique(_trigrams(data, starts[out], ends[out])[0], return_counts=True)
+                total[codes] += n
+        codes = np.flatnonzero(total)
+        yield pa.record_batch({"code": pa.array(codes.astype(np.int32)), "n": pa.array(total[codes])})
+
+    return run
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,10 +207,12 @@ def vocabulary(docs: DataFrame, p: Params) -> tuple[np.ndarray, np.ndarray]:
     """The most common words' hashes, and the unigram probabilities of all ids."""
     counts = docs.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = cut(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(p.vocabulary - 2).collect()
-    words = np.array([r.word for r in top], np.int64).view(np.uint64)
-    n = np.array([total - sum(r.n for r in top), 0, *[r.n for r in top]], float) + 0.5
+    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
+    size = p.vocabulary or max(p.least, int(p.growth * distinct**0.5))
+    top = counts.orderBy(F.desc("n"), "word").limit(size - 2).toArrow()
+    words = top.column("word").to_numpy().astype(np.int64).view(np.uint64)
+    often = top.column("n").to_numpy()
+    n = np.concatenate([[(total or 0) - often.sum(), 0], often]).astype(float) + 0.5
     return words, n / n.sum()
 
 
@@ -145,37 +228,72 @@ def _scatter(values: np.ndarray, square: np.ndarray, at: np.ndarray, gradient: n
 
 
 class Trainer:
-    """Noise-contrastive steps on batches of distinct trigrams, weighted by their counts."""
+    """Noise-contrastive steps on batches of distinct trigrams, weighted by their counts: a class against other classes, a word against others of its band."""
 
     def __init__(self, model: Model, p: Params, seed: int):
         self.p, self.rng = p, np.random.default_rng(seed)
-        self.m = model.filled(model.flat())
-        self.squares = [np.full(x.shape, 1e-4, np.float32) for x in (self.m.context, self.m.target, self.m.place, self.m.bias)]
-        self.cumulative = np.cumsum(model.unigram)
-        self.log_noise = np.log(p.noise * model.unigram).astype(np.float32)
+        self.m = m = model.filled(model.flat())
+        self.squares = [np.full(x.shape, 1e-4, np.float32) for x in (m.context, m.target, m.bias, m.group, m.group_bias, m.place)]
+        self.seen, self.tokens = np.zeros(len(m.bias), np.int64), 0
+        self.of = m.of(np.arange(len(m.bias)))
+        mass = np.bincount(self.of, weights=model.unigram)
+        self.cumulative, self.words_cumulative = np.cumsum(mass), np.cumsum(model.unigram)
+        self.log_noise = np.log(p.noise * mass).astype(np.float32)
+        self.log_inner = np.log(p.inner * model.unigram / mass[self.of]).astype(np.float32)
 
     def step(self, w: np.ndarray, c1: np.ndarray, c2: np.ndarray, weight: np.ndarray) -> None:
-        m, k = self.m, self.p.noise
-        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(k)), len(m.bias) - 1)
+        m, k, rate = self.m, self.p.noise, self.p.rate
+        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(k)), len(m.group) - 1)
+        g = self.of[w]
         e1, e2 = m.context[c1], m.context[c2]
         q = e1 @ m.place[0] + e2 @ m.place[1]
-        good = np.einsum("ij,ij->i", q, m.target[w]) + m.bias[w] - self.log_noise[w]
-        bad = q @ m.target[noise].T + (m.bias[noise] - self.log_noise[noise])
+        good = np.einsum("ij,ij->i", q, m.group[g]) + m.group_bias[g] - self.log_noise[g]
+        bad = q @ m.group[noise].T + (m.group_bias[noise] - self.log_noise[noise])
         weight = (weight / weight.sum()).astype(np.float32)
         d_good = weight / (1 + np.exp(np.clip(good, -30, 30)))
         d_bad = -weight[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
-        d_q = d_good[:, None] * m.target[w] + d_bad @ m.target[noise]
-        rate = self.p.rate
+        d_q = d_good[:, None] * m.group[g] + d_bad @ m.group[noise]
+        self.within(w, g, q, weight, d_q)
         d_place = np.stack([e1.T @ d_q, e2.T @ d_q])
-        _scatter(m.target, self.squares[1], np.concatenate([w, noise]), np.concatenate([d_good[:, None] * q, d_bad.T @ q]), rate)
-        _scatter(m.bias[:, None], self.squares[3][:, None], np.concatenate([w, noise]), np.concatenate([d_good, d_bad.sum(0)])[:, None], rate)
+        _scatter(m.group, self.squares[3], np.concatenate([g, noise]), np.concatenate([d_good[:, None] * q, d_bad.T @ q]), rate)
+        _scatter(m.group_bias[:, None], self.squares[4][:, None], np.concatenate([g, noise]), np.concatenate([d_good, d_bad.sum(0)])[:, None], rate)
         _scatter(m.context, self.squares[0], np.concatenate([c1, c2]), np.concatenate([d_q @ m.place[0].T, d_q @ m.place[1].T]), rate)
-        self.squares[2] += d_place * d_place
-        m.place += 0.2 * rate * d_place / np.sqrt(self.squares[2] + 1e-8)
+        self.squares[5] += d_place * d_place
+        m.place += 0.2 * rate * d_place / np.sqrt(self.squares[5] + 1e-8)
+
+    def within(self, w: np.ndarray, g: np.ndarray, q: np.ndarray, weight: np.ndarray, d_q: np.ndarray) -> None:
+        """The same within bands, each band of the batch with noise words of its own; adds to d_q."""
+        m, k, rate = self.m, self.p.inner, self.p.rate
+        rows = np.flatnonzero(w >= m.head)
+        if not len(rows):
+            return
+        rows = rows[np.argsort(g[rows], kind="stable")]
+        w, q, weight = w[rows], q[rows], weight[rows]
+        bands, begin, at = np.unique(g[rows], return_index=True, return_inverse=True)
+        low = m.head + (bands - m.head) * m.band
+        high = np.minimum(low + m.band, len(m.bias))
+        floor = self.words_cumulative[low - 1]
+        spot = floor[:, None] + self.rng.random((len(bands), k)) * (self.words_cumulative[high - 1] - floor)[:, None]
+        noise = np.clip(np.searchsorted(self.words_cumulative, spot), low[:, None], high[:, None] - 1)
+        others = m.target[noise]
+        offset = m.bias - self.log_inner
+        good = np.einsum("ij,ij->i", q, m.target[w]) + offset[w]
+        mine = others[at]
+        bad = np.matmul(mine, q[:, :, None])[:, :, 0] + offset[noise][at]
+        d_good = weight / (1 + np.exp(np.clip(good, -30, 30)))
+        d_bad = -weight[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
+        d_q[rows] += d_good[:, None] * m.target[w] + np.matmul(d_bad[:, None, :], mine)[:, 0]
+        spread = np.add.reduceat(d_bad[:, :, None] * q[:, None, :], begin, axis=0).reshape(-1, q.shape[1])
+        both = np.concatenate([w, noise.ravel()])
+        _scatter(m.target, self.squares[1], both, np.concatenate([d_good[:, None] * q, spread]), rate)
+        _scatter(m.bias[:, None], self.squares[2][:, None], both, np.concatenate([d_good, np.add.reduceat(d_bad, begin, axis=0).ravel()])[:, None], rate)
 
     def learn(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """All trigrams: distinct ones with their counts, in random order, for as many steps as there are batches of tokens."""
         v, size = len(self.m.bias), self.p.batch
+        for x in (ids, one, two):
+            self.seen += np.bincount(x, minlength=v)
+        self.tokens += len(ids)
         triple, n = np.unique((two.astype(np.int64) * v + one) * v + ids, return_counts=True)
         left = max(-(-len(ids) // size), -(-len(triple) // size))
         while left > 0:
@@ -187,20 +305,47 @@ class Trainer:
 
 
 def _train(shared, p: Params):
-    """Learns from a partition; parameters and their weight, a row for each."""
+    """Learns from a partition; the rows of the model that changed, and their weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, tokens = None, 0
+        trainer = None
         for batch in batches:
             for part in tk.pieces(batch, "text"):
                 ids, one, two, _ = encode(part.column("text"), shared.value.words)
                 if len(ids):
                     trainer = trainer or Trainer(shared.value, p, p.seed)
                     trainer.learn(ids, one, two)
-                    tokens += len(ids)
         if trainer:
             flat = trainer.m.flat()
-            yield pa.record_batch({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "x": pa.array(flat * tokens), "n": pa.array(np.full(len(flat), tokens, np.int64))})
+            weight = np.full(len(flat), trainer.tokens, np.int64)
+            weight[: len(trainer.seen)] = trainer.seen
+            rows = np.flatnonzero(weight)
+            for at in range(0, len(rows), 4096):
+                r = rows[at : at + 4096]
+                yield pa.record_batch({"i": pa.array(r.astype(np.int32)), "x": pa.array([x.tobytes() for x in flat[r]], pa.binary()), "n": pa.array(weight[r])})
+
+    return run
+
+
+def _mean(width: int):
+    """The weighted means of the rows of one partition, where all of a row's copies are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[int, int] = {}
+        total, weight = np.zeros((1024, width)), np.zeros(1024)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.array([place.setdefault(i, len(place)) for i in batch.column("i").to_pylist()])
+            while len(place) > len(total):
+                total, weight = np.concatenate([total, np.zeros_like(total)]), np.concatenate([weight, np.zeros_like(weight)])
+            n = batch.column("n").to_numpy().astype(float)
+            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float32).reshape(-1, width)
+            np.add.at(total, at, x * n[:, None])
+            np.add.at(weight, at, n)
+        if place:
+            mean = (total[: len(place)] / weight[: len(place), None]).astype(np.float32)
+            yield pa.record_batch({"i": pa.array(list(place), pa.int32()), "x": pa.array([x.tobytes() for x in mean], pa.binary())})
 
     return run
 
@@ -212,42 +357,82 @@ def fit(docs: DataFrame, p: Params = Params()) -> Model | None:
     if not len(words):
         return None
     model = fresh(words, unigram, p)
+    known = docs.sparkSession.sparkContext.broadcast(words)
+    spelled = docs.select("text").mapInArrow(_spell(known), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    model.spelling = spelled.column("code").to_numpy(), spelled.column("n").to_numpy()
     early = F.pmod(F.xxhash64("doc_id", "text"), F.lit(8)) == 0
     for part in (early, ~early):
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        mean = docs.where(part).select("text").mapInArrow(_train(shared, p), "i int, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
+        flat = model.flat()
+        learnt = docs.where(part).select("text").mapInArrow(_train(shared, p), "i int, x binary, n long")
+        mean = learnt.repartition("i").mapInArrow(_mean(flat.shape[1]), "i int, x binary").toArrow()
         if mean.num_rows:
-            flat = np.empty(mean.num_rows)
-            flat[mean.column("i").to_numpy()] = mean.column("x").to_numpy()
+            flat[mean.column("i").to_numpy()] = np.frombuffer(b"".join(mean.column("x").to_pylist()), np.float32).reshape(-1, flat.shape[1])
             model = model.filled(flat)
     return model
 
 
+def _spelling(codes: np.ndarray, n: np.ndarray, weight: float = 4.0) -> np.ndarray:
+    """Log-probabilities of all byte trigrams: counts, backed by those of bigrams, single bytes and an even spread."""
+    three = np.zeros((256, 256, 256), np.float32)
+    three.ravel()[codes] = n
+    two = three.sum(0, dtype=np.float64)
+    one = two.sum(0)
+    p = (one + 1) / (one.sum() + 256)
+    p = (two + weight * p) / (two.sum(1, keepdims=True) + weight)
+    below = three.sum(2, keepdims=True) + np.float32(weight)
+    three += (weight * p).astype(np.float32)
+    three /= below
+    return np.log(three, out=three).ravel()
+
+
 class Scorer:
-    """Log-probabilities. The normaliser of a context is computed once, by matrix products over batches of new contexts."""
+    """Log-probabilities, normalised by matrix products over the classes for each distinct context, and over one band for each word of a band."""
 
     def __init__(self, model: Model):
         self.m, self.v = model, len(model.bias)
         self.q1, self.q2 = model.context @ model.place[0], model.context @ model.place[1]
-        self.norm = np.full(self.v * self.v, np.nan, np.float32)
-
-    def log_probs(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        pair = one.astype(np.int64) * self.v + two
-        fresh = np.unique(pair)
-        fresh = fresh[np.isnan(self.norm[fresh])]
-        for at in range(0, len(fresh), 2048):
-            c = fresh[at : at + 2048]
-            s = (self.q1[c // self.v] + self.q2[c % self.v]) @ self.m.target.T
-            s += self.m.bias
+        self.spelling = None
+
+    @staticmethod
+    def _norm(q: np.ndarray, target: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        out = np.empty(len(q), np.float32)
+        for at in range(0, len(q), 2048):
+            s = q[at : at + 2048] @ target.T
+            s += bias
             top = s.max(1)
             s -= top[:, None]
             np.exp(s, out=s)
-            self.norm[c] = top + np.log(s.sum(1))
+            out[at : at + 2048] = top + np.log(s.sum(1))
+        return out
+
+    def log_probs(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        m = self.m
+        pair, back = np.unique(one.astype(np.int64) * self.v + two, return_inverse=True)
+        q = self.q1[pair // self.v] + self.q2[pair % self.v]
+        norm = self._norm(q, m.group, m.group_bias)
+        g = m.of(ids)
         out = np.empty(len(ids), np.float32)
         for at in range(0, len(ids), 1 << 17):
             k = slice(at, at + (1 << 17))
-            out[k] = np.einsum("ij,ij->i", self.q1[one[k]] + self.q2[two[k]], self.m.target[ids[k]])
-        return out + self.m.bias[ids] - self.norm[pair]
+            out[k] = np.einsum("ij,ij->i", q[back[k]], m.group[g[k]])
+        out += m.group_bias[g] - norm[back]
+        rows = np.flatnonzero(ids >= m.head)
+        rows = rows[np.argsort(g[rows], kind="stable")]
+        bands, begin = np.unique(g[rows], return_index=True)
+        for b, r in zip(bands.tolist(), np.split(rows, begin[1:])):
+            low = m.head + (b - m.head) * m.band
+            band = slice(low, low + m.band)
+            mine = q[back[r]]
+            out[r] += np.einsum("ij,ij->i", mine, m.target[ids[r]]) + m.bias[ids[r]] - self._norm(mine, m.target[band], m.bias[band])
+        return out
+
+    def spell(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Log-probabilities of tokens, given that they are out of the vocabulary."""
+        if self.spelling is None:
+            self.spelling = _spelling(*(self.m.spelling or (np.zeros(0, np.int32), np.zeros(0))))
+        codes, begin = _trigrams(data, starts, ends)
+        return np.add.reduceat(self.spelling[codes].astype(np.float64), begin[:-1]) if len(codes) else np.zeros(0)
 
 
 def score(docs: DataFrame, model: Model | None = None, p: Params = Params()) -> DataFrame:
@@ -265,9 +450,13 @@ def score(docs: DataFrame, model: Model | None = None, p: Params = Params()) ->
         for batch in batches:
             scorer = scorer or Scorer(shared.value)
             for part in tk.pieces(batch, "text"):
-                ids, one, two, first = encode(part.column("text"), shared.value.words)
+                data, starts, ends, first = _tokens(part.column("text"))
+                ids = _ids(tk.hashes(data, starts, ends), shared.value.words)
                 n = np.diff(first)
-                sums = np.r_[0, np.cumsum(scorer.log_probs(ids, one, two), dtype=np.float64)]
+                each = scorer.log_probs(ids, *_before(ids, first)).astype(np.float64)
+                out = np.flatnonzero(ids == UNK)
+                each[out] += scorer.spell(data, starts[out], ends[out])
+                sums = np.r_[0, np.cumsum(each)]
                 total = sums[first[1:]] - sums[first[:-1]]
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.where(n, total, 0.0)), mean], names=["doc_id", "tokens", "log_prob", "mean_log_prob"])

@@ -168,3 +168,20 @@ def test_language_model_of_odd_rows(spark):
     assert by[5][1] == 50_000 and by[None][1] == 2 and by[1][2] < 0
     assert lblm.score(spark.createDataFrame([], DOCS)).count() == 0
     assert [r.tokens for r in lblm.score(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [0]
+
+
+def test_vocabulary_follows_the_corpus_and_rare_words_are_spelled(spark):
+    rng = random.Random(8)
+    syllables = ["ba", "ne", "ri", "to", "lu", "mi"]
+    make = lambda: "".join(rng.choices(syllables, k=rng.randint(3, 6)))
+    rows = [(i, " ".join(f"{make()} the" for _ in range(60))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    model = lblm.fit(docs)
+    distinct = len({w for _, t in rows for w in t.split()})
+    assert len(model.words) > 2000 and len(model.words) == int(32 * distinct**0.5) - 2
+    v = len(model.bias)
+    lp = lblm.Scorer(model).log_probs(np.arange(v), np.full(v, 2), np.full(v, 700))
+    assert math.isclose(np.exp(lp.astype(float)).sum(), 1, rel_tol=1e-4)
+    new = spark.createDataFrame([(1, "banerito" * 3), (2, "xq9zk7wv" * 3)], "doc_id long, text string")
+    got = {r.doc_id: r.log_prob for r in lblm.score(new, model).collect()}
+    assert got[1] > got[2] + 20
