@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import text as tx
+
 
 def char_ngrams(text: str, sizes: tuple[int, ...] = (1, 2, 3)) -> set[str]:
     """Distinct character n-grams of the lower-cased letters, with single spaces for all else."""
@@ -95,59 +97,58 @@ def holdout(df: DataFrame, key: str, share: float = 0.1, seed: int = 0) -> tuple
     return df.where(~test), df.where(test)
 
 
-class NgramModel:
-    """An interpolated word trigram model from counts; rare words share one class."""
-
-    def __init__(self, counts: dict[tuple[str, ...], int], words: int, weights: tuple[float, float, float] = (0.2, 0.3, 0.5)):
-        self.counts, self.words, self.weights = counts, words, weights
+def _ngrams(df: DataFrame, text: Column, *keys: str) -> DataFrame:
+    """keys and (a, b, c): the hashes of each word and of the two before it in its line; each line has two marks before it and one behind."""
+    lines = F.filter(F.transform(F.split(text, "\n"), tx.words), lambda w: F.size(w) > 0)
+    h = df.select(*keys, F.explode(lines).alias("w")).select(*keys, F.transform(F.concat(F.array(F.lit("<s>"), F.lit("<s>")), "w", F.array(F.lit("</s>"))), lambda x: F.xxhash64(x)).alias("h"))
+    ends = F.sequence(F.lit(3), F.size("h"))
+    each = F.transform(ends, lambda i: F.struct(F.element_at("h", i - 2).alias("a"), F.element_at("h", i - 1).alias("b"), F.element_at("h", i).alias("c")))
+    return h.select(*keys, F.explode(each).alias("g")).select(*keys, "g.*")
 
-    @classmethod
-    def train(cls, df: DataFrame, text: str = "text", least: int = 2, most: int = 200_000) -> NgramModel:
-        """Counts of n-grams that occur `least` times, the `most` most common ones: that is what the model on the driver holds."""
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                seen: dict[str, int] = {}
-                for t in b.column(0).to_pylist():
-                    for line in (t or "").split("\n"):
-                        if not line.strip():
-                            continue
-                        w = ["<s>", "<s>", *line.split(), "</s>"]
-                        for i in range(2, len(w)):
-                            for n in (1, 2, 3):
-                                g = "\x01".join(w[i - n + 1 : i + 1])
-                                seen[g] = seen.get(g, 0) + 1
-                yield pa.record_batch({"g": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-
-        grams = df.select(text).mapInArrow(count, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
-        counted = grams.select(F.split("g", "\x01").alias("g"), "n")
-        total = counted.where(F.size("g") == 1).agg(F.sum("n"), F.count("*")).first()
-        rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "g").limit(most).collect()
-        counts = {tuple(r.g): r.n for r in rows}
-        counts[()] = total[0] or 0
-        return cls(counts, (total[1] or 0) + 1)
-
-    def log10(self, line: str) -> tuple[float, int]:
-        words = ["<s>", "<s>", *line.split(), "</s>"]
-        c, (a, b, d), score = self.counts, self.weights, 0.0
-        for i in range(2, len(words)):
-            one, two, three = (words[i],), tuple(words[i - 1 : i + 1]), tuple(words[i - 2 : i + 1])
-            p = a * (c.get(one, 0) + 1) / (c[()] + self.words)
-            if n := c.get(two[:1], 0):
-                p += b * c.get(two, 0) / n
-            if n := c.get(three[:2], 0):
-                p += d * c.get(three, 0) / n
-            score += np.log10(p)
-        return score, len(words) - 2
+class NgramModel:
+    """An interpolated word trigram model of all n-grams that occur often enough; rare words share one class.
 
-    def __call__(self, text: Column) -> Column:
-        shared = SparkSession.getActiveSession().sparkContext.broadcast(self)
+    It is a table (k, g, log10_p): for the n-gram of k words with hash g, the
+    interpolated probability of its last word. A longer n-gram that is kept has
+    its shorter ones kept, so a word's probability is that of the longest kept
+    n-gram which ends there. Words and n-grams are told apart by 64-bit hashes.
+    """
 
-        def run(a: pa.Array) -> pa.Array:
-            m, out = shared.value, []
-            for t in a.to_pylist():
-                lines = [m.log10(x) for x in (t or "").split("\n") if x.strip()]
-                out.append({"log10_prob": float(sum(s for s, _ in lines)), "tokens": int(sum(n for _, n in lines))})
-            return pa.array(out, pa.struct([("log10_prob", pa.float64()), ("tokens", pa.int32())]))
+    def __init__(self, table: DataFrame, unseen: float):
+        self.table, self.unseen = table, unseen
 
-        return F.arrow_udf(run, "struct<log10_prob:double,tokens:int>")(text)
+    @classmethod
+    def train(cls, df: DataFrame, text: str = "text", least: int = 2, weights: tuple[float, float, float] = (0.2, 0.3, 0.5)) -> NgramModel:
+        """Counts all n-grams of 1 to 3 words and keeps those that occur `least` times, on executors. Needs a checkpoint folder."""
+        grams = _ngrams(df, F.col(text))
+        three = grams.groupBy("a", "b", "c").agg(F.count("*").alias("n")).where(F.col("n") >= least).checkpoint()
+        two = grams.groupBy("b", "c").agg(F.count("*").alias("n")).checkpoint()
+        one = two.groupBy("c").agg(F.sum("n").alias("n")).checkpoint()
+        total, words = one.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        one, two = one.where(F.col("n") >= least), two.where(F.col("n") >= least)
+        below = total + words + 1
+        one = one.select("c", "n", (weights[0] * (F.col("n") + 1) / below).alias("p"))
+        two = (
+            two.join(one.select("c", "p"), "c")
+            .join(one.select(F.col("c").alias("b"), F.col("n").alias("before")), "b", "left")
+            .select("b", "c", "n", (F.col("p") + F.coalesce(weights[1] * F.col("n") / F.col("before"), F.lit(0.0))).alias("p"))
+        )
+        three = (
+            three.join(two.select("b", "c", "p"), ["b", "c"])
+            .join(two.select(F.col("b").alias("a"), F.col("c").alias("b"), F.col("n").alias("before")), ["a", "b"], "left")
+            .select("a", "b", "c", (F.col("p") + F.coalesce(weights[2] * F.col("n") / F.col("before"), F.lit(0.0))).alias("p"))
+        )
+        rows = [t.select(F.lit(k).alias("k"), F.xxhash64(*names).alias("g"), F.log10("p").alias("log10_p")) for k, t, names in ((1, one, "c"), (2, two, "bc"), (3, three, "abc"))]
+        return cls(rows[0].union(rows[1]).union(rows[2]).checkpoint(), float(np.log10(weights[0] / below)))
+
+    def score(self, df: DataFrame, text: Column, name: str) -> DataFrame:
+        """df with a struct (log10_prob, tokens) of the text; null where it has no word. Equal texts are scored once."""
+        key = f"{name}_key"
+        texts = df.select(text.alias("_t")).where("_t is not null").select(F.xxhash64("_t").alias("_key"), "_t")
+        at = _ngrams(texts.groupBy("_key").agg(F.first("_t").alias("_t")), F.col("_t"), "_key")
+        at = at.select("_key", *[F.xxhash64(*names).alias(f"g{k}") for k, names in ((1, "c"), (2, "bc"), (3, "abc"))])
+        for k in (3, 2, 1):
+            at = at.join(self.table.where(F.col("k") == k).select(F.col("g").alias(f"g{k}"), F.col("log10_p").alias(f"p{k}")), f"g{k}", "left")
+        scores = at.groupBy(F.col("_key").alias(key)).agg(F.struct(F.sum(F.coalesce("p3", "p2", "p1", F.lit(self.unseen))).alias("log10_prob"), F.count("*").cast("int").alias("tokens")).alias(name))
+        return df.withColumn(key, F.xxhash64(text)).join(scores, key, "left").drop(key)

@@ -44,5 +44,14 @@ def high_quality_probability(text: Column, model) -> Column:
 
 def perplexity(text: Column, line_scores) -> Column:
     """10 ** (-log10 probability / words), rounded to one digit. line_scores gives a struct (log10_prob, tokens) of a normalised text; each line counts an end mark."""
-    s = line_scores(nz.language_model_line(text))
+    return perplexity_from(line_scores(nz.language_model_line(text)))
+
+
+def perplexity_from(s: Column) -> Column:
     return F.round(F.pow(F.lit(10.0), F.try_divide(-s["log10_prob"], s["tokens"])), 1)
+
+
+def perplexity_of(df: DataFrame, text: Column, model, name: str, overwrite: bool = False) -> DataFrame:
+    """df with the perplexity by a model that is a table, see `providers.NgramModel`."""
+    scored = model.score(df, nz.language_model_line(text), "_lm")
+    return add(scored, name, perplexity_from(F.col("_lm")), overwrite).drop("_lm")

@@ -185,7 +185,7 @@ register("line_counter_enricher", "enrich")(lambda paragraph_end="\n", remove_em
 register("word_counter_enricher", "enrich")(lambda key="word_count", model="fasttext", ignore_punctuation=True, overwrite=False: lambda df: en.add(df, key, en.word_count(F.col("text"), model, ignore_punctuation), overwrite))
 register("detect_lang_whole_page_enricher", "enrich")(lambda provider, model="own", key_prefix="language_id_whole_page", overwrite=False, seed=None: lambda df: en.add(df, f"{key_prefix}_{model}", en.language_of_page(F.col("text"), provider), overwrite))
 register("classify_fasttext_hq_prob_enricher", "enrich")(lambda provider, key="fasttext_hq_prob", overwrite=False: lambda df: en.add(df, key, en.high_quality_probability(F.col("text"), provider), overwrite))
-register("ken_lm_perplexity_enricher", "enrich")(lambda provider, key="kenlm_perplexity", overwrite=False: lambda df: en.add(df, key, en.perplexity(F.col("text"), provider), overwrite))
+register("ken_lm_perplexity_enricher", "enrich")(lambda provider, key="kenlm_perplexity", overwrite=False: lambda df: en.perplexity_of(df, F.col("text"), provider, key, overwrite) if hasattr(provider, "score") else en.add(df, key, en.perplexity(F.col("text"), provider), overwrite))
 
 
 @register("exact_dedup", "table", wide=True)

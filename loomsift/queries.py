@@ -345,8 +345,8 @@ def _(spark, sf_dir):
 @query("enrich_perplexity")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    model = providers.NgramModel.train(docs)
-    return docs.select("doc_id", en.perplexity(T(), model).alias("perplexity"))
+    _checkpoints(spark)
+    return en.perplexity_of(docs, T(), providers.NgramModel.train(docs), "perplexity").select("doc_id", "perplexity")
 
 
 # ---- joins

@@ -193,3 +193,47 @@ def test_entry_without_the_llm_folders():
     from loomsift.queries import ORACLE_SQL, QUERIES
 
     assert QUERIES.keys() <= entry.queries().keys() and ORACLE_SQL.keys() <= QUERIES.keys()
+
+
+def test_perplexity_keeps_all_ngrams_that_occur_twice(spark):
+    from collections import Counter
+
+    from loomsift.functions import providers
+    from loomsift.operators import enrichers as en
+
+    rng = random.Random(3)
+    texts = [" ".join(f"w{min(rng.randint(0, 30), rng.randint(0, 30))}" for _ in range(rng.randint(1, 30))) for _ in range(60)]
+    texts = [t + "\n\n" + u for t, u in zip(texts, texts[1:])] + [None, " ", texts[0], texts[0]]
+    counts = Counter()
+    for t in texts:
+        for line in (t or "").split("\n"):
+            if line.strip():
+                w = ["<s>", "<s>", *line.split(), "</s>"]
+                counts.update(tuple(w[i - n + 1 : i + 1]) for i in range(2, len(w)) for n in (1, 2, 3))
+    ones = [g for g in counts if len(g) == 1]
+    total, words = sum(counts[g] for g in ones), len(ones) + 1
+    counts = {g: n for g, n in counts.items() if n >= 2}
+
+    def want(t):
+        lines, score, tokens = [x for x in (t or "").split("\n") if x.strip()], 0.0, 0
+        for line in lines:
+            w = ["<s>", "<s>", *line.split(), "</s>"]
+            for i in range(2, len(w)):
+                p = 0.2 * (counts.get((w[i],), 0) + 1) / (total + words)
+                for weight, g in ((0.3, tuple(w[i - 1 : i + 1])), (0.5, tuple(w[i - 2 : i + 1]))):
+                    if counts.get(g[:-1], 0):
+                        p += weight * counts.get(g, 0) / counts[g[:-1]]
+                score, tokens = score + np.log10(p), tokens + 1
+        return (score, tokens) if tokens else None
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = providers.NgramModel.train(df)
+    assert model.table.count() == len(counts)
+    got = {r.doc_id: r.s for r in model.score(df, F.col("text"), "s").collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        w = want(t)
+        assert (got[i] is None) == (w is None)
+        if w:
+            assert got[i].tokens == w[1] and abs(got[i].log10_prob - w[0]) < 1e-6
+    assert en.perplexity_of(df, F.col("text"), model, "p").columns == ["doc_id", "text", "p"]
