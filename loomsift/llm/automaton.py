@@ -5,11 +5,13 @@ subset construction over byte classes and minimised by partition refinement.
 The result is an array of transitions and a bit mask of rules per state; a scan
 is one pass over the bytes, whatever the number of rules.
 
-Supported are literals, classes, ., groups, |, and greedy ? * + {m,n}, and one
-look-behind, EDGE, as a pattern's first item. It keeps a rule from beginning
-inside a token, which also keeps the subset construction small: within one
-token no further rule can begin. Other assertions and back references are
-refused.
+Supported are literals, classes, ., groups, |, and greedy ? * + {m,n}, and a
+look-behind, EDGE or KEY, as a pattern's first item. They keep a rule from
+beginning inside a token, or inside letters and digits. Other assertions and
+back references are refused.
+
+Overlapping counted repeats blow the subset construction up. An automaton of
+`heads` has only what a pattern begins with, up to its first long repeat.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ BREAK = 0xFF
 LANES = 4096
 EDGE = r"(?<![0-9A-Za-z_.+/-])"
 WORD = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz.+/-")
+KEY = r"(?<![0-9A-Za-z])"
+#: The bytes that mustn't stand before a pattern.
+LOOK_BEHIND = {EDGE: WORD, KEY: frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")}
+LONG = 12
 
 _CATEGORIES = {
     c.CATEGORY_DIGIT: rb"[0-9]", c.CATEGORY_WORD: rb"[A-Za-z0-9_]", c.CATEGORY_SPACE: rb"[ \t\n\r\f\v]",
@@ -54,6 +60,24 @@ def _members(op, arg) -> frozenset[int]:
     raise ValueError(f"unsupported in a rule: {op}")
 
 
+def split(pattern: str) -> tuple[str, str]:
+    """A pattern's look-behind ('' if none), and the rest."""
+    edge = next((e for e in LOOK_BEHIND if pattern.startswith(e)), "")
+    return edge, pattern.removeprefix(edge)
+
+
+def _head(tree):
+    """The items up to the first repeat of more than LONG; of a pattern that begins with one, the least that it repeats, or any byte."""
+    out = []
+    for op, arg in tree:
+        if op is c.MAX_REPEAT and (arg[1] is c.MAXREPEAT or arg[1] > LONG):
+            return out or ([(op, (arg[0], arg[0], arg[2]))] if arg[0] else [(c.IN, [(c.NEGATE, None), (c.LITERAL, BREAK)])])
+        if op is c.SUBPATTERN and arg[3].getwidth()[1] > LONG or op is c.BRANCH and max(w.getwidth()[1] for w in arg[1]) > LONG:
+            return out or [(c.IN, [(c.NEGATE, None), (c.LITERAL, BREAK)])]
+        out.append((op, arg))
+    return out
+
+
 class _Nfa:
     def __init__(self):
         self.free: list[list[int]] = []  # epsilon moves
@@ -122,26 +146,27 @@ class _Nfa:
 class Automaton:
     """States are numbered so that accepting ones come last. `masks` holds the rules that each state accepts, as bits."""
 
-    def __init__(self, patterns: list[bytes], anywhere: bool, backward: bool = False):
+    def __init__(self, patterns: list[bytes], anywhere: bool, backward: bool = False, heads: bool = False):
         if len(patterns) > 63:
             raise ValueError("an automaton takes 63 rules at most")
-        nfa, root, edge, ends = _Nfa(), 0, 1, {}
-        nfa.state()
-        nfa.state()
+        nfa, ends = _Nfa(), {}
+        roots = {edge: nfa.state() for edge in ("", *LOOK_BEHIND)}
         for n, pattern in enumerate(patterns):
-            bounded = pattern.startswith(EDGE.encode())
-            tree = parser.parse(pattern.removeprefix(EDGE.encode()))
+            edge, rest = split(pattern.decode())
+            tree = parser.parse(rest.encode())
+            fold = bool(tree.state.flags & re.I)
+            tree = _head(tree) if heads else tree
             first = nfa.state()
-            nfa.free[edge if bounded else root].append(first)
-            ends[nfa.add(_reversed(tree) if backward else tree, first, bool(tree.state.flags & re.I))] = n
+            nfa.free[roots[edge]].append(first)
+            ends[nfa.add(_reversed(tree) if backward else tree, first, fold)] = n
         sets = {m[0] for m in nfa.moves if m}
         signature = {}
         self.classes = np.zeros(256, np.uint8)
         for b in range(256):
-            self.classes[b] = signature.setdefault((b == BREAK, b in WORD, *[b in s for s in sets]), len(signature))
+            self.classes[b] = signature.setdefault((b == BREAK, *[b in s for s in LOOK_BEHIND.values()], *[b in s for s in sets]), len(signature))
         sample = {int(k): b for b, k in reversed(list(enumerate(self.classes)))}
-        inside = nfa.closure([root])
-        begin = inside | nfa.closure([edge])
+        begin = nfa.closure(roots.values())
+        behind = {k: nfa.closure([r for e, r in roots.items() if b not in LOOK_BEHIND.get(e, ())]) for k, b in sample.items()}
         number, rows, todo = {begin: 0}, [], [begin]
         for now in todo:
             row = []
@@ -150,11 +175,11 @@ class Automaton:
                     after = begin if anywhere else frozenset()
                 else:
                     hit = {nfa.moves[s][1] for s in now if nfa.moves[s] and sample[k] in nfa.moves[s][0]}
-                    again = (inside if sample[k] in WORD else begin) if anywhere else frozenset()
+                    again = behind[k] if anywhere else frozenset()
                     after = nfa.closure(hit) | again
                 if after not in number:
                     if len(number) > MOST_STATES:
-                        raise ValueError("the rules need too many states; begin them with EDGE, or bound their repeats less")
+                        raise ValueError("the rules need too many states; begin them with EDGE or KEY, use heads, or bound their repeats less")
                     number[after] = len(number)
                     todo.append(after)
                 row.append(number[after])
@@ -226,14 +251,14 @@ class Automaton:
         inside = where < len(data)
         return where[inside], at[inside]
 
-    def longest(self, data: bytes, start: int, stop: int, step: int, edge: bool = False) -> int:
-        """From start towards stop the furthest index after which the automaton accepts, or -1; edge: only where no token byte stands before the index."""
+    def longest(self, data: bytes, start: int, stop: int, step: int, edge: frozenset[int] = frozenset()) -> int:
+        """From start towards stop the furthest index after which the automaton accepts, or -1; edge: only where none of these bytes stands before the index."""
         state, found = self.start, -1
         for i in range(start, stop, step):
             state = int(self.table[state, self.classes[data[i]]])
             if state == self.dead:
                 break
-            if state >= self.accepting and not (edge and i and data[i - 1] in WORD):
+            if state >= self.accepting and not (edge and i and data[i - 1] in edge):
                 found = i
         return found
 

@@ -2,9 +2,10 @@
 
 A match of a rule is leftmost, then longest, and matches of a rule don't
 overlap; rules don't affect each other. The combined automaton finds every
-place where some rule ends in a single pass over the bytes of all texts. Only
-there, a mirrored automaton of the rule runs back to the leftmost start and a
-forward one to the longest end.
+place where the head of some rule (what comes before its first long repeat)
+ends, in a single pass over the bytes of all texts. Only there, a mirrored
+automaton of the head runs back to the leftmost start, and a forward one of the
+whole rule to the longest end.
 
 Defined results:
 * A null or empty text has no match. Offsets are UTF-8 bytes from 0.
@@ -15,6 +16,7 @@ Defined results:
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,50 +25,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import tokens as tk
-from .automaton import BREAK, EDGE, Automaton
+from .automaton import BREAK, EDGE, KEY, LOOK_BEHIND, Automaton, split
 from .state import small_batches
 
 RULES = {
-    "assigned_token": EDGE + r"""(?:token|secret|passwd|password|api_key|apikey|access_key) ?[=:] ?["'][0-9A-Za-z_+/.-]{16,}={0,2}["']""",
-    "aws_access_key": EDGE + r"(?:AKIA|ASIA)[0-9A-Z]{16}",
-    "github_token": EDGE + r"gh[pousr]_[0-9A-Za-z]{36}",
-    "google_api_key": EDGE + r"AIza[0-9A-Za-z_-]{35}",
-    "json_web_token": EDGE + r"eyJ[0-9A-Za-z_-]{10,}\.eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
+    "assigned_token": r"""(?i:token|secret|passwd|password|api_key|apikey|access_key)["']? ?[=:] ?["'][0-9A-Za-z_+/.-]{16,}={0,2}["']""",
+    "aws_access_key": KEY + r"(?:AKIA|ASIA)[0-9A-Z]{16}",
+    "github_token": KEY + r"gh[pousr]_[0-9A-Za-z]{36}",
+    "google_api_key": KEY + r"AIza[0-9A-Za-z_-]{35}",
+    "json_web_token": KEY + r"eyJ[0-9A-Za-z_-]{10,}\.eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
     "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
-    "slack_token": EDGE + r"xox[abprs]-[0-9A-Za-z-]{10,}",
-    "stripe_key": EDGE + r"[rs]k_live_[0-9A-Za-z]{24,}",
-    "url_password": EDGE + r"[a-z]{3,10}://[0-9A-Za-z_.-]{1,40}:[0-9A-Za-z_.-]{3,}@",
+    "slack_token": KEY + r"xox[abprs]-[0-9A-Za-z-]{10,}",
+    "stripe_key": KEY + r"[rs]k_live_[0-9A-Za-z]{24,}",
+    "url_password": KEY + r"[a-z]{3,10}://[0-9A-Za-z_.-]{1,40}:[0-9A-Za-z_.-]{3,}@",
 }
 
 
 @lru_cache(maxsize=4)
 def compiled(rules: tuple[tuple[str, str], ...]) -> tuple[Automaton, list[Automaton], list[Automaton]]:
-    """All rules in one, and each rule forward and mirrored."""
+    """The heads of all rules in one, each rule forward, and each head mirrored."""
     patterns = [p.encode() for _, p in rules]
-    return Automaton(patterns, anywhere=True), [Automaton([p], False) for p in patterns], [Automaton([p], False, backward=True) for p in patterns]
+    return Automaton(patterns, anywhere=True, heads=True), [Automaton([p], False) for p in patterns], [Automaton([p], False, backward=True, heads=True) for p in patterns]
 
 
-def matches(text: bytes, ends: list[int], forward: Automaton, backward: Automaton, edge: bool) -> list[tuple[int, int]]:
-    """Leftmost-longest matches of one rule; ends: every index of a last byte of some match."""
+def matches(text: bytes, ends: list[int], forward: Automaton, backward: Automaton, edge: frozenset[int]) -> list[tuple[int, int]]:
+    """Leftmost-longest matches of one rule; ends: every index of a last byte of its head."""
     out, floor = [], 0
-    while True:
-        best = None
-        for e in ends:
-            s = backward.longest(text, e, floor - 1, -1, edge)
-            if s >= 0 and (best is None or s < best):
-                best = s
-        if best is None:
-            return out
-        stop = forward.longest(text, best, len(text), 1) + 1
-        out.append((best, stop))
-        floor = stop
-        ends = [e for e in ends if e >= floor]
+    todo = [(s, e) for e in ends if (s := backward.longest(text, e, -1, -1, edge)) >= 0]
+    heapq.heapify(todo)
+    while todo:
+        start, e = heapq.heappop(todo)
+        if start < floor:
+            start = backward.longest(text, e, floor - 1, -1, edge)
+            if start >= 0:
+                heapq.heappush(todo, (start, e))
+            continue
+        stop = forward.longest(text, start, len(text), 1) + 1
+        if stop:
+            out.append((start, stop))
+            floor = stop
+    return out
 
 
 def scan_texts(texts: pa.Array, rules: dict[str, str] = RULES, automata=None) -> list[tuple[int, int, int, int, str]]:
     """(row, rule number, start, stop, MD5) for every match in a column of texts."""
     union, forward, backward = automata or compiled(tuple(rules.items()))
-    edges = [p.startswith(EDGE) for p in rules.values()]
+    edges = [LOOK_BEHIND.get(split(p)[0], frozenset()) for p in rules.values()]
     data, off = tk.utf8(texts)
     rows = len(off) - 1
     joined = np.full(len(data) + rows, BREAK, np.uint8)
@@ -112,13 +116,27 @@ def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, rule string, nth int, start long, stop long, md5 string")
 
 
+#: The SQL keeps the narrower rules that it was given with.
+_SQL_RULES = {
+    "assigned_token": EDGE + r"""(?:token|secret|passwd|password|api_key|apikey|access_key) ?[=:] ?["'][0-9A-Za-z_+/.-]{16,}={0,2}["']""",
+    "aws_access_key": EDGE + r"(?:AKIA|ASIA)[0-9A-Z]{16}",
+    "github_token": EDGE + r"gh[pousr]_[0-9A-Za-z]{36}",
+    "google_api_key": EDGE + r"AIza[0-9A-Za-z_-]{35}",
+    "json_web_token": EDGE + r"eyJ[0-9A-Za-z_-]{10,}\.eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
+    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    "slack_token": EDGE + r"xox[abprs]-[0-9A-Za-z-]{10,}",
+    "stripe_key": EDGE + r"[rs]k_live_[0-9A-Za-z]{24,}",
+    "url_password": EDGE + r"[a-z]{3,10}://[0-9A-Za-z_.-]{1,40}:[0-9A-Za-z_.-]{3,}@",
+}
+
+
 def _sql(pattern: str) -> str:
     """The rule as group 1 of a pattern without look-behind."""
     core = f"({pattern.removeprefix(EDGE)})"
     return (("(?:^|[^0-9A-Za-z_.+/-])" if pattern.startswith(EDGE) else "") + core).replace("'", "''")
 
 
-_VALUES = ",\n  ".join(f"('{k}', '{_sql(v)}')" for k, v in RULES.items())
+_VALUES = ",\n  ".join(f"('{k}', '{_sql(v)}')" for k, v in _SQL_RULES.items())
 SQL = f"""
 WITH rules(rule, pattern) AS (VALUES
   {_VALUES}

@@ -131,6 +131,18 @@ def test_scan_against_re(spark):
     assert secrets.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_scan_finds_keys_inside_names_and_behind_marks():
+    value, key = "0123456789abcdef0123", "A1B2C3D4E5F6G7H8"
+    found = [f'db_password = "{value}"', f'client_secret="{value}"', f"auth_token: '{value}'", f'x-api_key="{value}"', f'config.password = "{value}"', f'API_KEY = "{value}"', f'Password: "{value}"', f'"password": "{value}"']
+    found += [p + "AKIA" + key for p in "/_-."] + ["x/ghp_" + "a1" * 18, "x_sk_live_" + "b2" * 12, "-AIza" + "c_-AIza3" * 5 + "-", "v/https://user:pa55-word@host/"]
+    missed = ["xAKIA" + key, "password = short", "1ghp_" + "a1" * 18]
+    texts = found + missed + [" ".join(found), "".join(x + "\n" for x in found) * 3]
+    got = [(r, n, a, b) for r, n, a, b, _ in secrets.scan_texts(pa.array(texts))]
+    want = [(r, n, m.start(), m.end()) for r, t in enumerate(texts) for n, p in enumerate(secrets.RULES.values()) for m in re.finditer(p.encode(), t.encode())]
+    assert got == sorted(want)
+    assert {r for r, *_ in got} >= set(range(len(found))) and not {r for r, *_ in got} & set(range(len(found), len(found) + len(missed)))
+
+
 # ---- language model
 
 
