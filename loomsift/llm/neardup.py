@@ -4,7 +4,9 @@ A text is its sequence of lower-cased words. Each of `sketches` hash functions
 picks the `order` least k-mers of the text, each k-mer labelled with its
 occurrence number so that repeats count; their values in text order make the
 sketch. Equal sketches need the same k-mers in the same order, which bounds
-edit similarity and not only overlap. Texts that share a sketch are candidates,
+edit similarity and not only overlap. Short texts have too few k-mers that a
+change leaves alone, and get as many sketches of single words besides. Texts
+that share a sketch are candidates,
 and a banded alignment decides: they are alike where 1 - edits / longer length
 reaches `similarity`. Groups are the connected components of that.
 
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import ExitStack
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +46,11 @@ from .state import cut, small_batches, table
 
 @dataclass(frozen=True)
 class Params:
-    kmer: int = 3
-    order: int = 3
+    kmer: int = 2
+    order: int = 2
     sketches: int = 32
+    short: int = 32  # texts of so many words also have sketches of `short_order` single words
+    short_order: int = 3
     similarity: float = 0.8
     bins: int = 256
     block: int = 1024
@@ -120,16 +124,30 @@ def order_minhash(texts: pa.Array, p: Params) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
+def keys(texts: pa.Array, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sketches of all texts, where each text's begin (n + 1 entries), and the numbers of words."""
+    most, n = order_minhash(texts, p)
+    short = np.flatnonzero((n > 0) & (n <= p.short))
+    counts = np.full(len(n), p.sketches)
+    counts[short] *= 2
+    begin = np.r_[0, np.cumsum(counts)]
+    out = np.empty(begin[-1], np.uint64)
+    out[(begin[:-1, None] + np.arange(p.sketches)).ravel()] = most.ravel()
+    if len(short):
+        single, _ = order_minhash(texts.take(pa.array(short)), replace(p, kmer=1, order=p.short_order))
+        out[(begin[short, None] + p.sketches + np.arange(p.sketches)).ravel()] = single.ravel()
+    return out, begin, n
+
+
 def _sketch(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tk.pieces(batch, "text"):
-                keys, n = order_minhash(part.column("text"), p)
+                found, begin, n = keys(part.column("text"), p)
                 keep = n > 0
                 if not keep.any():
                     continue
-                keys = keys[keep].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * p.sketches), pa.array(keys.ravel()))
+                lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(found.view(np.int64))).filter(pa.array(keep))
                 own = part.select([*WHO, "doc_id"]).filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(n[keep]), lists], names=[*WHO, "doc_id", "n", "keys"])
 

@@ -195,3 +195,19 @@ def test_blocks_of_a_large_bucket(spark):
     a = {(r.doc_id, r.keep_id) for r in neardup.groups(df, small).collect()}
     b = {(r.doc_id, r.keep_id) for r in neardup.groups(df, neardup.Params(order=1, kmer=1, sketches=4)).collect()}
     assert a == b and a
+
+
+def test_candidates_near_the_threshold_and_short_texts():
+    rng = np.random.default_rng(11)
+    for words, changed in ((400, 80), (100, 20), (100, 15), (30, 6), (20, 4), (20, 3), (10, 2), (10, 1), (5, 1)):
+        one, two = [], []
+        for _ in range(200):
+            a = [f"w{x}" for x in rng.integers(0, 50_000, words)]
+            b = list(a)
+            for i in rng.choice(words, changed, replace=False):
+                b[i] = f"x{rng.integers(1 << 40)}"
+            one.append(" ".join(a))
+            two.append(" ".join(b))
+        (x, begin, _), (y, _, _) = (neardup.keys(pa.array(t), neardup.Params()) for t in (one, two))
+        same = np.logical_or.reduceat(x == y, begin[:-1])
+        assert same.mean() >= 0.95, (words, changed, same.mean())
