@@ -336,10 +336,17 @@ def _(spark, sf_dir):
 
 @query("enrich_quality")
 def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    scored = providers.QualityModel.train(docs.where("label is not null")).score(read(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit(""))))
+    return scored.select("doc_id", "quality_prob")
+
+
+@query("enrich_quality_holdout")
+def _(spark, sf_dir):
+    """Precision and recall on labelled rows that the model isn't fitted on."""
     docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     fit, test = providers.holdout(docs, "doc_id", 0.3)
-    scored = providers.QualityModel.train(fit).score(test)
-    return ag.precision_recall(scored)
+    return ag.precision_recall(providers.QualityModel.train(fit).score(test))
 
 
 @query("enrich_perplexity")

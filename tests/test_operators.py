@@ -237,3 +237,14 @@ def test_perplexity_keeps_all_ngrams_that_occur_twice(spark):
         if w:
             assert got[i].tokens == w[1] and abs(got[i].log10_prob - w[0]) < 1e-6
     assert en.perplexity_of(df, F.col("text"), model, "p").columns == ["doc_id", "text", "p"]
+
+
+def test_quality_query_scores_every_document(spark):
+    from loomsift.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    got = QUERIES["enrich_quality"](spark, d)
+    ids = spark.read.parquet(f"{d}/documents.parquet").select("doc_id")
+    assert got.columns == ["doc_id", "quality_prob"]
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in ids.collect())
+    assert got.where("quality_prob is null or quality_prob < 0 or quality_prob > 1").count() == 0
