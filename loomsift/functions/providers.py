@@ -81,7 +81,10 @@ class QualityModel:
             HashingTF(inputCol="_w", outputCol="_f1", numFeatures=width, binary=True), HashingTF(inputCol="_b", outputCol="_f2", numFeatures=width, binary=True),
             VectorAssembler(inputCols=["_f1", "_f2"], outputCol="_f"), LogisticRegression(featuresCol="_f", labelCol=label, predictionCol="predicted", regParam=0.01, maxIter=rounds),
         ]
-        return cls(Pipeline(stages=stages).fit(df))
+        fitted = Pipeline(stages=stages).fit(df)
+        # the summary holds the session, which can't be sent to executors once it has observed rows
+        fitted.stages[-1]._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+        return cls(fitted)
 
     def score(self, df: DataFrame, name: str = "quality_prob") -> DataFrame:
         """df with the probability of label 1, and the guess as `predicted`."""
