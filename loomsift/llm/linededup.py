@@ -42,9 +42,16 @@ PER_SHARD = 1_000_000
 _FILTER = "shard int, filter binary"
 
 
+def _some(kind: str) -> Column:
+    """Any value of an atomic type."""
+    if kind.startswith(("array", "map", "struct", "variant", "interval")):
+        raise TypeError(f"doc_id can't be a {kind}")
+    return F.lit("1970-01-01" if kind.startswith(("date", "timestamp")) else "0" if kind != "boolean" else "false").cast(kind)
+
+
 def _who(docs: DataFrame) -> list[Column]:
     """Three columns without nulls that say which document a row is."""
-    return [docs["doc_id"].isNull().alias("none"), F.coalesce(docs["doc_id"], F.lit(0)).cast("long").alias("doc"), F.xxhash64(docs["text"]).alias("th")]
+    return [docs["doc_id"].isNull().alias("none"), F.coalesce(docs["doc_id"], _some(dict(docs.dtypes)["doc_id"])).alias("doc"), F.xxhash64(docs["text"]).alias("th")]
 
 
 def occurrences(docs: DataFrame) -> DataFrame:

@@ -22,8 +22,11 @@ Defined results:
 * Of a group stays the row of least doc_id (null last), then of least text
   hash; of rows that repeat both, the first by the remaining columns.
 * Texts that differ in white space or ASCII case alone are duplicates.
-* A text shorter than the k-mer length is one k-mer.
-* Other columns pass through untouched, whatever their names.
+* A text shorter than the k-mer length is one k-mer. Of a long text all words
+  count; its alignment takes its length times the edits allowed.
+* Texts are told apart by 128 bits of hashes. Ids may have any atomic type.
+* An empty table gives no rows. Other columns pass through untouched, whatever
+  their names.
 """
 
 from __future__ import annotations
@@ -48,12 +51,14 @@ from .state import cut, small_batches, table
 class Params:
     kmer: int = 2
     order: int = 2
-    sketches: int = 32
-    short: int = 32  # texts of so many words also have sketches of `short_order` single words
+    sketches: int = 16
+    short: int = 32  # texts of so many words also have `short_sketches` of `short_order` single words
     short_order: int = 3
+    short_sketches: int = 32
     similarity: float = 0.8
-    bins: int = 256
+    bins: int = 128
     block: int = 1024
+    hash_bits: int = 64  # of the first hash of a text; fewer only to test what happens to texts whose first hashes are equal
 
 
 def _occurrence(kmers: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -101,12 +106,9 @@ def order_minhash(texts: pa.Array, p: Params) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(begin)[some]
     at = begin[some]
     base = tk.mix(grams ^ (_occurrence(grams, begin) * np.uint64(0xD1B54A32D192ED03)))
-    base |= np.uint64(1)
     last = np.uint64((1 << 64) - 1)
-    multipliers = np.random.default_rng(7).integers(1 << 62, 1 << 63, p.sketches, np.uint64) | np.uint64(1)
-    for j, m in enumerate(multipliers):
-        value = tk.mix(base ^ m) if j % 8 == 0 else value * m
-        picked, work = [], value.copy()
+    for j, m in enumerate(np.random.default_rng(7).integers(1 << 62, 1 << 63, p.sketches, np.uint64)):
+        picked, work = [], tk.mix(base ^ m)
         for r in range(p.order):
             least = np.minimum.reduceat(work, at)
             hits = np.flatnonzero(work == np.repeat(least, counts))
@@ -129,13 +131,13 @@ def keys(texts: pa.Array, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray
     most, n = order_minhash(texts, p)
     short = np.flatnonzero((n > 0) & (n <= p.short))
     counts = np.full(len(n), p.sketches)
-    counts[short] *= 2
+    counts[short] += p.short_sketches
     begin = np.r_[0, np.cumsum(counts)]
     out = np.empty(begin[-1], np.uint64)
     out[(begin[:-1, None] + np.arange(p.sketches)).ravel()] = most.ravel()
     if len(short):
-        single, _ = order_minhash(texts.take(pa.array(short)), replace(p, kmer=1, order=p.short_order))
-        out[(begin[short, None] + p.sketches + np.arange(p.sketches)).ravel()] = single.ravel()
+        single, _ = order_minhash(texts.take(pa.array(short)), replace(p, kmer=1, order=p.short_order, sketches=p.short_sketches))
+        out[(begin[short, None] + p.sketches + np.arange(p.short_sketches)).ravel()] = single.ravel()
     return out, begin, n
 
 
@@ -148,8 +150,8 @@ def _sketch(p: Params):
                 if not keep.any():
                     continue
                 lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(found.view(np.int64))).filter(pa.array(keep))
-                own = part.select([*WHO, "doc_id"]).filter(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(n[keep]), lists], names=[*WHO, "doc_id", "n", "keys"])
+                own = part.select([*WHO, "doc_id", "t1", "t2"]).filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(n[keep]), lists], names=[*own.schema.names, "n", "keys"])
 
     return run
 
@@ -165,7 +167,7 @@ def _sequences(p: Params):
                 words = (tk.hashes(data, starts, ends) >> np.uint64(33)).astype(np.int32)
                 rows = np.repeat(np.arange(part.num_rows), np.diff(first))
                 bins = np.bincount(rows * p.bins + words % p.bins, minlength=part.num_rows * p.bins)
-                bins = np.minimum(bins, 65535).astype("<u2").reshape(-1, p.bins)
+                bins = np.minimum(bins, 255).astype(np.uint8).reshape(-1, p.bins)  # capped counts differ by no more than whole ones
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([words[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()), pa.array([x.tobytes() for x in bins], pa.binary())],
                     names=["node", "seq", "bins"],
@@ -199,7 +201,7 @@ def _across(p: Params):
         left, right = key[1].as_py(), key[2].as_py()
         block = rows.column("block").to_numpy()
         node, root, n = (rows.column(c).to_numpy() for c in ("node", "root", "n"))
-        bins = np.stack([np.frombuffer(x, "<u2") for x in rows.column("bins").to_pylist()]).astype(np.int32) if len(node) else np.zeros((0, p.bins), np.int32)
+        bins = np.stack([np.frombuffer(x, np.uint8) for x in rows.column("bins").to_pylist()]).astype(np.int32) if len(node) else np.zeros((0, p.bins), np.int32)
         coarse = bins.reshape(len(node), 16, -1).sum(2)
         one, two = np.flatnonzero(block == left), np.flatnonzero(block == right)
         a_out, b_out = [], []
@@ -221,44 +223,55 @@ def _across(p: Params):
     return run
 
 
+def _nodes(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """rows with the column `node`: the first hash, and where texts of different second hashes share it, one of both hashes for all but the least."""
+    if clashes is None:
+        return rows.withColumn("node", F.col("t1"))
+    told = rows.join(clashes, "t1", "left")
+    return told.withColumn("node", F.when(F.col("least").isNull() | (F.col("t2") == F.col("least")), F.col("t1")).otherwise(F.xxhash64("t1", "t2"))).drop("least")
+
+
 def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(none, doc, th, doc_id, keep_none, keep_doc, keep_th, keep_id, size) for each row of a group of two or more rows; keep_* is the row that stays."""
     small_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
     with ExitStack() as open_tables:
-        texts = docs.select(*_who(docs), docs["doc_id"], docs["text"])
-        sketched = open_tables.enter_context(table(texts.where("text is not null").mapInArrow(_sketch(p), f"none boolean, doc long, th long, doc_id {dict(docs.dtypes)['doc_id']}, n long, keys array<long>")))
-        nodes = sketched.groupBy(F.col("th").alias("node")).agg(F.first("keys").alias("keys"), F.first("n").alias("n"))
-        bucket = Window.partitionBy("place", "key")
-        buckets = open_tables.enter_context(table(
-            nodes.select("node", "n", F.posexplode("keys").alias("place", "key"))
-            .withColumn("hub", F.min("node").over(bucket)).withColumn("size", F.count("*").over(bucket)).where("size > 1")
-        ))
+        one = F.xxhash64("text") if p.hash_bits == 64 else F.pmod(F.xxhash64("text"), F.lit(1 << p.hash_bits))
+        texts = docs.select(*_who(docs), docs["doc_id"], docs["text"]).where("text is not null").withColumns({"t1": one, "t2": F.xxhash64(F.lit(0x5EED), "text")})
+        sketched = open_tables.enter_context(table(texts.mapInArrow(_sketch(p), f"none boolean, doc {kind}, th long, doc_id {kind}, t1 long, t2 long, n long, keys array<long>")))
+        clashes = sketched.groupBy("t1").agg(F.min("t2").alias("least"), F.max("t2").alias("most")).where("least <> most").select("t1", "least")
+        clashes = None if clashes.isEmpty() else open_tables.enter_context(table(clashes))
+        sketched = _nodes(sketched, clashes)
+        nodes = open_tables.enter_context(table(sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"))))
+        spread_out = nodes.select("node", "n", F.posexplode("keys").alias("place", "key")).select("node", "n", F.xxhash64("place", "key").alias("key"))
+        sizes = spread_out.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
+        buckets = open_tables.enter_context(table(spread_out.join(sizes, "key")))
         star = cut(buckets.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-        wanted = buckets.select(F.col("node").alias("th")).distinct()
+        wanted = buckets.select("node").distinct()
         sequences = open_tables.enter_context(table(
-            texts.select("th", "text").join(wanted, "th", "left_semi").select(F.col("th").alias("node"), "text").mapInArrow(_sequences(p), "node long, seq binary, bins binary").dropDuplicates(["node"])
+            _nodes(texts.select("t1", "t2", "text"), clashes).join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sequences(p), "node long, seq binary, bins binary").dropDuplicates(["node"])
         ))
         edges = cut(_aligned(star, sequences, p))
-        rooted = buckets.select("place", "key", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rooted.groupBy("place", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("place", "key")
+        rooted = buckets.select("key", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         # several buckets of the same nodes need one look only
-        named = rooted.join(mixed, ["place", "key"]).groupBy("place", "key").agg(F.sum(F.xxhash64("node") % (1 << 40)).alias("s"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("t"), F.count("*").alias("size"))
-        named = named.groupBy("s", "t", "size").agg(F.min(F.struct("place", "key")).alias("m")).select("m.place", "m.key", "size")
+        named = rooted.join(mixed, "key").groupBy("key").agg(F.sum(F.xxhash64("node") % (1 << 40)).alias("s"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("t"), F.count("*").alias("size"))
+        named = named.groupBy("s", "t", "size").agg(F.min("key").alias("key")).select("key", "size")
         spread = (
-            rooted.join(named, ["place", "key"])
+            rooted.join(named, "key")
             .withColumn("blocks", F.ceil(F.col("size") / p.block).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("place", "key", F.least("block", "other").alias("l"), F.greatest("block", "other").alias("r"), "block", "node", "root", "n")
+            .select("key", F.least("block", "other").alias("l"), F.greatest("block", "other").alias("r"), "block", "node", "root", "n")
         )
         pairs = (
-            spread.join(sequences.select("node", "bins"), "node").withColumn("bucket", F.xxhash64("place", "key"))
-            .groupBy("bucket", "l", "r").applyInArrow(_across(p), "a long, b long").distinct()
+            spread.join(sequences.select("node", "bins"), "node")
+            .groupBy("key", "l", "r").applyInArrow(_across(p), "a long, b long").distinct()
             .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
         more = cut(_aligned(cut(pairs), sequences, p))
         roots = components(edges.union(more))
-        rows = sketched.drop("keys", "n").join(roots.withColumnRenamed("node", "th"), "th", "left").withColumn("root", F.coalesce("root", "th"))
+        rows = sketched.drop("keys", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         kept = rows.groupBy("root").agg(F.min(F.struct("none", "doc", "th", "doc_id")).alias("k"), F.count("*").alias("size")).where("size > 1")
         return cut(rows.join(kept, "root").select(*WHO, "doc_id", *[F.col(f"k.{c}").alias(f"keep_{c.replace('doc_id', 'id')}") for c in (*WHO, "doc_id")], "size"))
 

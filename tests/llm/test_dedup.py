@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from loomsift.llm import align, graph, linededup, neardup
 from loomsift.llm.cuckoo import CuckooFilter
@@ -211,3 +212,13 @@ def test_candidates_near_the_threshold_and_short_texts():
         (x, begin, _), (y, _, _) = (neardup.keys(pa.array(t), neardup.Params()) for t in (one, two))
         same = np.logical_or.reduceat(x == y, begin[:-1])
         assert same.mean() >= 0.95, (words, changed, same.mean())
+
+
+def test_near_duplicates_with_text_ids_and_equal_hashes(spark):
+    """Ids of another type, and first hashes so short that different texts share them, give the same groups."""
+    rows = near_rows(seed=4, groups=12)
+    df = spark.createDataFrame(rows, ["doc_id", "text"])
+    whole = {(r.doc_id, r.duplicate_of) for r in neardup.duplicates(df).collect()}
+    named = df.withColumn("doc_id", F.format_string("%09d", "doc_id"))
+    got = {(int(r.doc_id), int(r.duplicate_of)) for r in neardup.duplicates(named, neardup.Params(hash_bits=5)).collect()}
+    assert got == whole and len(whole) > 10
