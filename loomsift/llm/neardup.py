@@ -50,8 +50,8 @@ from .state import cut, small_batches, table
 @dataclass(frozen=True)
 class Params:
     kmer: int = 2
-    order: int = 2
-    sketches: int = 16
+    order: int = 3
+    sketches: int = 32
     short: int = 32  # texts of so many words also have `short_sketches` of `short_order` single words
     short_order: int = 3
     short_sketches: int = 32
@@ -104,24 +104,36 @@ def order_minhash(texts: pa.Array, p: Params) -> tuple[np.ndarray, np.ndarray]:
     if not len(some):
         return out, n
     counts = np.diff(begin)[some]
-    at = begin[some]
     base = tk.mix(grams ^ (_occurrence(grams, begin) * np.uint64(0xD1B54A32D192ED03)))
-    last = np.uint64((1 << 64) - 1)
-    for j, m in enumerate(np.random.default_rng(7).integers(1 << 62, 1 << 63, p.sketches, np.uint64)):
-        picked, work = [], tk.mix(base ^ m)
+    owner = np.repeat(np.arange(len(some)), counts)
+    # of each text, k-mers below this are looked at: some 8 times as many as are picked, or all of a short text's
+    share = np.minimum(1.0, 8.0 * (p.order + 1) / counts)
+    roof = np.where(share < 1, share * 2.0**64, 0).astype(np.uint64)
+    roof = np.repeat(np.where(share < 1, roof, np.uint64((1 << 64) - 1)), counts)
+    rng = np.random.default_rng(7)
+    for j in range(p.sketches):
+        flip, one, two = rng.integers(1 << 62, 1 << 63, 3, np.uint64) | np.uint64(1)
+        value = (base ^ flip) * one
+        value ^= value >> np.uint64(32)
+        value *= two
+        hits = np.flatnonzero(value <= roof)
+        few = np.bincount(owner[hits], minlength=len(some)) < np.minimum(counts, p.order)
+        if few.any():
+            hits = np.flatnonzero((value <= roof) | few[owner])
+        own, v = owner[hits], value[hits]
+        order = np.lexsort((v, own))  # stable: the first of equal values
+        hits, own = hits[order], own[order]
+        first = np.r_[True, own[1:] != own[:-1]]
+        rank = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+        hits, own = hits[rank < p.order], own[rank < p.order]
+        hits = np.sort(hits)  # texts stand one behind another, so this is text order within each
+        own = owner[hits]
+        first = np.r_[True, own[1:] != own[:-1]]
+        rank = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+        h = np.full(len(some), flip, np.uint64)
         for r in range(p.order):
-            least = np.minimum.reduceat(work, at)
-            hits = np.flatnonzero(work == np.repeat(least, counts))
-            owner = np.searchsorted(at, hits, "right") - 1
-            spot = np.empty(len(some), np.int64)
-            spot[owner[::-1]] = hits[::-1]  # the first of equal values
-            picked.append(np.where(counts > r, spot, np.iinfo(np.int64).max))
-            work[spot] = last
-        picked = np.sort(np.stack(picked), 0)
-        h = np.full(len(some), m, np.uint64)
-        for spot in picked:
-            there = spot < len(grams)
-            h = np.where(there, h * np.uint64(0x9FB21C651E98DF25) + grams[np.where(there, spot, 0)], h)
+            here = hits[rank == r]
+            h[owner[here]] = h[owner[here]] * np.uint64(0x9FB21C651E98DF25) + grams[here]
         out[some, j] = tk.mix(h)
     return out, n
 
@@ -187,6 +199,31 @@ def _verify(similarity: float):
     return run
 
 
+def _bounded(similarity: float):
+    """Pairs whose numbers of words, as a whole and in each bin, don't rule out that they are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int16) for c in ("x", "y"))
+                n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+                bound = ((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
+                more = x - y
+                over = np.maximum(more, 0).sum(1, dtype=np.int64)
+                near = (np.abs(n - m) <= bound) & (np.maximum(over, over - more.sum(1, dtype=np.int64)) <= bound)
+                yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return run
+
+
+def _near(pairs: DataFrame, sequences: DataFrame, p: Params) -> DataFrame:
+    """Those of the pairs (a, b) that are worth an alignment."""
+    size = F.octet_length("seq") / 4
+    x = sequences.select(F.col("node").alias("a"), F.col("bins").alias("x"), size.cast("long").alias("n"))
+    y = sequences.select(F.col("node").alias("b"), F.col("bins").alias("y"), size.cast("long").alias("m"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(p.similarity), "a long, b long")
+
+
 def _aligned(pairs: DataFrame, sequences: DataFrame, p: Params) -> DataFrame:
     """Those of the pairs (a, b) that are alike."""
     x = sequences.select(F.col("node").alias("a"), F.col("seq").alias("x"))
@@ -251,7 +288,7 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
         sequences = open_tables.enter_context(table(
             _nodes(texts.select("t1", "t2", "text"), clashes).join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sequences(p), "node long, seq binary, bins binary").dropDuplicates(["node"])
         ))
-        edges = cut(_aligned(star, sequences, p))
+        edges = cut(_aligned(cut(_near(star, sequences, p)), sequences, p))
         rooted = buckets.select("key", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         # several buckets of the same nodes need one look only
