@@ -41,6 +41,7 @@ from . import tokens as tk
 from .state import cut, small_batches
 
 UNK, BOS = 0, 1
+LARGE = 4 << 20  # bytes of text that are learnt from, or scored, together
 
 
 @dataclass(frozen=True)
@@ -216,24 +217,57 @@ def vocabulary(docs: DataFrame, p: Params) -> tuple[np.ndarray, np.ndarray]:
     return words, n / n.sum()
 
 
+def _sums(keys: np.ndarray, order: np.ndarray, values: np.ndarray, most: int = 6, sorted_keys: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and the sums of their rows of values. `order` sorts the keys (unless they are), and says where each one's row is; runs are mostly short, and are added up place by place."""
+    by = keys if sorted_keys else keys[order]
+    begin = np.flatnonzero(np.r_[True, by[1:] != by[:-1]])
+    size = np.diff(np.r_[begin, len(by)])
+    out = values[order[begin]]
+    left = np.flatnonzero(size > 1)
+    for k in range(1, most):
+        if not len(left):
+            break
+        out[left] += values[order[begin[left] + k]]
+        left = left[size[left] > k + 1]
+    if len(left):
+        rest = size[left] - most
+        first = np.r_[0, np.cumsum(rest)[:-1]]
+        at = np.arange(rest.sum()) + np.repeat(begin[left] + most - first, rest)
+        out[left] += np.add.reduceat(values[order[at]], first, axis=0)
+    return by[begin], out
+
+
+def _ascend(values: np.ndarray, square: np.ndarray, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
+    """AdaGrad on distinct rows."""
+    new = square[rows]
+    new += g * g
+    square[rows] = new
+    np.sqrt(new, out=new)
+    values[rows] += rate * g / new
+
+
 def _scatter(values: np.ndarray, square: np.ndarray, at: np.ndarray, gradient: np.ndarray, rate: float) -> None:
     """AdaGrad on the rows `at`, which may repeat."""
-    order = np.argsort(at, kind="stable")
-    rows = at[order]
-    begin = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    g = np.add.reduceat(gradient[order], begin, axis=0)
-    rows = rows[begin]
-    square[rows] += g * g
-    values[rows] += rate * g / np.sqrt(square[rows] + 1e-8)
+    _ascend(values, square, *_sums(at, np.argsort(at), gradient), rate)
+
+
+def _below_one(x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """weight / (1 + e^x), in the place of x."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(weight, x, out=x)
 
 
 class Trainer:
-    """Noise-contrastive steps on batches of distinct trigrams, weighted by their counts: a class against other classes, a word against others of its band."""
+    """Noise-contrastive steps on batches of distinct trigrams, weighted by their counts: a class against other classes, a word against others of its band. Vectors and biases of a class or word are one row."""
 
     def __init__(self, model: Model, p: Params, seed: int):
-        self.p, self.rng = p, np.random.default_rng(seed)
-        self.m = m = model.filled(model.flat())
-        self.squares = [np.full(x.shape, 1e-4, np.float32) for x in (m.context, m.target, m.bias, m.group, m.group_bias, m.place)]
+        self.p, self.rng, self.model = p, np.random.default_rng(seed), model
+        m = model
+        self.context, self.place = m.context.copy(), m.place.copy()
+        self.target, self.group = np.column_stack([m.target, m.bias]), np.column_stack([m.group, m.group_bias])
+        self.squares = [np.full(x.shape, 1e-4, np.float32) for x in (self.context, self.target, self.group, self.place)]
         self.seen, self.tokens = np.zeros(len(m.bias), np.int64), 0
         self.of = m.of(np.arange(len(m.bias)))
         mass = np.bincount(self.of, weights=model.unigram)
@@ -241,67 +275,99 @@ class Trainer:
         self.log_noise = np.log(p.noise * mass).astype(np.float32)
         self.log_inner = np.log(p.inner * model.unigram / mass[self.of]).astype(np.float32)
 
-    def step(self, w: np.ndarray, c1: np.ndarray, c2: np.ndarray, weight: np.ndarray) -> None:
-        m, k, rate = self.m, self.p.noise, self.p.rate
-        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(k)), len(m.group) - 1)
-        g = self.of[w]
-        e1, e2 = m.context[c1], m.context[c2]
-        q = e1 @ m.place[0] + e2 @ m.place[1]
-        good = np.einsum("ij,ij->i", q, m.group[g]) + m.group_bias[g] - self.log_noise[g]
-        bad = q @ m.group[noise].T + (m.group_bias[noise] - self.log_noise[noise])
+    @property
+    def m(self) -> Model:
+        old = self.model
+        return Model(old.words, old.unigram, old.head, old.band, self.context, self.target[:, :-1], self.target[:, -1], self.group[:, :-1], self.group[:, -1], self.place, old.spelling)
+
+    def step(self, w: np.ndarray, at: np.ndarray, c1: np.ndarray, c2: np.ndarray, weight: np.ndarray) -> None:
+        """Words w after the contexts (c1, c2)[at], where `at` ascends and names each context. The noise is the same for all, so it is met once for each context."""
         weight = (weight / weight.sum()).astype(np.float32)
-        d_good = weight / (1 + np.exp(np.clip(good, -30, 30)))
-        d_bad = -weight[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
-        d_q = d_good[:, None] * m.group[g] + d_bad @ m.group[noise]
-        self.within(w, g, q, weight, d_q)
+        begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        of_context = np.add.reduceat(weight, begin)
+        order = np.argsort(w)  # and so by class
+        w, by, weight = w[order], at[order], weight[order]
+        k, rate = self.p.noise, self.p.rate
+        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(k)), len(self.group) - 1)
+        g = self.of[w]
+        e1, e2 = self.context[c1], self.context[c2]
+        q = np.ones((len(c1), e1.shape[1] + 1), np.float32)  # the last column is for the bias
+        np.matmul(e1, self.place[0], out=q[:, :-1])
+        q[:, :-1] += e2 @ self.place[1]
+        others = self.group[noise]
+        d_bad = _below_one(self.log_noise[noise] - q @ others.T, -of_context[:, None])
+        mine, own = q[by], self.group[g]
+        good = np.einsum("ij,ij->i", mine, own)
+        good -= self.log_noise[g]
+        d_good = _below_one(good, weight)
+        own *= d_good[:, None]
+        d_rows = own[:, :-1]
+        self.within(w, g, mine, weight, d_rows)
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        d_q = _sums(at, back, d_rows, sorted_keys=True)[1]
+        d_q += d_bad @ others[:, :-1]
         d_place = np.stack([e1.T @ d_q, e2.T @ d_q])
-        _scatter(m.group, self.squares[3], np.concatenate([g, noise]), np.concatenate([d_good[:, None] * q, d_bad.T @ q]), rate)
-        _scatter(m.group_bias[:, None], self.squares[4][:, None], np.concatenate([g, noise]), np.concatenate([d_good, d_bad.sum(0)])[:, None], rate)
-        _scatter(m.context, self.squares[0], np.concatenate([c1, c2]), np.concatenate([d_q @ m.place[0].T, d_q @ m.place[1].T]), rate)
-        self.squares[5] += d_place * d_place
-        m.place += 0.2 * rate * d_place / np.sqrt(self.squares[5] + 1e-8)
+        first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        classes, sums = g[first], np.add.reduceat(d_good[:, None] * mine, first, axis=0)
+        _scatter(self.group, self.squares[2], np.concatenate([classes, noise]), np.concatenate([sums, d_bad.T @ q]), rate)
+        for c, place in ((c1, self.place[0]), (c2, self.place[1])):
+            rows, sums = _sums(c, np.argsort(c), d_q)
+            _ascend(self.context, self.squares[0], rows, sums @ place.T, rate)
+        self.squares[3] += d_place * d_place
+        self.place += 0.2 * rate * d_place / np.sqrt(self.squares[3])
 
     def within(self, w: np.ndarray, g: np.ndarray, q: np.ndarray, weight: np.ndarray, d_q: np.ndarray) -> None:
-        """The same within bands, each band of the batch with noise words of its own; adds to d_q."""
-        m, k, rate = self.m, self.p.inner, self.p.rate
-        rows = np.flatnonzero(w >= m.head)
-        if not len(rows):
+        """The same within bands, each band of the batch with noise words of its own; w ascends. Adds to d_q."""
+        m, k, rate = self.model, self.p.inner, self.p.rate
+        at = int(np.searchsorted(w, m.head))
+        if at == len(w):
             return
-        rows = rows[np.argsort(g[rows], kind="stable")]
-        w, q, weight = w[rows], q[rows], weight[rows]
-        bands, begin, at = np.unique(g[rows], return_index=True, return_inverse=True)
+        w, g, q, weight, d_q = w[at:], g[at:], q[at:], weight[at:], d_q[at:]
+        bands, begin = np.unique(g, return_index=True)
         low = m.head + (bands - m.head) * m.band
         high = np.minimum(low + m.band, len(m.bias))
         floor = self.words_cumulative[low - 1]
         spot = floor[:, None] + self.rng.random((len(bands), k)) * (self.words_cumulative[high - 1] - floor)[:, None]
         noise = np.clip(np.searchsorted(self.words_cumulative, spot), low[:, None], high[:, None] - 1)
-        others = m.target[noise]
-        offset = m.bias - self.log_inner
-        good = np.einsum("ij,ij->i", q, m.target[w]) + offset[w]
-        mine = others[at]
-        bad = np.matmul(mine, q[:, :, None])[:, :, 0] + offset[noise][at]
-        d_good = weight / (1 + np.exp(np.clip(good, -30, 30)))
-        d_bad = -weight[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
-        d_q[rows] += d_good[:, None] * m.target[w] + np.matmul(d_bad[:, None, :], mine)[:, 0]
-        spread = np.add.reduceat(d_bad[:, :, None] * q[:, None, :], begin, axis=0).reshape(-1, q.shape[1])
-        both = np.concatenate([w, noise.ravel()])
-        _scatter(m.target, self.squares[1], both, np.concatenate([d_good[:, None] * q, spread]), rate)
-        _scatter(m.bias[:, None], self.squares[2][:, None], both, np.concatenate([d_good, np.add.reduceat(d_bad, begin, axis=0).ravel()])[:, None], rate)
+        others = self.target[noise]
+        offset = self.log_inner[noise]
+        own = self.target[w]
+        good = np.einsum("ij,ij->i", q, own)
+        good -= self.log_inner[w]
+        d_good = _below_one(good, weight)
+        own *= d_good[:, None]
+        d_q += own[:, :-1]
+        spread = np.empty((len(bands), k, q.shape[1]), np.float32)
+        which = np.repeat(np.arange(len(bands)), np.diff(np.r_[begin, len(w)]))
+        for j in range(k):
+            mine = others[which, j]
+            d_bad = _below_one(offset[which, j] - np.einsum("ij,ij->i", q, mine), -weight)
+            mine *= d_bad[:, None]
+            d_q += mine[:, :-1]
+            spread[:, j] = np.add.reduceat(d_bad[:, None] * q, begin, axis=0)
+        words, sums = _sums(w, np.arange(len(w)), d_good[:, None] * q)
+        _scatter(self.target, self.squares[1], np.concatenate([words, noise.ravel()]), np.concatenate([sums, spread.reshape(-1, q.shape[1])]), rate)
 
     def learn(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        """All trigrams: distinct ones with their counts, in random order, for as many steps as there are batches of tokens."""
-        v, size = len(self.m.bias), self.p.batch
+        """All trigrams, each distinct one once with its count, by contexts in random order; a step takes some `batch` tokens' worth."""
+        v = len(self.seen)
         for x in (ids, one, two):
             self.seen += np.bincount(x, minlength=v)
         self.tokens += len(ids)
         triple, n = np.unique((two.astype(np.int64) * v + one) * v + ids, return_counts=True)
-        left = max(-(-len(ids) // size), -(-len(triple) // size))
-        while left > 0:
-            order = self.rng.permutation(len(triple))
-            for at in range(0, min(len(order), left * size), size):
-                t = triple[order[at : at + size]]
-                self.step(t % v, t // v % v, t // (v * v), n[order[at : at + size]].astype(np.float32))
-                left -= 1
+        context = triple // v
+        fresh = np.r_[True, context[1:] != context[:-1]]
+        pair, of_pair = context[fresh], np.cumsum(fresh) - 1
+        shuffled = self.rng.permutation(len(pair))  # the place of each context
+        order = np.argsort(shuffled[of_pair])
+        triple, n, of_pair = triple[order], n[order], of_pair[order]
+        batch = (np.cumsum(n) - 1) // self.p.batch
+        for part in np.split(np.arange(len(triple)), np.flatnonzero(np.diff(batch)) + 1):
+            c = of_pair[part]
+            new = np.r_[True, c[1:] != c[:-1]]
+            code = pair[c[new]]
+            self.step(triple[part] % v, np.cumsum(new) - 1, code % v, code // v, n[part].astype(np.float32))
 
 
 def _train(shared, p: Params):
@@ -310,7 +376,7 @@ def _train(shared, p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = None
         for batch in batches:
-            for part in tk.pieces(batch, "text"):
+            for part in tk.pieces(batch, "text", LARGE):
                 ids, one, two, _ = encode(part.column("text"), shared.value.words)
                 if len(ids):
                     trainer = trainer or Trainer(shared.value, p, p.seed)
@@ -395,36 +461,42 @@ class Scorer:
         self.spelling = None
 
     @staticmethod
-    def _norm(q: np.ndarray, target: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        out = np.empty(len(q), np.float32)
-        for at in range(0, len(q), 2048):
-            s = q[at : at + 2048] @ target.T
+    def _normalised(q: np.ndarray, target: np.ndarray, bias: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For slices of q the scores of all targets, and the logarithms of their sums of exponentials."""
+        roof = np.sqrt((q * q).sum(1).max(initial=0) * (target * target).sum(1).max()) + np.abs(bias).max()
+        for at in range(0, len(q), 1024):
+            s = q[at : at + 1024] @ target.T
             s += bias
-            top = s.max(1)
-            s -= top[:, None]
-            np.exp(s, out=s)
-            out[at : at + 2048] = top + np.log(s.sum(1))
-        return out
+            if roof < 80:  # no overflow in single precision
+                yield at, s, np.log(np.exp(s).sum(1))
+            else:
+                top = s.max(1)
+                yield at, s, top + np.log(np.exp(s - top[:, None]).sum(1))
 
     def log_probs(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         m = self.m
-        pair, back = np.unique(one.astype(np.int64) * self.v + two, return_inverse=True)
+        code = one.astype(np.int64) * self.v + two
+        order = np.argsort(code)
+        code = code[order]
+        fresh = np.r_[True, code[1:] != code[:-1]] if len(code) else np.zeros(0, bool)
+        pair, of_pair = code[fresh], np.cumsum(fresh) - 1
         q = self.q1[pair // self.v] + self.q2[pair % self.v]
-        norm = self._norm(q, m.group, m.group_bias)
-        g = m.of(ids)
-        out = np.empty(len(ids), np.float32)
-        for at in range(0, len(ids), 1 << 17):
-            k = slice(at, at + (1 << 17))
-            out[k] = np.einsum("ij,ij->i", q[back[k]], m.group[g[k]])
-        out += m.group_bias[g] - norm[back]
-        rows = np.flatnonzero(ids >= m.head)
-        rows = rows[np.argsort(g[rows], kind="stable")]
+        mine, g = ids[order], m.of(ids[order])
+        got = np.empty(len(ids), np.float32)
+        for at, s, norm in self._normalised(q, m.group, m.group_bias):
+            a, b = np.searchsorted(of_pair, [at, at + len(s)])
+            row = of_pair[a:b] - at
+            got[a:b] = s[row, g[a:b]] - norm[row]
+        rows = np.flatnonzero(mine >= m.head)
+        rows = rows[np.argsort(g[rows])]
         bands, begin = np.unique(g[rows], return_index=True)
         for b, r in zip(bands.tolist(), np.split(rows, begin[1:])):
             low = m.head + (b - m.head) * m.band
-            band = slice(low, low + m.band)
-            mine = q[back[r]]
-            out[r] += np.einsum("ij,ij->i", mine, m.target[ids[r]]) + m.bias[ids[r]] - self._norm(mine, m.target[band], m.bias[band])
+            for at, s, norm in self._normalised(q[of_pair[r]], m.target[low : low + m.band], m.bias[low : low + m.band]):
+                part = r[at : at + len(s)]
+                got[part] += s[np.arange(len(s)), mine[part] - low] - norm
+        out = np.empty(len(ids), np.float32)
+        out[order] = got
         return out
 
     def spell(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -449,7 +521,7 @@ def score(docs: DataFrame, model: Model | None = None, p: Params = Params()) ->
         scorer = None
         for batch in batches:
             scorer = scorer or Scorer(shared.value)
-            for part in tk.pieces(batch, "text"):
+            for part in tk.pieces(batch, "text", LARGE):
                 data, starts, ends, first = _tokens(part.column("text"))
                 ids = _ids(tk.hashes(data, starts, ends), shared.value.words)
                 n = np.diff(first)
