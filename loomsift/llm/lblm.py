@@ -118,14 +118,34 @@ def _token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tk.hashes(data, starts, ends), first
 
 
+class _Index:
+    """Looks words up by the leading bits of their hashes: a table says where in the sorted hashes those with the same bits begin."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, order = words, np.argsort(words)
+        self.sorted = np.r_[words[order], np.uint64((1 << 64) - 1)]
+        self.id = np.r_[order + 2, UNK].astype(np.int32)
+        bits = max(1, int(len(words)).bit_length() + 2)
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(words[order], np.arange(1 << bits).astype(np.uint64) << self.shift).astype(np.int32)
+
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        at = self.begin[(h >> self.shift).view(np.int64)]
+        there = self.sorted[at]
+        left = np.flatnonzero(there < h)
+        while len(left):
+            at[left] += 1
+            left = left[self.sorted[at[left]] < h[left]]
+        return np.where(self.sorted[at] == h, self.id[at], np.int32(UNK))
+
+
+_last: list[_Index] = []
+
+
 def _ids(h: np.ndarray, words: np.ndarray) -> np.ndarray:
-    if not len(words):
-        return np.zeros(len(h), np.int32)
-    order = np.argsort(words)
-    ordered = words[order]
-    at = np.searchsorted(ordered, h)
-    at[at == len(words)] = 0
-    return np.where(ordered[at] == h, order[at] + 2, UNK).astype(np.int32)
+    if not _last or _last[0].words is not words:
+        _last[:] = [_Index(words)]
+    return _last[0].ids(h)
 
 
 def encode(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -173,7 +193,7 @@ def _spell(shared):
             for part in tk.pieces(batch, "text"):
                 data, starts, ends, _ = _tokens(part.column("text"))
                 out = np.flatnonzero(_ids(tk.hashes(data, starts, ends), shared.value) == UNK)
-                codes, n = np.unique(_trigrams(data, starts[out], ends[out])[0], return_counts=True)
+                codes, n = np.unique(_trigrams(data, starts[out], ends[out])[0].astype(np.int32), return_counts=True)
                 total[codes] += n
         codes = np.flatnonzero(total)
         yield pa.record_batch({"code": pa.array(codes.astype(np.int32)), "n": pa.array(total[codes])})
