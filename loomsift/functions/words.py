@@ -26,16 +26,14 @@ def _boundary():
 def uax29(text: str, ignore_punctuation: bool = False, ignore_whitespace: bool = True) -> list[str]:
     """Words by Unicode's default boundaries (UAX #29)."""
     boundary, space = _boundary()
+    if ignore_whitespace:
+        return [w for w in boundary.split(text) if w and w[0].isalnum()] if ignore_punctuation else [w for w in boundary.split(text) if w.strip()]
     out: list[str] = []
     for token in boundary.split(text):
         if not token:
             continue
-        pieces = list(token) if space.match(token) and not ignore_whitespace else [token]
-        for w in pieces:
-            if ignore_punctuation:
-                if w[0].isalnum() or not ignore_whitespace and w[0].isspace():
-                    out.append(w)
-            elif not ignore_whitespace or w.strip():
+        for w in list(token) if space.match(token) else [token]:
+            if not ignore_punctuation or w[0].isalnum() or w[0].isspace():
                 out.append(w)
     return out
 

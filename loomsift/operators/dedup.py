@@ -13,9 +13,9 @@ from ..functions import words as wd
 
 
 def exact(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
-    """The first row in the given order of each key, for scalar keys. Spark limits each partition to one row per key before the shuffle."""
+    """The first row in the given order of each key, for scalar keys; rows without a key all stay. Spark limits each partition to one row per key before the shuffle."""
     w = Window.partitionBy("_key").orderBy(*order)
-    keyed = df.withColumn("_key", F.md5(F.coalesce(key.cast("string"), F.lit(""))))
+    keyed = df.withColumn("_key", F.coalesce(F.md5(key.cast("string")), F.uuid()))
     return keyed.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_key", "_rank")
 
 
@@ -99,16 +99,90 @@ def fuzzy(grams: DataFrame, key: str, threshold: float = 0.8, or_equal: bool = F
     """
     at = F.struct(key, "unit")
     grams = grams.checkpoint()
-    kept = grams.select(key, "unit").distinct().withColumn("kept", F.lit(True)).checkpoint()
+    total = grams.groupBy(key, "unit").agg(F.sum("times").alias("n")).checkpoint()
+    shared = _shared(grams, at)
+    gone = None
     for _ in range(rounds):
-        first = grams.join(kept.where("kept"), [key, "unit"]).groupBy("hash").agg(F.min(at).alias("first"))
-        hit = grams.join(first, "hash", "left").withColumn("hit", F.coalesce(F.col("first") < at, F.lit(False)))
-        share = hit.groupBy(key, "unit").agg((F.sum(F.when(F.col("hit"), F.col("times")).otherwise(0)) / F.sum("times")).alias("share"))
-        now = share.withColumn("kept", ~((F.col("share") >= threshold) if or_equal else (F.col("share") > threshold))).checkpoint()
-        changed = now.alias("n").join(kept.alias("k"), [key, "unit"]).where("n.kept <> k.kept").limit(1).count()
-        kept = now.select(key, "unit", "kept")
-        if not changed:
-            return now
+        held = shared if gone is None else shared.join(gone, [key, "unit"], "left_anti")
+        first = held.groupBy("hash").agg(F.min(at).alias("first"))
+        hits = shared.join(first, "hash").where(F.col("first") < at).groupBy(key, "unit").agg(F.sum("times").alias("hits")).join(total, [key, "unit"])
+        share = F.col("hits") / F.col("n")
+        now = hits.withColumn("share", share).withColumn("kept", ~((share >= threshold) if or_equal else (share > threshold))).select(key, "unit", "share", "kept").checkpoint()
+        left = now.where("not kept").select(key, "unit")
+        if _same(gone, left, [key, "unit"]):
+            told = total.join(now, [key, "unit"], "left")
+            return told.select(key, "unit", F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("kept", F.lit(0.0) < threshold if or_equal else F.lit(0.0) <= threshold).alias("kept"))
+        gone = left
+    raise RuntimeError("the order of duplicates is deeper than the number of rounds")
+
+
+def _shared(grams: DataFrame, at: Column) -> DataFrame:
+    """The n-grams that several units have: the others only count in the totals, and needn't be joined in each round."""
+    several = grams.groupBy("hash").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo < hi").select("hash")
+    return grams.join(several, "hash").checkpoint()
+
+
+def _same(before: DataFrame | None, now: DataFrame, by: list[str]) -> bool:
+    if before is None:
+        return now.isEmpty()
+    return before.count() == now.count() and now.join(before, by, "left_anti").isEmpty()
+
+
+def document_ngrams(df: DataFrame, key: str, text: str, size: int = 13, least: int | None = None) -> DataFrame:
+    """(key, lo, hi, hash, times): distinct n-grams of the whole text, each with the first and last paragraph (between newlines) that it touches. A text of fewer than `size` but at least `least` words is one n-gram."""
+    least = size if least is None else least
+    key_type = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            row, lo, hi, hashes, times = [], [], [], [], []
+            for i, t in enumerate(b.column(text).to_pylist()):
+                parts = [wd.uax29(p) for p in (t or "").split("\n")]
+                tokens = [w for p in parts for w in p]
+                of = [n for n, p in enumerate(parts) for _ in p]
+                n = size if len(tokens) >= size else len(tokens)
+                if not tokens or n < min(size, least):
+                    continue
+                count: dict[tuple[int, int, int], int] = {}
+                for j in range(len(tokens) - n + 1):
+                    gram = (of[j], of[j + n - 1], xxhash.xxh3_64_intdigest("\x00".join(tokens[j : j + n])))
+                    count[gram] = count.get(gram, 0) + 1
+                for (a, z, h), c in count.items():
+                    row.append(i), lo.append(a), hi.append(z), hashes.append(h - (1 << 64) if h >> 63 else h), times.append(c)
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(row, pa.int64())), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(hashes, pa.int64()), pa.array(times, pa.int32())], names=[key, "lo", "hi", "hash", "times"])
+
+    return df.select(key, text).mapInArrow(run, f"{key} {key_type}, lo int, hi int, hash long, times int")
+
+
+def both(grams: DataFrame, key: str, threshold: float = 0.8, rounds: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(documents that go, paragraphs (key, unit) that go of the others), by the sequential rule on whole documents.
+
+    Documents come in order. One goes, and puts nothing in, if at least
+    `threshold` of all its n-grams were put in by earlier documents; of the
+    others each paragraph goes by the same share of the n-grams within it, and
+    the n-grams that touch no paragraph that went are put in. Solved by rounds
+    as in `fuzzy`.
+    """
+    grams = grams.checkpoint()
+    inside = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+    totals = grams.groupBy(key).agg(F.sum("times").alias("n")).checkpoint()
+    parts = grams.where("lo = hi").groupBy(key, F.col("lo").alias("unit")).agg(F.sum("times").alias("n")).checkpoint()
+    shared = _shared(grams, F.col(key))
+    gone = cut_of = None
+    for _ in range(rounds):
+        held = shared
+        if gone is not None:
+            held = shared.join(gone, key, "left_anti").join(cut_of.groupBy(key).agg(F.collect_set("unit").alias("cut")), key, "left")
+            held = held.where(F.col("cut").isNull() | ~F.exists("cut", lambda u: (u >= F.col("lo")) & (u <= F.col("hi"))))
+        first = held.groupBy("hash").agg(F.min(key).alias("first"))
+        hits = shared.join(first, "hash").where(F.col("first") < F.col(key)).groupBy(key, inside.alias("unit")).agg(F.sum("times").alias("hits")).checkpoint()
+        now = hits.groupBy(key).agg(F.sum("hits").alias("hits")).join(totals, key).where(F.col("hits") / F.col("n") >= threshold).select(key).checkpoint()
+        cut_now = hits.where("unit is not null").join(parts, [key, "unit"]).where(F.col("hits") / F.col("n") >= threshold).join(now, key, "left_anti").select(key, "unit").checkpoint()
+        if gone is not None and _same(gone, now, [key]) and _same(cut_of, cut_now, [key, "unit"]):
+            return now, cut_now
+        gone, cut_of = now, cut_now
     raise RuntimeError("the order of duplicates is deeper than the number of rounds")
 
 
@@ -136,17 +210,20 @@ def fuzzy_both(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
     old: paragraphs go by the paragraph rule, and the document goes too where
     more than `threshold` of all its n-grams came before; its kept paragraphs
-    still count for later ones. both: the document first, at `threshold` or
-    more, then its paragraphs, at `threshold` or more. naive: documents first,
-    then paragraphs of those that stay.
+    still count for later ones. both: see `both`; n-grams cross paragraphs, and
+    a document that goes puts nothing in. naive: documents first, then
+    paragraphs of those that stay.
     """
+    if rule == "both":
+        whole, parts = both(document_ngrams(df, key, text, size), key, threshold)
+        return rebuild(df.join(whole, key, "left_anti"), key, text, parts.withColumn("kept", F.lit(False)))
     if rule == "naive":
         return fuzzy_paragraphs(fuzzy_documents(df, key, text, size, threshold), key, text, size, threshold)
     grams = unit_ngrams(units_of(df, key, text), key, size)
-    verdict = fuzzy(grams, key, threshold, or_equal=rule == "both")
+    verdict = fuzzy(grams, key, threshold)
     sizes = grams.groupBy(key, "unit").agg(F.sum("times").alias("n"))
     share = verdict.join(sizes, [key, "unit"]).groupBy(key).agg((F.sum(F.col("share") * F.col("n")) / F.sum("n")).alias("all"))
-    whole = share.where(F.col("all") >= threshold if rule == "both" else F.col("all") > threshold).select(key)
+    whole = share.where(F.col("all") > threshold).select(key)
     return rebuild(df.join(whole, key, "left_anti"), key, text, verdict)
 
 

@@ -1,13 +1,15 @@
 """Filters: predicates that say which pages stay.
 
 Each function takes the text (or metadata) column and returns a boolean column
-for `where`. A null input gives null, which drops the row. All but the tokenizer,
-`uniseg` and n-gram variants are built-in expressions, so that the scan reads the
-needed columns only and neighbouring filters run in one generated stage.
+for `where`. A null input gives null, which drops the row. Those that need a few
+numbers about the text (its words, segments, symbols) share one Arrow function
+that measures a whole column of bytes; the others, but for the tokenizer,
+`uniseg` and repetition rules, are built-in expressions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -15,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import features as ft
 from ..functions import text as tx
 from ..functions import words as wd
 
@@ -28,7 +31,7 @@ SOURCE_SUFFIXES = (
     *".sh .zsh .bash .bat .cmd .command .ps1 .psd1 .psm1".split(),
     *".md .markdown .rst .tex".split(),
 )
-STOP_WORDS = ("and", "be", "have", "of", "that", "the", "to", "with")
+STOP_WORDS = ft.STOP_WORDS
 #: Most repetition that a page may have: n -> share of characters in repeated n-grams.
 NGRAM_LIMITS = {2: 0.20, 3: 0.18, 4: 0.16, 5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 
@@ -116,27 +119,52 @@ def repeated_ngrams(text: Column, limits: dict[int, float] | None = None, rule:
         raise ValueError("n-grams of other sizes than 2 to 10 need a rule")
 
     def run(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            if t is None:
-                out.append(None)
-                continue
-            words = wd.uax29(t.lower() if ignore_case else t, ignore_punctuation=True)
-            out.append(t != "" and all(ngram_share(words, n, rules[n]) <= limit for n, limit in limits.items()))
-        return pa.array(out, pa.bool_())
+        own = texts.to_pylist()
+        return pa.array([None if t is None else bool(ok) for t, ok in zip(own, _ngrams_ok(own, limits, rules, ignore_case))], pa.bool_())
 
     return F.arrow_udf(run, "boolean")(text)
 
 
+def _ngrams_ok(texts: list[str | None], limits: dict[int, float], rules: dict[int, str], ignore_case: bool = False) -> list[bool]:
+    """The rule of `repeated_ngrams` for some thousand words at a time."""
+    out: list[bool] = []
+    held: list[list[str]] = []
+    size = 0
+    how = {n: (rules[n], limit) for n, limit in limits.items()}
+    for t in texts:
+        held.append(wd.uax29(t.lower() if ignore_case else t, ignore_punctuation=True) if t else [])
+        size += len(held[-1])
+        if size > 200_000:
+            out += ft.ngram_verdicts(held, how).tolist()
+            held, size = [], 0
+    out += ft.ngram_verdicts(held, how).tolist()
+    return [bool(t) and ok for t, ok in zip(texts, out)]
+
+
+def _segments_ok(text: str, mark: str, limits: list[tuple[bool, float]]) -> bool:
+    """Whether repeated segments stay within each limit, by characters (true) or number."""
+    own = [s for s in map(str.strip, text.split(mark)) if s]
+    if len(own) < 2:
+        return len(own) == 1
+    times = Counter(own)
+    if len(times) == len(own):
+        return True
+    again = [(len(s), n) for s, n in times.items() if n > 1]
+    shares = {True: sum(size * n for size, n in again) / sum(map(len, own)), False: sum(n for _, n in again) / len(own)}
+    return all(shares[by] <= limit for by, limit in limits)
+
+
 def web_repetition(text: Column, skip_paragraphs: bool = False) -> Column:
     """The thirteen repetition rules for web pages: lines and paragraphs by number and by characters, then n-grams."""
-    checks = [repeated_segments(text, 0.30, "\n", characters=False)]
-    if not skip_paragraphs:
-        checks.append(repeated_segments(text, 0.30, "\n\n", characters=False))
-    checks.append(repeated_segments(text, 0.20, "\n"))
-    if not skip_paragraphs:
-        checks.append(repeated_segments(text, 0.20, "\n\n"))
-    return reduce(lambda a, b: a & b, [*checks, repeated_ngrams(text)])
+    marks = ["\n"] if skip_paragraphs else ["\n", "\n\n"]
+    rules = {n: "most_common" if n <= 4 else "all" for n in NGRAM_LIMITS}
+
+    def run(texts: pa.Array) -> pa.Array:
+        own = texts.to_pylist()
+        left = [t if t and all(_segments_ok(t, m, [(False, 0.30), (True, 0.20)]) for m in marks) else None for t in own]
+        return pa.array([None if t is None else ok for t, ok in zip(own, _ngrams_ok(left, NGRAM_LIMITS, rules))], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(text)
 
 
 def length_of(text: Column, kind: str, model: str = "fasttext", ignore_punctuation: bool = False, paragraph_end: str = "\n\n", remove_empty: bool = True) -> Column:
@@ -146,6 +174,8 @@ def length_of(text: Column, kind: str, model: str = "fasttext", ignore_punctuati
         return F.size(tx.paragraphs(text, "\n", remove_empty))
     if kind == "paragraph":
         return F.size(tx.paragraphs(text, paragraph_end, remove_empty))
+    if kind == "word" and model == "split" and not ignore_punctuation:
+        return ft.of(text)["words"]
     if kind == "word":
         return wd.word_count(text, model, ignore_punctuation)
     if kind == "sentence":
@@ -168,32 +198,34 @@ def no_substring(text: Column, banned: list[str], where: str = "any", case_sensi
 
 def bullet_lines(text: Column, most: float = 0.9) -> Column:
     """Lines that begin with a bullet (or * or -) are at most this share."""
-    own = tx.segments(text)
-    return F.size(F.filter(own, lambda x: x.rlike(r"\A[●•*\-]"))) <= F.size(own) * most
+    f = ft.of(text)
+    return f["bullets"] <= f["segments"] * most
 
 
 def ellipsis_lines(text: Column, most: float = 0.3) -> Column:
-    own = tx.segments(text)
-    return F.size(F.filter(own, lambda x: x.endswith("...") | x.endswith(". . .") | x.endswith("…"))) <= F.size(own) * most
+    f = ft.of(text)
+    return f["ellipses"] <= f["segments"] * most
 
 
 def stop_words(text: Column, least: int = 2, unique: bool = False, words: tuple[str, ...] = STOP_WORDS) -> Column:
     """At least so many stop words, in all or distinct ones; a page without any never passes."""
+    if words == STOP_WORDS:
+        return ft.of(text)["distinct_stop_words" if unique else "stop_words"] >= max(1, least)
     found = F.filter(tx.words(F.lower(text)), lambda w: w.isin(*words))
     n = F.size(F.array_distinct(found) if unique else found)
     return n >= max(1, least)
 
 
 def mean_word_length(text: Column, least: float = 0, most: float = float("inf")) -> Column:
-    own = tx.words(text)
-    mean = F.try_divide(tx.total(F.transform(own, lambda w: F.length(w).cast("long"))), F.size(own))
+    f = ft.of(text)
+    mean = F.try_divide(f["word_chars"], f["words"])
     return F.coalesce(mean.between(F.lit(float(least)), F.lit(float(most))), F.lit(False))
 
 
 def symbol_ratio(text: Column, most: float = 0.1) -> Column:
     """#, ... (also spaced, or as one character) per word."""
-    symbols = sum((tx.count(text, s) for s in ("#", "...", ". . .", "…")), F.lit(0))
-    return F.coalesce(F.try_divide(symbols, F.size(tx.words(text))) <= most, F.lit(False))
+    f = ft.of(text)
+    return F.coalesce(F.try_divide(f["symbols"], f["words"]) <= most, F.lit(False))
 
 
 def words_removed(text: Column, before: Column, after: Column | None = None, most: float = 0.05, model: str = "fasttext", ignore_punctuation: bool = True) -> Column:
@@ -204,8 +236,8 @@ def words_removed(text: Column, before: Column, after: Column | None = None, mos
 
 def wordless_words(text: Column, most: float = 0.2) -> Column:
     """Words without a letter are at most this share."""
-    own = tx.words(text)
-    return F.coalesce(F.try_divide(F.size(F.filter(own, lambda w: ~w.rlike(r"\p{L}"))), F.size(own)) <= most, F.lit(False))
+    f = ft.of(text)
+    return F.coalesce(F.try_divide(f["wordless"], f["words"]) <= most, F.lit(False))
 
 
 def sampled(key: Column, probability: float, seed: int = 0) -> Column:

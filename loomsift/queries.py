@@ -24,6 +24,7 @@ from .operators import modifiers as md
 from .operators import packing as pk
 from .plans import catalog as ct
 from .plans import pipeline as pl
+from .session import spread
 from .sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +47,8 @@ def T() -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +303,7 @@ def _(spark, sf_dir):
 
 @query("normalize_timestamp", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN -1.0 ELSE CAST(floor(epoch(ts)) AS DOUBLE) END AS seconds FROM events")
 def _(spark, sf_dir):
-    text = F.when(F.col("event_id") % 7 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T()'HH:mm:ss'Z'"))
+    text = F.when(F.col("event_id") % 7 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     return read(spark, sf_dir, "events").select("event_id", nz.timestamp(text).alias("seconds"))
 
 

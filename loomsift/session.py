@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "loomsift", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,3 +23,12 @@ def session(app: str = "loomsift", master: str | None = None, **conf: str) -> Sp
         **{k.replace("_", "."): v for k, v in conf.items()},
     }
     return builder.config(map=settings).getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if a scan gives fewer than half of that: files of one row group, or compressed as a whole, are read by one task each. A table of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df._jdf.queryExecution().toRdd().getNumPartitions() > cores:
+        return df
+    # the optimiser would move filters before the exchange, but not before an observation
+    return df.repartition(cores, df[df.columns[0]]).observe(f"spread-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
