@@ -3,14 +3,16 @@
 A line is kept where it occurs first (by batch, then doc_id, then place in the
 text) and goes from everywhere else. The state of a `LineStore` is
 
-* postings: every occurrence (line hash, document, place), written per batch,
-* refs: an exact count of occurrences for each line hash,
+* postings: every occurrence (line hash, document, place), a folder per batch,
+* refs: exact counts of occurrences for each line hash, as deltas by shard,
 * filters: for each shard of hashes a cuckoo filter of the lines present.
 
-A new batch probes the filters first; only the lines that may be present are
-joined with the exact counts, so a batch of fresh text never touches them.
-Deleting documents lowers the counts, takes lines that reach zero out of the
-filters, and hands each line to its next holder: the state is then what it
+A new batch probes the filters of its shards first; only the lines that may be
+present are joined with the exact counts, of their shards alone. It then appends
+its postings and counts, and puts its fresh lines into the filters: nothing that
+is in the store is written again, until many deltas are made one.
+Deleting documents appends negative counts, takes lines that reach zero out of
+the filters, and hands each line to its next holder: the state is then what it
 would be had the documents never come.
 
 Defined results:
@@ -20,12 +22,15 @@ Defined results:
 * Rows that repeat both doc_id and text are one document: one row stays (the
   first by the remaining columns), the others go. A doc_id with several texts
   is several documents, in the order of the texts' hashes.
+* Lines and texts of any length count as a whole. Ids may have any atomic type.
+  An empty table gives no rows.
 * Other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +43,7 @@ from .state import cut, shared_dir, small_batches
 BLANK = r"^[ \t\r]*$"
 KEYS = ["hi", "lo"]
 WHO = ["none", "doc", "th"]
-PER_SHARD = 1_000_000
+PER_SHARD = 250_000
 _FILTER = "shard int, filter binary"
 
 
@@ -112,6 +117,11 @@ def strip(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return kept.select(*[(F.when(touched, F.col(text)).otherwise(F.col("text")).alias(c) if c == "text" else F.col(f"`{c}`")) for c in docs.columns])
 
 
+def _power(n: int) -> int:
+    """The next power of two."""
+    return 1 << max(0, int(n) - 1).bit_length()
+
+
 def _hash(table: pa.Table) -> np.ndarray:
     return table.column("hi").to_numpy().astype(np.int64).view(np.uint64)
 
@@ -130,9 +140,9 @@ def _probe(key: tuple[pa.Scalar, ...], keys: pa.Table, filters: pa.Table) -> pa.
     return own.filter(pa.array(found))
 
 
-def _update(key: tuple[pa.Scalar, ...], filters: pa.Table, changes: pa.Table) -> pa.Table:
+def _update(key: tuple[pa.Scalar, ...], changes: pa.Table, filters: pa.Table) -> pa.Table:
     """The shard's filter with keys put in (n > 0) and taken out (n < 0); rebuilt from nothing only by `_build`."""
-    made = CuckooFilter.from_bytes(filters.column("filter")[0].as_py()) if filters.num_rows else CuckooFilter(64)
+    made = CuckooFilter.from_bytes(filters.column("filter")[0].as_py()) if filters.num_rows else CuckooFilter(max(64, changes.num_rows * 3 // 2))
     h, n = _hash(changes), changes.column("n").to_numpy()
     made.delete(h[n < 0])
     full = not made.insert(h[n > 0])
@@ -140,27 +150,37 @@ def _update(key: tuple[pa.Scalar, ...], filters: pa.Table, changes: pa.Table) ->
 
 
 class LineStore:
-    """The state, in a folder that all executors share. Each change writes a new version beside the old one."""
+    """The state, in a folder that all executors share. A change appends a delta; the deltas of the counts become one when there are many, or when shards have grown."""
 
-    def __init__(self, spark: SparkSession, path: str, per_shard: int = PER_SHARD):
-        self.spark, self.path, self.per_shard, self.version, self.shards = spark, path.rstrip("/"), per_shard, 0, 0
+    def __init__(self, spark: SparkSession, path: str, per_shard: int = PER_SHARD, deltas: int = 8):
+        self.spark, self.path, self.per_shard, self.most = spark, path.rstrip("/"), per_shard, deltas
+        self.version = self.generation = self.shards = self.lines = self.deltas = 0
+        self.id_type, self.deletions = "long", 0
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        if not self.version:
+    def _read(self, name: str, schema: str, there: int) -> DataFrame:
+        if not there:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v{self.version}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     @property
     def postings(self) -> DataFrame:
-        return self._read("postings", "batch int, hi long, lo long, none boolean, doc long, th long, pos int")
+        """Every occurrence that hasn't been deleted since."""
+        rows = self._read("postings", f"hi long, lo long, none boolean, doc {self.id_type}, th long, pos int, batch int", self.version)
+        if not self.deletions:
+            return rows
+        out = self._read("deleted", f"none boolean, doc {self.id_type}, version int", 1).alias("d")
+        return rows.alias("p").join(out, F.expr("p.none = d.none AND p.doc = d.doc AND p.batch <= d.version"), "left_anti")
+
+    def _counts(self) -> DataFrame:
+        return self._read(f"refs{self.generation}", "hi long, lo long, n long, version int, shard int", self.deltas)
 
     @property
     def refs(self) -> DataFrame:
-        return self._read("refs", "hi long, lo long, n long")
+        return self._counts().groupBy(*KEYS).agg(F.sum("n").alias("n")).where("n > 0")
 
     @property
     def filters(self) -> DataFrame:
-        return self._read("filters", _FILTER)
+        return self._read(f"filters{self.generation}", "filter binary, shard int", self.deltas)
 
     def _shard(self) -> Column:
         return F.pmod("lo", F.lit(max(1, self.shards))).cast("int").alias("shard")
@@ -168,56 +188,86 @@ class LineStore:
     def may_have(self, keys: DataFrame) -> DataFrame:
         """Those of the (hi, lo) that the filters don't rule out."""
         left = keys.select(*KEYS, self._shard()).groupBy("shard")
-        return left.cogroup(self.filters.groupBy("shard")).applyInArrow(_probe, "hi long, lo long")
+        return left.cogroup(self.filters.select("shard", "filter").groupBy("shard")).applyInArrow(_probe, "hi long, lo long")
 
-    def insert(self, docs: DataFrame) -> DataFrame:
-        """Adds docs as one batch, and returns them without the lines that are in the store or came earlier in the batch."""
+    def _present(self, keys: DataFrame) -> DataFrame:
+        """(hi, lo, n) of those of the keys that are in the store; only their shards' counts are read."""
+        wanted = keys.select(*KEYS, self._shard())
+        return self._counts().join(wanted, ["shard", *KEYS], "left_semi").groupBy(*KEYS).agg(F.sum("n").alias("n")).where("n > 0")
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """Adds docs as one batch; for each document the places of its lines that are in the store or came earlier in the batch."""
+        kind = dict(docs.dtypes)["doc_id"]
+        if not self.version:
+            self.id_type = kind
+        elif kind != self.id_type:
+            raise TypeError(f"the store's ids are {self.id_type}, not {kind}")
         lines = occurrences(docs)
         new = cut(counted(lines))
-        if self.version:
-            old = self.refs.join(self.may_have(new), KEYS, "left_semi").select(*KEYS)
-            known = new.join(old.withColumn("old", F.lit(True)), KEYS, "left")
-            seen = known.where("n > 1 or old").select(*KEYS, F.when(F.col("old").isNull(), F.col("first")).alias("first"))
+        number = new.count()
+        if not self.shards:
+            self.shards = _power(-(-2 * number // self.per_shard))
+        if self.deltas:
+            known = cut(self._present(self.may_have(new)).select(*KEYS))
+            told = cut(new.join(known.withColumn("old", F.lit(True)), KEYS, "left"))
+            number -= known.count()
         else:
-            seen = new.where("n > 1").select(*KEYS, "first")
+            told = new.withColumn("old", F.lit(None).cast("boolean"))
+        seen = told.where("n > 1 or old").select(*KEYS, F.when(F.col("old").isNull(), F.col("first")).alias("first"))
         gone = cut(later(lines, seen))
-        self._save(
-            self.postings.unionByName(lines.select(F.lit(self.version + 1).alias("batch"), "*")),
-            self.refs.unionByName(new.select(*KEYS, "n")).groupBy(*KEYS).agg(F.sum("n").alias("n")),
-        )
-        return strip(docs, gone)
+        lines.write.parquet(f"{self.path}/postings/batch={self.version + 1}")
+        self._change(new.select(*KEYS, "n"), told.where("old is null").select(*KEYS, F.lit(1).alias("n")), number)
+        return gone
+
+    def insert(self, docs: DataFrame) -> DataFrame:
+        """Adds docs as one batch, and returns them without the lines that are in the store or came earlier in the batch."""
+        return strip(docs, self.add(docs))
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Takes out every document whose id is in the column doc_id; ids that are absent change nothing."""
-        ids = doc_ids.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc")).distinct()
-        minus = self.postings.join(ids, ["none", "doc"], "left_semi").groupBy(*KEYS).agg((-F.count("*")).alias("n"))
-        left = self.refs.unionByName(minus).groupBy(*KEYS).agg(F.sum("n").alias("n")).where("n > 0")
-        self._save(self.postings.join(ids, ["none", "doc"], "left_anti"), left)
-
-    def _save(self, postings: DataFrame, refs: DataFrame) -> None:
-        to = f"{self.path}/v{self.version + 1}"
-        postings.write.parquet(f"{to}/postings")
-        refs.write.parquet(f"{to}/refs")
-        now = self.spark.read.schema("hi long, lo long, n long").parquet(f"{to}/refs")
-        shards = max(1, -(-now.count() // self.per_shard))
-        if not self.version or shards > 2 * self.shards:
-            self.shards = shards
-            made = now.select("hi", self._shard()).groupBy("shard").applyInArrow(_build, _FILTER)
-        else:
-            before = self.refs.select(*KEYS, F.lit(-1).alias("n"))
-            changes = before.unionByName(now.select(*KEYS, F.lit(1).alias("n"))).groupBy(*KEYS).agg(F.sum("n").alias("n")).where("n <> 0").select("hi", "n", self._shard())
-            made = cut(self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(_update, _FILTER))
-            full = made.where("filter is null").select("shard")
-            again = now.select("hi", self._shard()).join(full, "shard", "left_semi").groupBy("shard").applyInArrow(_build, _FILTER)
-            made = made.where("filter is not null").unionByName(again)
-        made.write.parquet(f"{to}/filters")
+        ids = cut(doc_ids.select(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast(self.id_type), _some(self.id_type)).alias("doc")).distinct())
+        minus = cut(self.postings.join(ids, ["none", "doc"], "left_semi").groupBy(*KEYS).agg((-F.count("*")).alias("n")))
+        zero = cut(self._present(minus).withColumnRenamed("n", "had").join(minus, KEYS).where("had + n <= 0").select(*KEYS, F.lit(-1).alias("n")))
+        ids.withColumn("version", F.lit(self.version)).write.mode("append").parquet(f"{self.path}/deleted")
+        self.deletions += 1
+        self._change(minus, zero, -zero.count())
+
+    def _change(self, delta: DataFrame, keys: DataFrame, number: int) -> None:
+        """Appends counts, and puts keys into the filters of their shards (n > 0) or takes them out; filters of other shards stay as they are."""
         self.version += 1
+        delta.select(*KEYS, F.col("n").cast("long").alias("n"), self._shard()).repartition("shard").write.partitionBy("shard").parquet(f"{self.path}/refs{self.generation}/version={self.version}")
+        old = self.filters.select("shard", "filter")
+        self.deltas += 1
+        self.lines += number
+        changes = keys.select("hi", "n", self._shard())
+        made = cut(changes.groupBy("shard").cogroup(old.join(changes.select("shard").distinct(), "shard", "left_semi").groupBy("shard")).applyInArrow(_update, _FILTER))
+        full = made.where("filter is null").select("shard")
+        if self.deltas > self.most or self.lines > 2 * self.shards * self.per_shard:
+            self._compact()
+        else:
+            if not full.isEmpty():
+                again = self._counts().join(full, "shard", "left_semi").groupBy("shard", *KEYS).agg(F.sum("n").alias("n")).where("n > 0").select("hi", "shard")
+                made = cut(made.where("filter is not null").unionByName(again.groupBy("shard").applyInArrow(_build, _FILTER)))
+            made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(f"{self.path}/filters{self.generation}")
+
+    def _compact(self) -> None:
+        """One table of counts, in as many shards as the lines ask for, and fresh filters."""
+        now, before = self.refs, self.generation
+        self.shards = max(self.shards, _power(-(-2 * self.lines // self.per_shard)))
+        now.select(*KEYS, "n", self._shard()).repartition("shard").write.partitionBy("shard").parquet(f"{self.path}/refs{before + 1}/version={self.version}")
+        self.generation, self.deltas = before + 1, 1
+        self._counts().select("hi", "shard").groupBy("shard").applyInArrow(_build, _FILTER).write.partitionBy("shard").parquet(f"{self.path}/filters{self.generation}")
+        for name in ("refs", "filters"):
+            self._remove(f"{self.path}/{name}{before}")
+
+    def _remove(self, path: str) -> None:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
     def drop(self) -> None:
         """Deletes the state; what insert returned doesn't read it."""
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        self.version = self.shards = 0
+        self._remove(self.path)
+        self.version = self.shards = self.deltas = self.lines = self.deletions = 0
 
     def view(self, docs: DataFrame) -> DataFrame:
         """docs, which were all inserted, as they stand now: each line only at its first holder still present."""
@@ -233,11 +283,27 @@ def new_store(spark: SparkSession) -> LineStore:
     return LineStore(spark, f"{shared_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}")
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs without repeated lines: one batch inserted into an empty store, which is then dropped."""
+def dedup_lines(docs: DataFrame, batches: int = 3) -> DataFrame:
+    """docs without repeated lines.
+
+    They come into an empty store batch by batch, in ranges of doc_id (all at
+    once, if ids aren't numbers); the last batch is then deleted and comes
+    again, which leaves what one batch of all would leave. The store is dropped
+    at the end.
+    """
     store = new_store(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+    parts = [docs]
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        at = docs.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000).alias("at")).first().at if batches > 1 else []
+        edges = [None, *sorted(set(at or [])), None]
+        parts = [docs.where((F.lit(True) if a is None else F.col("doc_id") > F.lit(a)) & (F.lit(True) if b is None else F.col("doc_id") <= F.lit(b)) | (F.col("doc_id").isNull() if b is None else F.lit(False))) for a, b in zip(edges, edges[1:])]
     try:
-        return store.insert(docs)
+        gone = [store.add(p) for p in parts]
+        if len(parts) > 1:
+            store.delete(parts[-1].select("doc_id"))
+            gone[-1] = store.add(parts[-1])
+        return strip(docs, reduce(DataFrame.unionByName, gone))
     finally:
         store.drop()
 
