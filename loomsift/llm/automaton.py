@@ -22,16 +22,17 @@ from re import _parser as parser
 
 import numpy as np
 
-MOST_STATES = 30_000
+MOST_STATES = 200_000
 #: Stands between texts; it isn't part of any UTF-8 text, and no rule matches it.
 BREAK = 0xFF
 LANES = 4096
+ROUNDS = 4
 EDGE = r"(?<![0-9A-Za-z_.+/-])"
 WORD = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz.+/-")
 KEY = r"(?<![0-9A-Za-z])"
 #: The bytes that mustn't stand before a pattern.
 LOOK_BEHIND = {EDGE: WORD, KEY: frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")}
-LONG = 12
+LONG = 16
 
 _CATEGORIES = {
     c.CATEGORY_DIGIT: rb"[0-9]", c.CATEGORY_WORD: rb"[A-Za-z0-9_]", c.CATEGORY_SPACE: rb"[ \t\n\r\f\v]",
@@ -144,11 +145,9 @@ class _Nfa:
 
 
 class Automaton:
-    """States are numbered so that accepting ones come last. `masks` holds the rules that each state accepts, as bits."""
+    """States are numbered so that accepting ones come last. `masks` holds the rules that each state accepts, as bits of an integer of any width."""
 
     def __init__(self, patterns: list[bytes], anywhere: bool, backward: bool = False, heads: bool = False):
-        if len(patterns) > 63:
-            raise ValueError("an automaton takes 63 rules at most")
         nfa, ends = _Nfa(), {}
         roots = {edge: nfa.state() for edge in ("", *LOOK_BEHIND)}
         for n, pattern in enumerate(patterns):
@@ -185,7 +184,7 @@ class Automaton:
                 row.append(number[after])
             rows.append(row)
         table = np.array(rows, np.int64)
-        masks = np.array([sum(1 << n for e, n in ends.items() if e in s) for s in number], np.int64)
+        masks = np.array([sum(1 << n for e, n in ends.items() if e in s) for s in number], object)  # as wide as there are rules
         if masks[0]:
             raise ValueError("a rule matches the empty string")
         self.built = len(table)
@@ -201,10 +200,11 @@ class Automaton:
         rank = np.empty(len(first), np.int64)
         rank[order] = np.arange(len(first))
         self.masks = masks[first][order]
-        self.table = rank[block[table[first]]][order].astype(np.uint16)
+        self.table = rank[block[table[first]]][order].astype(np.int32)
         self.start = int(rank[block[0]])
         self.accepting = int((self.masks == 0).sum())
         self.dead = next((s for s in range(self.accepting) if (self.table[s] == s).all()), -1)
+        self.steps, self.kinds = self.table.tolist(), self.classes.tobytes()
 
     def run(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the automaton accepts (index of the last byte), and the state there.
@@ -212,7 +212,9 @@ class Automaton:
         The bytes are cut into lanes that advance together, each as if it
         began in the start state. A lane whose left neighbour ends elsewhere
         is then run again from there, until it meets its first run; this goes
-        on until all lanes fit, so the result is that of a single pass.
+        on until all lanes fit, so the result is that of a single pass. What a
+        few rounds leave is gone through byte by byte, so that a state which
+        lasts over many lanes costs no round for each of them.
         """
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -229,7 +231,7 @@ class Automaton:
         for s in range(steps):
             now = flat[now + kinds[s]]
             states[s] = now
-        while True:
+        for _ in range(ROUNDS):
             true = np.concatenate([[self.start * width], states[-1, :-1]]).astype(np.int32)
             wrong = np.flatnonzero(true != begin)
             if not len(wrong):
@@ -244,6 +246,8 @@ class Automaton:
                     if not len(wrong):
                         break
                 states[s, wrong] = now
+        else:
+            self._mend(states, begin, kinds, flat)
         step, lane = np.nonzero(states >= self.accepting * width)
         where = lane * steps + step
         order = np.argsort(where)
@@ -251,15 +255,30 @@ class Automaton:
         inside = where < len(data)
         return where[inside], at[inside]
 
-    def longest(self, data: bytes, start: int, stop: int, step: int, edge: frozenset[int] = frozenset()) -> int:
-        """From start towards stop the furthest index after which the automaton accepts, or -1; edge: only where none of these bytes stands before the index."""
-        state, found = self.start, -1
-        for i in range(start, stop, step):
-            state = int(self.table[state, self.classes[data[i]]])
-            if state == self.dead:
-                break
-            if state >= self.accepting and not (edge and i and data[i - 1] in edge):
+    def _mend(self, states: np.ndarray, begin: np.ndarray, kinds: np.ndarray, flat: np.ndarray) -> None:
+        """Runs every lane again that didn't begin where its left neighbour ends, from left to right."""
+        moves = None
+        for lane in range(1, states.shape[1]):
+            now = int(states[-1, lane - 1])
+            if now != begin[lane]:
+                moves = moves or flat.tolist()
+                old, new = states[:, lane].tolist(), []
+                for k, was in zip(kinds[:, lane].tolist(), old):
+                    now = moves[now + k]
+                    if now == was:
+                        break
+                    new.append(now)
+                states[: len(new), lane] = new
+
+    def longest(self, kinds: bytes, start: int) -> int:
+        """From start the furthest index after which the automaton accepts, or -1; kinds: the classes of a text's bytes (`text.translate(self.kinds)`)."""
+        state, found, steps, accepting, dead = self.start, -1, self.steps, self.accepting, self.dead
+        for i in range(start, len(kinds)):
+            state = steps[state][kinds[i]]
+            if state >= accepting:
                 found = i
+            elif state == dead:
+                break
         return found
 
 
