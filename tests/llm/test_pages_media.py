@@ -3,6 +3,7 @@
 import itertools
 import random
 import struct
+import time
 
 import numpy as np
 
@@ -18,6 +19,60 @@ def test_blocks_of_broken_markup():
     assert htmlcrf.blocks("") == [] and htmlcrf.blocks("<p></p><<>") != [] and [b.text for b in htmlcrf.blocks("plain")] == ["plain"]
 
 
+def test_markup_is_read_as_browsers_do():
+    text = lambda page: [b.text for b in htmlcrf.blocks(page)]
+    assert text("<p title=it's>hello</p><p>don't stop</p><p>bye</p>") == ["hello", "don't stop", "bye"]
+    assert text("<p class=\"a>b\">one</p><p x='<p>'>two") == ["one", "two"] and text("a < b <3 c<p>d") == ["a < b <3 c", "d"]
+    assert text("<title>a<p>b</p></title><p>c<textarea><p>d</textarea>e") == ["c e".replace(" ", "")]
+    assert text("<SCRIPT>x</scripty></script ><p>y<!--><p>z</p>--><style>s") == ["y", "z", "-->"]
+    assert text("a</>b<?php c ?>d<!doctype html>e<p>f<a href='g") == ["abde", "f"]
+    assert [b.path for b in htmlcrf.blocks("<div class=A id='b'><br/><img class=c>x<section/>y")] == [(("div", "a b"),)] * 2
+    deep = htmlcrf.blocks("<div>" * 2000 + "x" + "</div>" * 2000 + "<p>y")
+    assert [len(b.path) for b in deep] == [512, 1]
+
+
+def test_time_grows_with_the_page():
+    pages = ['<a "x' * 200_000, "<" * 1_000_000, "<div>a" * 100_000, "<!--" * 250_000, "<p x='" * 160_000, "</x>" * 250_000, "<div>" * 100_000 + "</q>" * 100_000, "<script>" * 120_000, "<p a" + " " * 1_000_000, "<p " + "a " * 500_000, "<p>" + "=" * 1_000_000]
+    for page in pages:
+        began = time.perf_counter()
+        htmlcrf.blocks(page)
+        assert time.perf_counter() - began < 5, page[:20]
+
+
+def test_gradient_against_differences_and_enumeration():
+    rng = np.random.default_rng(4)
+    pages = [[rng.integers(1, 30, 3).tolist() for _ in range(n)] for n in (1, 4, 6, 3)]
+    labels = [rng.integers(0, 2, len(p)).tolist() for p in pages]
+    theta = [np.zeros(htmlcrf.WIDTH), rng.standard_normal((2, 2)), rng.standard_normal(2)]
+    theta[0][:30] = rng.standard_normal(30)
+
+    def score(page, y):
+        return sum(theta[0][b].sum() * k for b, k in zip(page, y)) + sum(theta[1][a, b] for a, b in zip(y, y[1:])) + theta[2][y[0]]
+
+    group = htmlcrf._Group(pages, labels)
+    value, gradient = group.gradient(*theta)
+    assert np.isclose(value, sum(score(p, y) - np.log(sum(np.exp(score(p, z)) for z in itertools.product((0, 1), repeat=len(p)))) for p, y in zip(pages, labels)))
+    for k, places in enumerate(([(i,) for i in range(30)], list(np.ndindex(2, 2)), [(0,), (1,)])):
+        for at in places:
+            moved = [t.copy() for t in theta]
+            moved[k][at] += 1e-5
+            assert np.isclose((group.gradient(*moved)[0] - value) / 1e-5, gradient[k][at], atol=1e-3)
+
+
+def test_groups_of_pages_give_what_all_at_once_give(monkeypatch):
+    rng = np.random.default_rng(6)
+    pages = [[rng.integers(1, 50, 3).tolist() for _ in range(n)] for n in rng.integers(0, 12, 40)]
+    labels = [rng.integers(0, 2, len(p)).tolist() for p in pages]
+    whole = htmlcrf.train(pages, labels, rounds=5)
+    decoded = htmlcrf.viterbi(whole, pages)
+    monkeypatch.setattr(htmlcrf, "CELLS", 20)
+    parts = htmlcrf.train(pages, labels, rounds=5)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.moves, parts.moves)
+    assert all((a == b).all() for a, b in zip(decoded, htmlcrf.viterbi(whole, pages)))
+    found = htmlcrf.blocks(_page(random.Random(1))[0])
+    assert np.allclose(htmlcrf.emissions(whole.weights, found), [whole.weights[f].sum() for f in htmlcrf.features(found)])
+
+
 def test_viterbi_against_enumeration():
     rng = np.random.default_rng(3)
     model = htmlcrf.Crf(rng.standard_normal(htmlcrf.WIDTH), rng.standard_normal((2, 2)), rng.standard_normal(2))
