@@ -54,7 +54,7 @@ class Params:
     noise: int = 48
     inner: int = 4
     batch: int = 8192
-    rate: float = 0.08
+    rate: float = 0.14
     seed: int = 23
 
 
@@ -242,12 +242,12 @@ def _sums(keys: np.ndarray, order: np.ndarray, values: np.ndarray, most: int = 6
     by = keys if sorted_keys else keys[order]
     begin = np.flatnonzero(np.r_[True, by[1:] != by[:-1]])
     size = np.diff(np.r_[begin, len(by)])
-    out = values[order[begin]]
+    out = values.take(order[begin], 0)
     left = np.flatnonzero(size > 1)
     for k in range(1, most):
         if not len(left):
             break
-        out[left] += values[order[begin[left] + k]]
+        out[left] += values.take(order[begin[left] + k], 0)
         left = left[size[left] > k + 1]
     if len(left):
         rest = size[left] - most
@@ -258,12 +258,13 @@ def _sums(keys: np.ndarray, order: np.ndarray, values: np.ndarray, most: int = 6
 
 
 def _ascend(values: np.ndarray, square: np.ndarray, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
-    """AdaGrad on distinct rows."""
-    new = square[rows]
-    new += g * g
+    """AdaGrad on distinct rows, with a step size for each row: `square` adds up the mean squares of its gradients."""
+    new = square.take(rows)
+    new += np.einsum("ij,ij->i", g, g) / g.shape[1]
     square[rows] = new
-    np.sqrt(new, out=new)
-    values[rows] += rate * g / new
+    g *= (rate / np.sqrt(new))[:, None]
+    g += values.take(rows, 0)
+    values[rows] = g
 
 
 def _scatter(values: np.ndarray, square: np.ndarray, at: np.ndarray, gradient: np.ndarray, rate: float) -> None:
@@ -287,7 +288,7 @@ class Trainer:
         m = model
         self.context, self.place = m.context.copy(), m.place.copy()
         self.target, self.group = np.column_stack([m.target, m.bias]), np.column_stack([m.group, m.group_bias])
-        self.squares = [np.full(x.shape, 1e-4, np.float32) for x in (self.context, self.target, self.group, self.place)]
+        self.squares = [np.full(len(x), 1e-4, np.float32) for x in (self.context, self.target, self.group)] + [np.full(self.place.shape, 1e-4, np.float32)]
         self.seen, self.tokens = np.zeros(len(m.bias), np.int64), 0
         self.of = m.of(np.arange(len(m.bias)))
         mass = np.bincount(self.of, weights=model.unigram)
@@ -310,13 +311,13 @@ class Trainer:
         k, rate = self.p.noise, self.p.rate
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(k)), len(self.group) - 1)
         g = self.of[w]
-        e1, e2 = self.context[c1], self.context[c2]
+        e1, e2 = self.context.take(c1, 0), self.context.take(c2, 0)
         q = np.ones((len(c1), e1.shape[1] + 1), np.float32)  # the last column is for the bias
         np.matmul(e1, self.place[0], out=q[:, :-1])
         q[:, :-1] += e2 @ self.place[1]
         others = self.group[noise]
         d_bad = _below_one(self.log_noise[noise] - q @ others.T, -of_context[:, None])
-        mine, own = q[by], self.group[g]
+        mine, own = q.take(by, 0), self.group.take(g, 0)
         good = np.einsum("ij,ij->i", mine, own)
         good -= self.log_noise[g]
         d_good = _below_one(good, weight)
@@ -352,7 +353,7 @@ class Trainer:
         noise = np.clip(np.searchsorted(self.words_cumulative, spot), low[:, None], high[:, None] - 1)
         others = self.target[noise]
         offset = self.log_inner[noise]
-        own = self.target[w]
+        own = self.target.take(w, 0)
         good = np.einsum("ij,ij->i", q, own)
         good -= self.log_inner[w]
         d_good = _below_one(good, weight)
@@ -361,7 +362,7 @@ class Trainer:
         spread = np.empty((len(bands), k, q.shape[1]), np.float32)
         which = np.repeat(np.arange(len(bands)), np.diff(np.r_[begin, len(w)]))
         for j in range(k):
-            mine = others[which, j]
+            mine = others[:, j].take(which, 0)
             d_bad = _below_one(offset[which, j] - np.einsum("ij,ij->i", q, mine), -weight)
             mine *= d_bad[:, None]
             d_q += mine[:, :-1]
@@ -481,17 +482,22 @@ class Scorer:
         self.spelling = None
 
     @staticmethod
-    def _normalised(q: np.ndarray, target: np.ndarray, bias: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For slices of q the scores of all targets, and the logarithms of their sums of exponentials."""
+    def _chosen(q: np.ndarray, target: np.ndarray, bias: np.ndarray, row: np.ndarray, column: np.ndarray, size: int = 256) -> np.ndarray:
+        """Log-probabilities of the targets `column` given the rows `row` of q, which ascend; in slices of q whose scores stay in the processor's cache."""
         roof = np.sqrt((q * q).sum(1).max(initial=0) * (target * target).sum(1).max()) + np.abs(bias).max()
-        for at in range(0, len(q), 1024):
-            s = q[at : at + 1024] @ target.T
+        out, target = np.empty(len(row), np.float32), np.ascontiguousarray(target.T)
+        cuts = np.searchsorted(row, np.arange(0, len(q) + size, size))
+        for a, b, at in zip(cuts.tolist(), cuts[1:].tolist(), range(0, len(q), size)):
+            s = q[at : at + size] @ target
             s += bias
-            if roof < 80:  # no overflow in single precision
-                yield at, s, np.log(np.exp(s).sum(1))
-            else:
-                top = s.max(1)
-                yield at, s, top + np.log(np.exp(s - top[:, None]).sum(1))
+            if roof >= 80:  # single precision might overflow
+                s -= s.max(1, keepdims=True)
+            here = row[a:b] - at
+            picked = s[here, column[a:b]]
+            np.exp(s, out=s)
+            picked -= np.log(s.sum(1)).take(here)
+            out[a:b] = picked
+        return out
 
     def log_probs(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         m = self.m
@@ -500,21 +506,16 @@ class Scorer:
         code = code[order]
         fresh = np.r_[True, code[1:] != code[:-1]] if len(code) else np.zeros(0, bool)
         pair, of_pair = code[fresh], np.cumsum(fresh) - 1
-        q = self.q1[pair // self.v] + self.q2[pair % self.v]
+        q = self.q1.take(pair // self.v, 0)
+        q += self.q2.take(pair % self.v, 0)
         mine, g = ids[order], m.of(ids[order])
-        got = np.empty(len(ids), np.float32)
-        for at, s, norm in self._normalised(q, m.group, m.group_bias):
-            a, b = np.searchsorted(of_pair, [at, at + len(s)])
-            row = of_pair[a:b] - at
-            got[a:b] = s[row, g[a:b]] - norm[row]
+        got = self._chosen(q, m.group, m.group_bias, of_pair, g)
         rows = np.flatnonzero(mine >= m.head)
         rows = rows[np.argsort(g[rows])]
         bands, begin = np.unique(g[rows], return_index=True)
         for b, r in zip(bands.tolist(), np.split(rows, begin[1:])):
             low = m.head + (b - m.head) * m.band
-            for at, s, norm in self._normalised(q[of_pair[r]], m.target[low : low + m.band], m.bias[low : low + m.band]):
-                part = r[at : at + len(s)]
-                got[part] += s[np.arange(len(s)), mine[part] - low] - norm
+            got[r] += self._chosen(q.take(of_pair[r], 0), m.target[low : low + m.band], m.bias[low : low + m.band], np.arange(len(r)), mine[r] - low)
         out = np.empty(len(ids), np.float32)
         out[order] = got
         return out
