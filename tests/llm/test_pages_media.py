@@ -157,7 +157,66 @@ def test_round_trip():
             if granule is not None:
                 granules[serial, number] = granule
         assert got == sent
-        assert all(g == 1000 * n for (_, n), g in granules.items())
+        assert granules[100, 40] == granules[101, 40] == 40_000  # the last of a page is at its granule
+
+
+def _mux_audio(codec, sizes, per_page, head, rest=(), start=0, trim=0):
+    """Packets in pages of per_page; returns the file and where each packet ends."""
+    w, out, ends, at = ogg.Writer(9, fill=1 << 30), [], [], start
+    for p in (head, *rest):
+        out += [w.packet(p, 0), w.flush()]
+    for i, (packet, size) in enumerate(sizes):
+        at += size
+        ends.append(at)
+        out.append(w.packet(packet, at - (trim if i == len(sizes) - 1 else 0)))
+        if i % per_page == per_page - 1 and i < len(sizes) - 1:
+            out.append(w.flush())
+    out.append(w.flush(end=True))
+    return b"".join(out), [min(e, at - trim) for e in ends]
+
+
+def _bits(*fields):
+    value = at = 0
+    for x, n in fields:
+        value, at = value | x << at, at + n
+    return value.to_bytes(-(-at // 8), "little")
+
+
+def test_every_packet_has_its_time():
+    rng = random.Random(11)
+    toc = {0: 480, 3: 2880, 9: 960, 13: 960, 16: 120, 19: 960, 31: 960}
+    opus = []
+    for _ in range(40):
+        config, code, n = rng.choice(list(toc)), rng.randrange(4), rng.randint(1, 6)
+        opus.append((bytes([config << 3 | code, n]) + rng.randbytes(20), toc[config] * (1, 2, 2, n)[code]))
+    # blocks of 256 and 2048 by four modes, as the setup header's end says
+    flags = [0, 1, 1, 0]
+    setup = b"\x05vorbis" + rng.randbytes(60) + _bits((0x2A, 7), (3, 6), *[x for f in flags for x in ((f, 1), (0, 16), (0, 16), (5, 8))], (1, 1))
+    vorbis, last = [], None
+    for _ in range(40):
+        mode = rng.randrange(4)
+        size = (256, 2048)[flags[mode]]
+        vorbis.append((bytes([mode << 1]) + rng.randbytes(9), 0 if last is None else (last + size) // 4))
+        last = size
+    mixed_head = ogg.vorbis_head()[:28] + b"\xb8\x01"
+    flac_head = b"\x7fFLAC" + bytes(22) + (48000 << 4).to_bytes(3, "big") + bytes(20)
+    flac = [(b"\xff\xf8" + bytes([c << 4, 0, 5]) + tail + b"zz", n) for c, tail, n in ((1, b"", 192), (5, b"", 4608), (12, b"", 4096), (6, b"\x09", 10), (7, b"\x01\x00", 257), (9, b"", 512))] * 5
+    speex_head = b"Speex   " + bytes(28) + struct.pack("<I", 16000) + bytes(16) + struct.pack("<I", 320) + bytes(4) + struct.pack("<I", 2) + bytes(12)
+    cases = [
+        ("opus", opus, ogg.opus_head(), [b"OpusTags"]), ("vorbis", vorbis, mixed_head, [b"\x03vorbis", setup]), ("flac", flac, flac_head, [b"\x84tags"]),
+        ("speex", [(b"s" * 9, 640)] * 30, speex_head, [b"comment"]),
+    ]
+    for codec, audio, head, rest in cases:
+        for trim in (0, 100):
+            data, ends = _mux_audio(codec, audio, 7, head, rest, trim=trim)
+            got = list(ogg.packets(data))
+            assert [g[2] for g in got] == [codec] * len(got) and [g[5] for g in got] == [0] * (1 + len(rest)) + ends, codec
+            assert all(g[6] is not None for g in got)
+    shift = 6
+    theora_head = b"\x80theora" + bytes(15) + struct.pack(">II", 25, 1) + bytes(10) + struct.pack(">H", shift << 5)
+    w = ogg.Writer(3, fill=1 << 30)
+    data = w.packet(theora_head, 0) + w.flush() + b"".join(w.packet(b"\x00f", (i // 10 * 10) << shift | i % 10) + (w.flush() if i % 6 == 5 else b"") for i in range(30)) + w.flush(end=True)
+    assert [g[5] for g in ogg.packets(data)][1:] == list(range(30))
 
 
 def test_times():
@@ -165,7 +224,7 @@ def test_times():
     assert clock.seconds(48_312) == 1.0 and clock.seconds(-1) is None and clock.seconds(0) == 0
     assert ogg._Clock(ogg.vorbis_head(44100)).seconds(88_200) == 2.0
     theora = ogg._Clock(b"\x80theora" + bytes(15) + struct.pack(">II", 25, 1) + bytes(10) + struct.pack(">H", 6 << 5))
-    assert theora.codec == "theora" and theora.seconds((50 << 6) + 25) == 3.0
+    assert theora.codec == "theora" and theora.seconds(theora.place((50 << 6) + 25)) == 3.0
     assert ogg._Clock(b"?").seconds(5) is None
 
 
@@ -188,7 +247,9 @@ def test_media_table_and_odd_values(spark):
     media = ogg.media_table(spark.createDataFrame(rows, "doc_id long, text string"))
     got = ogg.demux(media).collect()
     assert sum(r.doc_id == 1 for r in got) == 2 * 2 + 4 + 1 and {r.doc_id for r in got} == {1, 2, None}
-    assert max(r.bytes for r in got) == 200_000 and not any(r.gap for r in got)
+    assert max(r.bytes for r in got) == 200_001 and not any(r.gap for r in got) and all(r.seconds is not None for r in got)
+    whole = ogg.demux(media.selectExpr("doc_id as SERIAL", "media"), key="SERIAL", payload=True)
+    assert whole.columns[0] == "SERIAL_" and sorted(r.payload[1:] for r in whole.where("SERIAL_ = 1 and codec = 'opus' and packet > 0").collect()) == [b"a", b"a", b"c"]
     odd = spark.createDataFrame([(1, b"no ogg"), (2, None), (3, b"OggS"), (4, bytearray(media.first().media)[:5000])], "doc_id long, media binary")
     assert {r.doc_id for r in ogg.demux(odd).collect()} <= {4}
     assert ogg.demux(media.limit(0)).count() == 0
