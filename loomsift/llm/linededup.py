@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cuckoo import CuckooFilter
-from .state import cut, shared_dir, small_batches
+from .state import cut, remove, shared_dir, small_batches
 
 BLANK = r"^[ \t\r]*$"
 KEYS = ["hi", "lo"]
@@ -258,15 +258,11 @@ class LineStore:
         self.generation, self.deltas = before + 1, 1
         self._counts().select("hi", "shard").groupBy("shard").applyInArrow(_build, _FILTER).write.partitionBy("shard").parquet(f"{self.path}/filters{self.generation}")
         for name in ("refs", "filters"):
-            self._remove(f"{self.path}/{name}{before}")
-
-    def _remove(self, path: str) -> None:
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(self.spark, f"{self.path}/{name}{before}")
 
     def drop(self) -> None:
         """Deletes the state; what insert returned doesn't read it."""
-        self._remove(self.path)
+        remove(self.spark, self.path)
         self.version = self.shards = self.deltas = self.lines = self.deletions = 0
 
     def view(self, docs: DataFrame) -> DataFrame:

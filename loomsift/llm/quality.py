@@ -11,11 +11,13 @@ n-grams say nothing, and what they would add up to over a long document
 doesn't drown the few that do.
 
 Defined results:
-* A null text is rejected; an empty text has weight 0.
+* A null text is rejected; an empty text has weight 0. Of a text of any length
+  all n-grams count.
 * A null doc_id is an id like any other; rows with equal id and text share
   their noise, and are kept or rejected together (ties at the limit are kept).
 * No labelled target document, or an empty table: there is no evidence, all
   rows with a text are kept with weight 0.
+* k of 0 keeps nothing, and k beyond the rows with a text keeps those.
 * A document that several label rows cover is a target only if all agree.
 * Other columns pass through untouched, whatever their names.
 """
@@ -157,19 +159,24 @@ def kth_largest(values: DataFrame, k: int) -> float:
             return sorted((x[0] for x in inside.where(F.col(name).between(low, high)).collect()), reverse=True)[k - 1]
 
 
-def resample(docs: DataFrame, labels: DataFrame, p: Params = Params(), scored: bool = False) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, p: Params = Params(), scored: bool = False, k: int | None = None, fraction: float | None = None) -> DataFrame:
     """The rows of docs that importance resampling keeps; with `scored`, doc_id, log_weight and gumbel_key instead of docs' columns.
 
-    k is the number of rows whose weight reaches the limit that loses
+    k is the size of the sample, or a fraction of the rows with a text. By
+    default it is the number of rows whose weight reaches the limit that loses
     `clean_loss` of the held-out clean documents, so that the size of the
-    sample follows what the table holds.
+    sample follows what the table holds. Rows that tie with the k-th are kept.
     """
     model, weight = fit(docs, labels, p)
     key = weight + p.noise * _gumbel(docs["doc_id"], p.seed + 1)
-    if np.isinf(model.limit):
+    if np.isinf(model.limit) and k is None and fraction is None:
         kept = docs.where(docs["text"].isNotNull())
     else:
         both = cut(docs.select(weight.alias("w"), key.alias("key")).where("w is not null"))
-        k = both.where(F.col("w") >= model.limit).count()
+        if fraction is not None:
+            k = round(fraction * both.count())
+        elif k is None:
+            k = both.where(F.col("w") >= model.limit).count()
+        k = min(k, both.count())
         kept = docs.where(key >= F.lit(kth_largest(both.select("key"), k))) if k else docs.limit(0)
     return kept.select("doc_id", weight.alias("log_weight"), key.alias("gumbel_key")) if scored else kept

@@ -17,6 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='loomsift-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
+    # a checkpoint goes when nothing refers to its rows any more
+    spark.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -36,6 +38,12 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, small)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever Hadoop's file systems reach."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 @contextmanager
 def table(df: DataFrame):
     """df written as Parquet to the shared folder; it is deleted at the end of the block."""
@@ -45,5 +53,4 @@ def table(df: DataFrame):
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        remove(spark, path)

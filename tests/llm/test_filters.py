@@ -77,6 +77,62 @@ def test_resampling_of_odd_rows(spark, corpus):
     assert quality.resample(docs, none).count() == len(rows) + len(odd) - 1
 
 
+M = (1 << 64) - 1
+
+
+def _mix(h):
+    h ^= h >> 33
+    h = h * 0xFF51AFD7ED558CCD & M
+    h ^= h >> 33
+    h = h * 0xC4CEB9FE1A85EC53 & M
+    return h ^ h >> 33
+
+
+def _slow_buckets(text, buckets):
+    """The operator's n-grams and hashes, worked out token by token in integers."""
+    base, words = 0x9E3779B97F4A7C15, []
+    for token in re.findall(rb"(?:[0-9A-Za-z]|[^\x00-\x7f])+|[!-/:-@\[-`{-~]+", text.encode()):
+        h = sum((b + 1) * pow(base, i, 1 << 64) for i, b in enumerate(token.lower()))
+        words.append(_mix((h + len(token) * 0xD6E8FEB86659FD93) & M))
+    pairs = [_mix((a * 0x9FB21C651E98DF25 + b & M) ^ (2 * 0x2545F4914F6CDD1D & M)) for a, b in zip(words, words[1:])]
+    return [h & buckets - 1 for h in words + pairs]
+
+
+def test_resampling_against_brute_force(spark, corpus):
+    rows, labels = corpus
+    p = quality.Params(buckets=1 << 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    from pyspark.sql import functions as F
+
+    order = spark.createDataFrame(labels, "doc_id long, q int, t int").select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(2)) == 0).alias("fits")).collect()
+    fits = {r.doc_id for r in order if r.fits}
+    clean = {i for i, q, t in labels if q >= 1 and t == 0}
+    grams = {i: _slow_buckets(t, p.buckets) for i, t in rows}
+    raw, target = np.zeros(p.buckets), np.zeros(p.buckets)
+    for i, own in grams.items():
+        for b in own:
+            raw[b] += 1
+            target[b] += i in clean and i in fits
+    weights = np.zeros(p.buckets)
+    for b in np.flatnonzero(raw):
+        expected = raw[b] * target.sum() / raw.sum()
+        ratio = math.log((target[b] + 0.5) / (expected + 0.5))
+        error = math.sqrt(1 / (max(target[b], expected) + 0.5) + 1 / (raw[b] + 0.5))
+        weights[b] = math.copysign(max(0, abs(ratio) - p.caution * error), ratio)
+    score = {i: sum(weights[b] for b in own) for i, own in grams.items()}
+    noise = {r.doc_id: r.n for r in docs.select("doc_id", quality._gumbel(F.col("doc_id"), p.seed + 1).alias("n")).collect()}
+    got = {r.doc_id: r for r in quality.resample(docs, marks, p, scored=True).collect()}
+    assert all(math.isclose(r.log_weight, score[i], rel_tol=1e-4, abs_tol=1e-4) for i, r in got.items())
+    limit = np.quantile([score[i] for i in sorted(clean - fits)], p.clean_loss)
+    by_key = sorted(score, key=lambda i: -(score[i] + noise[i]))
+    assert set(got) == set(by_key[: sum(s >= limit - 1e-6 for s in score.values())])
+    for how, n in (({"k": 100}, 100), ({"fraction": 0.25}, 150), ({"k": 0}, 0), ({"k": 10_000}, 600)):
+        assert {r.doc_id for r in quality.resample(docs, marks, p, **how).collect()} == set(by_key[:n])
+    # a sample, not a threshold: noise is of the scale of the weights' differences among documents alike
+    assert 0.8 < np.mean(list(noise.values())) / 0.5772 < 1.2
+
+
 def test_kth_largest_with_ties(spark):
     rng = random.Random(1)
     values = [float(rng.randint(0, 30)) for _ in range(500)] + [rng.random() for _ in range(500)]
