@@ -1,11 +1,22 @@
-"""From raw documents to packed windows: the stages of a training-data pipeline."""
+"""From raw documents to packed windows: the stages of a training-data pipeline.
+
+Defined results, each operator's own besides:
+* A document with a null text is rejected by the classifier; an empty one has
+  weight 0, and is kept, unless the limit is above that, as one that is nobody's
+  copy. Texts of any length are classified, deduplicated and packed as a whole.
+* Rows that repeat id and text leave one row (line dedup). Of a group of near
+  copies the least id stays, null last. Ids may have any atomic type.
+* Without a label all documents pass the classifier. Empty tables give no rows.
+* Columns besides those of documents pass through to packing, whatever their
+  names; the plan of windows that it returns has its own columns only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.llm import linededup, mixing, neardup, packing, quality
-from loomsift.llm.state import shared_dir
+from loomsift.llm.state import remove, shared_dir
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each one's rows written as Parquet to the shared folder and read again by the next."""
+    """The stages over documents, each one's rows written as Parquet to the shared folder and read again by the next. Once a stage is written its predecessor's rows go; the last ones stay for the caller."""
     import uuid
 
     folder = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
@@ -49,4 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,38 +19,48 @@ def char_ngrams(text: str, sizes: tuple[int, ...] = (1, 2, 3)) -> set[str]:
     return {low[i : i + n] for n in sizes for i in range(len(low) - n + 1)}
 
 
+def _buckets(text: str, n: int) -> np.ndarray:
+    """The distinct buckets of a text's n-grams, in order."""
+    return np.unique(np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) % n for g in char_ngrams(text)], np.int64))
+
+
 class LanguageModel:
-    """Naive Bayes over character n-grams, from labelled texts."""
+    """Naive Bayes over hashed character n-grams, from labelled texts. logs: a row for each bucket, a column for each language. No n-gram is left out, and its size is that of the table alone."""
 
-    def __init__(self, table: dict[str, list[float]], languages: list[str], prior: list[float], missing: list[float]):
-        self.table, self.languages, self.prior, self.missing = table, languages, prior, missing
+    def __init__(self, logs: np.ndarray, languages: list[str], prior: list[float], known: np.ndarray):
+        self.logs, self.languages, self.prior, self.known = logs, languages, prior, known
 
     @classmethod
-    def train(cls, df: DataFrame, text: str = "text", label: str = "lang", features: int = 20_000) -> LanguageModel:
-        """Counts of the most common n-grams in labelled texts; `features` bounds what reaches the driver."""
+    def train(cls, df: DataFrame, text: str = "text", label: str = "lang", buckets: int = 1 << 17) -> LanguageModel:
+        """Counts, for each language, the texts that have an n-gram; they are added up on executors, and `buckets` numbers a language reach the driver."""
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: dict[str, np.ndarray] = {}
             for b in batches:
-                seen: dict[tuple[str, str], int] = {}
                 for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    for g in char_ngrams(t):
-                        seen[lang, g] = seen.get((lang, g), 0) + 1
-                yield pa.record_batch({"lang": pa.array([x for x, _ in seen], pa.string()), "g": pa.array([g for _, g in seen], pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-
-        head = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, text).mapInArrow(count, "lang string, g string, n long")
-        total = {r[label]: r.n for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}
+                    if lang not in seen:
+                        seen[lang] = np.zeros(buckets, np.int64)
+                    seen[lang][_buckets(t, buckets)] += 1
+            for lang, n in seen.items():
+                at = np.flatnonzero(n)
+                yield pa.record_batch({"lang": pa.array([lang] * len(at), pa.string()), "b": pa.array(at, pa.int32()), "n": pa.array(n[at])})
+
+        labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+        total = {r[label]: r.n for r in labelled.groupBy(label).agg(F.count("*").alias("n")).collect()}
         languages = sorted(total)
-        by = head.groupBy("g").pivot("lang", languages).sum("n").na.fill(0)
-        rows = by.withColumn("n", sum((F.col(f"`{x}`") for x in languages), F.lit(0))).orderBy(F.desc("n"), "g").limit(features).collect()
+        counts = np.zeros((buckets, len(languages)))
+        found = labelled.select(label, text).mapInArrow(count, "lang string, b int, n long").groupBy("lang", "b").agg(F.sum("n").alias("n")).toArrow()
+        place = {x: i for i, x in enumerate(languages)}
+        counts[found.column("b").to_numpy(), [place[x] for x in found.column("lang").to_pylist()]] = found.column("n").to_numpy()
         n = np.array([total[x] for x in languages], float)
-        logs = {r.g: np.log((np.array([r[x] for x in languages]) + 0.5) / (n + 1)).tolist() for r in rows}
-        return cls(logs, languages, np.log(n / n.sum()).tolist(), np.log(0.5 / (n + 1)).tolist())
+        return cls(np.log((counts + 0.5) / (n + 1)).astype(np.float32), languages, np.log(n / n.sum()).tolist(), counts.any(1))
 
     def probabilities(self, text: str) -> dict[str, float]:
-        found = char_ngrams(text) & self.table.keys()
-        if not found:
+        found = _buckets(text, len(self.logs)) if self.languages else []
+        found = found[self.known[found]] if len(found) else found
+        if not len(found):
             return {}
-        score = np.array(self.prior) + np.array([self.table[g] for g in sorted(found)]).sum(0)
+        score = np.array(self.prior) + self.logs[found].sum(0, dtype=np.float64)
         p = np.exp(score - score.max())
         p /= p.sum()
         return {x: float(v) for x, v in zip(self.languages, p)}
@@ -65,9 +76,9 @@ class LanguageModel:
 
 
 class QualityModel:
-    """Logistic regression over hashed words and word pairs, fitted by Spark ML."""
+    """Logistic regression over hashed words and word pairs, fitted by Spark ML on executors. Texts are stripped and put on one line."""
 
-    def __init__(self, pipeline, features: str = "text"):
+    def __init__(self, pipeline):
         self.pipeline = pipeline
 
     @classmethod
@@ -77,21 +88,25 @@ class QualityModel:
         from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
 
         stages = [
-            RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"\s+"), NGram(n=2, inputCol="_w", outputCol="_b"),
+            RegexTokenizer(inputCol="_t", outputCol="_w", pattern=r"\s+"), NGram(n=2, inputCol="_w", outputCol="_b"),
             HashingTF(inputCol="_w", outputCol="_f1", numFeatures=width, binary=True), HashingTF(inputCol="_b", outputCol="_f2", numFeatures=width, binary=True),
             VectorAssembler(inputCols=["_f1", "_f2"], outputCol="_f"), LogisticRegression(featuresCol="_f", labelCol=label, predictionCol="predicted", regParam=0.01, maxIter=rounds),
         ]
-        fitted = Pipeline(stages=stages).fit(df)
+        fitted = Pipeline(stages=stages).fit(cls._ready(df, F.col(text)).where(F.col(label).isNotNull()))
         # the summary holds the session, which can't be sent to executors once it has observed rows
         fitted.stages[-1]._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
         return cls(fitted)
 
-    def score(self, df: DataFrame, name: str = "quality_prob") -> DataFrame:
-        """df with the probability of label 1, and the guess as `predicted`."""
+    @staticmethod
+    def _ready(df: DataFrame, text: Column) -> DataFrame:
+        return df.withColumn("_t", F.coalesce(F.replace(tx.strip(text), F.lit("\n"), F.lit(" ")), F.lit("")))
+
+    def score(self, df: DataFrame, text: Column | None = None, name: str = "quality_prob") -> DataFrame:
+        """df with the probability of label 1, and the guess as `predicted`. A null text counts as empty."""
         from pyspark.ml.functions import vector_to_array
 
-        out = self.pipeline.transform(df)
-        return out.withColumn(name, vector_to_array("probability")[1]).drop("_w", "_b", "_f1", "_f2", "_f", "rawPrediction", "probability")
+        out = self.pipeline.transform(self._ready(df, F.col("text") if text is None else text))
+        return out.withColumn(name, vector_to_array("probability")[1]).drop("_t", "_w", "_b", "_f1", "_f2", "_f", "rawPrediction", "probability")
 
 
 def holdout(df: DataFrame, key: str, share: float = 0.1, seed: int = 0) -> tuple[DataFrame, DataFrame]:

@@ -133,3 +133,9 @@ def any_of(items: list[str], case_sensitive: bool = False, word: bool = False, l
     body = "|".join(re.escape(x) if literal else x for x in items)
     pattern = java_regex(rf"\b(?:{body})\b" if word else f"(?:{body})")
     return pattern if case_sensitive else "(?iu)" + pattern
+
+
+def draw(key: Column, seed: int = 0) -> Column:
+    """A number from 0 up to 1 for each key, from 52 bits of the MD5 of seed and key: the same on every run, and in any SQL. Null counts as an empty key."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)

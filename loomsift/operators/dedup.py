@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import words as wd
+from ..sources import jsonl
 
 
 def exact(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """The first row in the given order of each key, for scalar keys; rows without a key all stay. Spark limits each partition to one row per key before the shuffle."""
     w = Window.partitionBy("_key").orderBy(*order)
-    keyed = df.withColumn("_key", F.coalesce(F.md5(key.cast("string")), F.uuid()))
-    return keyed.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_key", "_rank")
+    keyed = df.withColumn("_key", F.md5(key.cast("string")))
+    first = keyed.where("_key is not null").withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    return first.unionByName(keyed.where("_key is null")).drop("_key")
 
 
 def exact_units(df: DataFrame, units: str, normalize, order: list[Column], row_key: str) -> DataFrame:
@@ -88,24 +90,33 @@ def seen_before(grams: DataFrame, key: str, primer: DataFrame | None = None) ->
     return hit.groupBy(key, "unit").agg(F.try_divide(F.sum(F.when(F.col("hit"), F.col("times")).otherwise(0)), F.sum("times")).alias("share"))
 
 
-def fuzzy(grams: DataFrame, key: str, threshold: float = 0.8, or_equal: bool = False, rounds: int = 50) -> DataFrame:
+def fuzzy(grams: DataFrame, key: str, threshold: float = 0.8, or_equal: bool = False, rounds: int = 50, primer: DataFrame | None = None) -> DataFrame:
     """(key, unit, share, kept) by the sequential rule: units come in order, one goes if more than `threshold` of its n-grams were put in by kept units before it, and only kept units put theirs in.
 
     The rule is a recursion on the order with one solution. Each round takes
     the kept units of the last and finds every n-gram's first holder among
     them; the kept set is right up to ever later units, and when a round
     changes nothing it is the solution. No filter that errs, no order of
-    threads: the same rows on every run.
+    threads: the same rows on every run. primer (hash): n-grams that count as
+    put in before the first unit.
     """
     at = F.struct(key, "unit")
     grams = grams.checkpoint()
     total = grams.groupBy(key, "unit").agg(F.sum("times").alias("n")).checkpoint()
+    always = None
+    if primer is not None:
+        known = grams.join(primer.select("hash"), "hash", "left_semi").checkpoint()
+        always = known.groupBy(key, "unit").agg(F.sum("times").alias("always")).checkpoint()
+        grams = grams.join(known.select("hash").distinct(), "hash", "left_anti")
     shared = _shared(grams, at)
     gone = None
     for _ in range(rounds):
         held = shared if gone is None else shared.join(gone, [key, "unit"], "left_anti")
         first = held.groupBy("hash").agg(F.min(at).alias("first"))
-        hits = shared.join(first, "hash").where(F.col("first") < at).groupBy(key, "unit").agg(F.sum("times").alias("hits")).join(total, [key, "unit"])
+        hits = shared.join(first, "hash").where(F.col("first") < at).groupBy(key, "unit").agg(F.sum("times").alias("hits"))
+        if always is not None:
+            hits = hits.join(always, [key, "unit"], "full").select(key, "unit", (F.coalesce("hits", F.lit(0)) + F.coalesce("always", F.lit(0))).alias("hits"))
+        hits = hits.join(total, [key, "unit"])
         share = F.col("hits") / F.col("n")
         now = hits.withColumn("share", share).withColumn("kept", ~((share >= threshold) if or_equal else (share > threshold))).select(key, "unit", "share", "kept").checkpoint()
         left = now.where("not kept").select(key, "unit")
@@ -116,6 +127,41 @@ def fuzzy(grams: DataFrame, key: str, threshold: float = 0.8, or_equal: bool = F
     raise RuntimeError("the order of duplicates is deeper than the number of rounds")
 
 
+def save_ngrams(grams: DataFrame, path: str, mode: str = "append") -> None:
+    """Adds the distinct n-gram hashes of grams to a stored set, for later runs to be held against. Appending needs no rewriting; `load_ngrams` drops what was added twice."""
+    grams.select("hash").distinct().write.mode(mode).parquet(path)
+
+
+def load_ngrams(spark: SparkSession, path: str) -> DataFrame:
+    """(hash): a stored set; an empty one where nothing is stored yet."""
+    if not jsonl.exists(spark, path):
+        return spark.createDataFrame([], "hash long")
+    return spark.read.schema("hash long").parquet(path).distinct()
+
+
+def fuzzy_incremental(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = 13, threshold: float = 0.8, by: str = "paragraph", least: int | None = None, update: bool = True) -> DataFrame:
+    """df against what earlier runs have kept, and against itself: the sequential rule with all of the stored set first. The n-grams of what stays join the set, unless update is off.
+
+    Units whose share of stored n-grams alone exceeds the threshold go at
+    once; the rule among the others then counts stored n-grams as hits.
+    """
+    spark = df.sparkSession
+    grams = unit_ngrams(units_of(df, key, text, by), key, size, least).checkpoint()
+    verdict = fuzzy(grams, key, threshold, primer=load_ngrams(spark, path)).checkpoint()
+    if update:
+        save_ngrams(grams.join(verdict.where("kept").select(key, "unit"), [key, "unit"], "left_semi"), path)
+    if by == "document":
+        return df.where(tx.strip(F.col(text)) != "").join(verdict.where(~F.col("kept")).select(key), key, "left_anti")
+    return rebuild(df, key, text, verdict)
+
+
+def annotated(df: DataFrame, verdict: DataFrame, grams: DataFrame, key: str = "doc_id") -> DataFrame:
+    """df with `duplicates`: for each unit of the row that has n-grams its number, how many n-grams it has, how many of them came before, and whether it would stay; the text is left alone."""
+    n = grams.groupBy(key, "unit").agg(F.sum("times").alias("ngrams"))
+    told = verdict.join(n, [key, "unit"]).select(key, F.struct("unit", "ngrams", F.round(F.col("share") * F.col("ngrams")).cast("long").alias("seen"), "kept").alias("u"))
+    return df.join(told.groupBy(key).agg(F.array_sort(F.collect_list("u")).alias("duplicates")), key, "left")
+
+
 def _shared(grams: DataFrame, at: Column) -> DataFrame:
     """The n-grams that several units have: the others only count in the totals, and needn't be joined in each round."""
     several = grams.groupBy("hash").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo < hi").select("hash")

@@ -42,6 +42,12 @@ def high_quality_probability(text: Column, model) -> Column:
     return model(F.replace(tx.strip(text), F.lit("\n"), F.lit(" ")))
 
 
+def high_quality_probability_of(df: DataFrame, text: Column, model, name: str, overwrite: bool = False) -> DataFrame:
+    """The same by a model of whole tables, see `providers.QualityModel`."""
+    scored = model.score(df, text, "_hq").drop("predicted")
+    return add(scored, name, F.col("_hq"), overwrite).drop("_hq")
+
+
 def perplexity(text: Column, line_scores) -> Column:
     """10 ** (-log10 probability / words), rounded to one digit. line_scores gives a struct (log10_prob, tokens) of a normalised text; each line counts an end mark."""
     return perplexity_from(line_scores(nz.language_model_line(text)))

@@ -10,6 +10,7 @@ that measures a whole column of bytes; the others, but for the tokenizer,
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -242,7 +243,7 @@ def wordless_words(text: Column, most: float = 0.2) -> Column:
 
 def sampled(key: Column, probability: float, seed: int = 0) -> Column:
     """A coin for each row from a hash of its key: the same rows on every run and every cluster."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) < int(probability * (1 << 40))
+    return tx.draw(key, seed) < probability
 
 
 def in_language(probabilities: Column, languages: list[str], threshold: float = 0.0) -> Column:
@@ -257,24 +258,29 @@ def scored(score: Column, threshold: float = 0.0, lower_is_better: bool = False)
     return F.coalesce(score <= threshold if lower_is_better else score >= threshold, F.lit(False))
 
 
-def authority(url: Column, ignore_chars: str = "", case_sensitive: bool = False) -> Column:
-    """The part of a URL between // and the next / ? or #, user and port included; empty where there is none."""
+def _without(text: Column, ignored: Sequence[str]) -> Column:
+    """text without any of the given strings, taken out one after another."""
+    for x in [ignored] if isinstance(ignored, str) and ignored else ignored:
+        text = F.replace(text, F.lit(x), F.lit(""))
+    return text
+
+
+def authority(url: Column, ignored: Sequence[str] = (), case_sensitive: bool = False) -> Column:
+    """The part of a URL between // and the next / ? or #, user and port included, without the ignored strings; empty where there is none."""
     host = F.regexp_extract(url, r"\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
-    host = F.translate(host, ignore_chars, "") if ignore_chars else host
-    return host if case_sensitive else F.lower(host)
+    return _without(host if case_sensitive else F.lower(host), ignored)
 
 
-def banned_domains(pages: DataFrame, banned: DataFrame, url: str = "url", ignore_chars: str = "") -> DataFrame:
-    """Pages whose domain isn't in the column `domain`. Spark broadcasts the list only if it knows it to be small."""
-    key = authority(F.col(url), ignore_chars)
-    names = banned.select(F.translate(F.lower("domain"), ignore_chars, "").alias("_domain")).where("_domain is not null").distinct()
+def banned_domains(pages: DataFrame, banned: DataFrame, url: str = "url", ignored: Sequence[str] = (), case_sensitive: bool = False) -> DataFrame:
+    """Pages whose domain, without the ignored strings, isn't in the column `domain` as that stands. Spark broadcasts the list only if it knows it to be small."""
+    key = authority(F.col(url), ignored, case_sensitive)
+    names = banned.select((F.col("domain") if case_sensitive else F.lower("domain")).alias("_domain")).where("_domain is not null").distinct()
     return pages.join(names, key == names["_domain"], "left_anti")
 
 
-def url_substrings(url: Column, banned: list[str], ignore_chars: str = "", least: int = 1, inside_words: bool = True, case_sensitive: bool = False) -> Column:
+def url_substrings(url: Column, banned: list[str], ignored: Sequence[str] = (), least: int = 1, inside_words: bool = True, case_sensitive: bool = False) -> Column:
     """Fewer than `least` distinct banned strings (literals) occur in the URL; matches don't overlap."""
-    text = F.translate(url, ignore_chars, "") if ignore_chars else url
-    text = text if case_sensitive else F.lower(text)
+    text = _without(url if case_sensitive else F.lower(url), ignored)
     items = sorted({b if case_sensitive else b.lower() for b in banned}, key=lambda b: (-len(b), b))
     body = tx.any_of(items, case_sensitive=True, word=not inside_words, literal=True)
     return F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(body), F.lit(0)))) < least

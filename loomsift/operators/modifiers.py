@@ -45,7 +45,7 @@ def split_repositories(repos: DataFrame, most: int = 1000, files: str = "files",
 
 def format_repository(files: Column, name: Column, key: Column, with_names: float = 0.5, sentinels: bool = True, seed: int = 0) -> Column:
     """All files of a repository as one text; a seeded coin on `key` decides whether names are told."""
-    named = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) < int(with_names * (1 << 40))
+    named = tx.draw(key, seed) < with_names
     mark = F.lit("<file_sep>" if sentinels else "\n\n")
     plain = F.array_join(F.transform(files, lambda f: F.concat(mark, f["text"])), "")
     told = F.concat(F.lit("<repo_name>" if sentinels else ""), name, F.array_join(F.transform(files, lambda f: F.concat(mark, f["filename"], F.lit("\n"), f["text"])), ""))

@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
+from ..session import checkpoints
+
 END_OF_TEXT = 0
 CONTEXT = 2049
 
@@ -59,34 +62,59 @@ def end_marked(df: DataFrame, tokens: str = "tokens", end: int = END_OF_TEXT, be
     return df.withColumn(tokens, F.concat(*parts))
 
 
+def running_sum(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of value over all rows that come before in the order of keys, which should tell rows apart.
+
+    Rows are range partitioned and written down with their partition's number;
+    sums of whole partitions, as many as there are partitions, are broadcast.
+    No task sees more than its range.
+    """
+    checkpoints(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *keys).withColumn("_p", F.spark_partition_id()).checkpoint()
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_p").agg(F.sum(value).alias("_s")).select("_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_b"))
+    inside = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(F.broadcast(sums), "_p").withColumn(name, F.col("_b") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_p", "_b")
+
+
 def contexts(df: DataFrame, shard: str, order: str, tokens: str = "tokens", length: int = CONTEXT, pad: int = -1, all_pad: bool = False) -> DataFrame:
     """(shard, context, tokens, n_tokens): the documents of each shard end to end, cut every `length` tokens; the rest is padded.
 
-    A running sum gives each document its place; it is then cut at context
-    borders by expressions, and pieces meet again by context. Only pieces move.
-    all_pad adds a context of padding to a shard that comes out even.
+    A running sum over lengths alone gives each document its place, however
+    large a shard is; it is then cut at context borders by expressions, and
+    pieces meet again by context. Documents that tie in the order stand by a
+    hash of their tokens. all_pad adds a context of padding to a shard that
+    comes out even.
     """
-    w = Window.partitionBy(shard).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    n = F.size(tokens)
-    placed = df.where(F.col(tokens).isNotNull() & (n > 0)).select(shard, order, tokens, n.alias("n")).withColumn("at", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    rows = df.where(F.col(tokens).isNotNull() & (F.size(tokens) > 0)).select(shard, order, F.col(tokens).alias("t"), F.xxhash64(tokens).alias("h"), F.coalesce(F.col(shard).cast("string"), F.lit("")).alias("s"), F.col(order).isNotNull().alias("o1"))
+    sizes = rows.groupBy("s", shard, "o1", order, "h").agg(F.first(F.size("t")).cast("long").alias("n"), F.count("*").alias("times")).withColumn("all", F.col("n") * F.col("times"))
+    placed = running_sum(sizes, ["s", "o1", order, "h"], "all", "at")
+    starts = placed.groupBy("s", F.col(shard).isNull().alias("null")).agg(F.min("at").alias("start"), F.sum("all").alias("total"))
+    placed = placed.withColumn("null", F.col(shard).isNull()).join(starts, ["s", "null"])
+    placed = placed.select(F.col("s").alias("s2"), F.col("null").alias("null2"), F.col(order).alias("order2"), F.col("h").alias("h2"), "n", "times", (F.col("at") - F.col("start")).alias("at"))
+    same = (F.col("s") == F.col("s2")) & (F.col(shard).isNull() == F.col("null2")) & F.col(order).eqNullSafe(F.col("order2")) & (F.col("h") == F.col("h2"))
+    met = rows.join(placed, same)
+    copy = F.row_number().over(Window.partitionBy("s", "h", "null2", order).orderBy(F.lit(0))) - 1
+    at = met.withColumn("at", F.col("at") + F.col("n") * copy)
     first, last = F.floor(F.col("at") / length), F.floor((F.col("at") + F.col("n") - 1) / length)
-    cut = placed.withColumn("context", F.explode(F.sequence(first, last)))
+    cut = at.withColumn("context", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("context") * length - F.col("at"), F.lit(0))
-    stop = F.least((F.col("context") + 1) * length - F.col("at"), F.col("n").cast("long"))
-    pieces = cut.select(shard, "context", (F.col("at") + begin).alias("at"), F.slice(tokens, (begin + 1).cast("int"), (stop - begin).cast("int")).alias("piece"))
+    stop = F.least((F.col("context") + 1) * length - F.col("at"), F.col("n"))
+    pieces = cut.select(shard, "context", (F.col("at") + begin).alias("at"), F.slice("t", (begin + 1).cast("int"), (stop - begin).cast("int")).alias("piece"))
     joined = pieces.groupBy(shard, "context").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"])).alias("t"))
     if all_pad:
-        ends = placed.groupBy(shard).agg(F.sum("n").alias("n")).where(F.col("n") % length == 0)
+        ends = sizes.groupBy(shard).agg(F.sum("all").alias("n")).where(F.col("n") % length == 0)
         joined = joined.unionByName(ends.select(shard, (F.col("n") / length).cast("long").alias("context"), F.array().cast("array<int>").alias("t")))
     return joined.select(shard, "context", F.concat("t", F.array_repeat(F.lit(pad), F.lit(length) - F.size("t"))).alias("tokens"), F.size("t").alias("n_tokens"))
 
 
 def shuffled(ctx: DataFrame, seed: int = 0, per_chunk: int = 8192) -> DataFrame:
-    """(chunk, place, tokens): contexts in an order by seeded hash, in chunks. Ranks come from a range sort and partition sizes; nothing is sorted by one task."""
-    keyed = ctx.withColumn("h", F.xxhash64(*[c for c in ctx.columns if c != "tokens"], "tokens", F.lit(seed)))
-    part = keyed.repartitionByRange("h").sortWithinPartitions("h").withColumn("p", F.spark_partition_id())
-    sizes = part.groupBy("p").count().select("p", F.coalesce(F.sum("count").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = part.join(F.broadcast(sizes), "p").withColumn("i", F.col("before") + F.row_number().over(Window.partitionBy("p").orderBy("h")) - 1)
+    """(chunk, place, tokens): contexts in an order by seeded hash, in chunks. Ranks come from a running count over hashes; nothing is sorted by one task."""
+    ids = [c for c in ctx.columns if c != "tokens"]
+    keyed = ctx.withColumn("h", F.xxhash64(*ids, "tokens", F.lit(seed)))
+    ranks = running_sum(keyed.groupBy("h").agg(F.count("*").alias("times")), ["h"], "times", "i")
+    ranked = keyed.join(ranks.drop("times"), "h").withColumn("i", F.col("i") + F.row_number().over(Window.partitionBy("h").orderBy(F.lit(0))) - 1)
     return ranked.select(F.floor(F.col("i") / per_chunk).alias("chunk"), (F.col("i") % per_chunk).cast("int").alias("place"), "tokens")
 
 
@@ -136,5 +164,4 @@ def read_tars(spark, folder: str) -> DataFrame:
 
 def sample_by_source(df: DataFrame, rates: DataFrame, key: str, source: str = "source", seed: int = 0) -> DataFrame:
     """Rows of each source at its rate; sources without a rate go. rates: (source, rate)."""
-    u = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    return df.join(rates, source).where(u < F.col("rate")).drop("rate")
+    return df.join(rates, source).where(tx.draw(F.col(key), seed) < F.col("rate")).drop("rate")

@@ -8,6 +8,8 @@ that finds a finished commit goes on from there.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from dataclasses import dataclass, field
 
@@ -80,7 +82,9 @@ def compile(df: DataFrame, spec: Spec, observe: bool = True, commit_to: str | No
     for i, step in enumerate(spec.steps, 1):
         if step.func == "commit":
             if commit_to:
-                path = f"{commit_to.rstrip('/')}/{i:03d}"
+                # named by what was done so far, so that a changed file doesn't find another's rows
+                before = json.dumps([spec.source, *[[s.func, s.arguments] for s in spec.steps[:i]]], sort_keys=True, default=lambda x: type(x).__name__)
+                path = f"{commit_to.rstrip('/')}/{i:03d}-{hashlib.md5(before.encode()).hexdigest()[:12]}"
                 spark = df.sparkSession
                 if not jsonl.exists(spark, f"{path}/_SUCCESS"):
                     df.write.mode("overwrite").parquet(path)

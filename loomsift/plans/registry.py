@@ -24,6 +24,7 @@ from ..operators import dedup as dd
 from ..operators import enrichers as en
 from ..operators import filters as fl
 from ..operators import modifiers as md
+from ..operators import packing as pk
 
 
 @dataclass(frozen=True)
@@ -132,7 +133,22 @@ _predicate("word_removal_ratio_filter", lambda prev_word_count_key, new_word_cou
 _predicate("alphabetic_word_ratio_filter", lambda max_ratio=0.2: fl.wordless_words(_text_(), max_ratio))
 _predicate("random_sampling_filter", lambda keep_probability=0.1, key="text", seed=0: fl.sampled(F.col(key), keep_probability, seed))
 _predicate("language_filter", lambda keep_languages, key, threshold=0.0: fl.in_language(F.col(key), keep_languages, threshold))
-_predicate("quality_filter", lambda key, threshold=0.0, lower_better=False, key_must_exist=True: fl.scored(F.col(key), threshold, lower_better))
+
+
+@register("quality_filter", "filter")
+def _quality(key, threshold=0.0, lower_better=False, key_must_exist=True):
+    """Rows without the key go; a table without it is refused if it must exist."""
+
+    def apply(df: DataFrame) -> DataFrame:
+        if key not in df.columns:
+            if key_must_exist:
+                raise ValueError(f"there is no column {key}")
+            return df.where(F.lit(False))
+        return df.where(fl.scored(F.col(key), threshold, lower_better))
+
+    return apply
+
+
 
 
 def repetition(granularity, max_fraction, count_characters=True, ngram_char_ratio=None, ignore_case=False):
@@ -146,9 +162,9 @@ _predicate("repetition_filter", repetition)
 
 @register("url_substring_filter", "filter")
 def _urls(banlist=None, banlist_from_fname=None, ignore_chars=None, num_banned_substrs=1, exact_domain_match=False, match_substrings=True, case_sensitive=False):
-    banned, ignored = _banned(banlist, banlist_from_fname), "".join(ignore_chars or [])
+    banned, ignored = _banned(banlist, banlist_from_fname), _as_list(ignore_chars or [])
     if exact_domain_match:
-        return lambda df: fl.banned_domains(df, df.sparkSession.createDataFrame([(b,) for b in banned], "domain string"), "url", ignored)
+        return lambda df: fl.banned_domains(df, df.sparkSession.createDataFrame([(b,) for b in banned], "domain string"), "url", ignored, case_sensitive)
     return lambda df: df.where(fl.url_substrings(F.col("url"), banned, ignored, num_banned_substrs, match_substrings, case_sensitive))
 
 
@@ -184,10 +200,37 @@ register("pattern_splitter", "table")(lambda pattern, context=0: lambda df: md.s
 register("line_counter_enricher", "enrich")(lambda paragraph_end="\n", remove_empty=True, key="num_lines", overwrite=False: lambda df: en.add(df, key, en.line_count(F.col("text"), paragraph_end, remove_empty), overwrite))
 register("word_counter_enricher", "enrich")(lambda key="word_count", model="fasttext", ignore_punctuation=True, overwrite=False: lambda df: en.add(df, key, en.word_count(F.col("text"), model, ignore_punctuation), overwrite))
 register("detect_lang_whole_page_enricher", "enrich")(lambda provider, model="own", key_prefix="language_id_whole_page", overwrite=False, seed=None: lambda df: en.add(df, f"{key_prefix}_{model}", en.language_of_page(F.col("text"), provider), overwrite))
-register("classify_fasttext_hq_prob_enricher", "enrich")(lambda provider, key="fasttext_hq_prob", overwrite=False: lambda df: en.add(df, key, en.high_quality_probability(F.col("text"), provider), overwrite))
+register("classify_fasttext_hq_prob_enricher", "enrich")(lambda provider, key="fasttext_hq_prob", overwrite=False: lambda df: en.high_quality_probability_of(df, F.col("text"), provider, key, overwrite) if hasattr(provider, "score") else en.add(df, key, en.high_quality_probability(F.col("text"), provider), overwrite))
 register("ken_lm_perplexity_enricher", "enrich")(lambda provider, key="kenlm_perplexity", overwrite=False: lambda df: en.perplexity_of(df, F.col("text"), provider, key, overwrite) if hasattr(provider, "score") else en.add(df, key, en.perplexity(F.col("text"), provider), overwrite))
 
 
+@register("detect_lang_paragraph_enricher", "enrich", wide=True)
+def _sentence_languages(provider, model="own", tokenizer=None, key_prefix="language_id_paragraph", row_key="doc_id", overwrite=False):
+    key = f"{key_prefix}_{model}"
+
+    def apply(df: DataFrame) -> DataFrame:
+        if key in df.columns and not overwrite:
+            raise ValueError(f"the column {key} exists")
+        found = en.languages_of_sentences(df, row_key, "text", provider).withColumnRenamed("languages", key)
+        return df.drop(key).join(found, row_key, "left")
+
+    return apply
+
+
+FUZZY = {"paragraph": dd.fuzzy_paragraphs, "document": dd.fuzzy_documents, **{f"{r}-both" if r != "both" else r: (lambda df, r=r, **kw: dd.fuzzy_both(df, rule=r, **kw)) for r in ("old", "naive", "both")}}
+
+
+@register("fuzzy_dedup", "table", wide=True)
+def _fuzzy(remove_type="paragraph", ngram_size=13, threshold=0.8, row_key="doc_id", stored=None, update=True):
+    if stored:
+        return lambda df: dd.fuzzy_incremental(df, stored, row_key, "text", ngram_size, threshold, remove_type, update=update)
+    return lambda df: FUZZY[remove_type](df, key=row_key, size=ngram_size, threshold=threshold)
+
+
+register("tokenize", "enrich")(lambda tokenizer_file, key="tokens", pattern=None: lambda df: pk.tokenize(df, tokenizer_file, "text", key, pattern))
+register("pack_contexts", "table", wide=True)(lambda length=pk.CONTEXT, shard_key="source", row_key="doc_id", end=pk.END_OF_TEXT, pad=-1: lambda df: pk.contexts(pk.end_marked(df, end=end), shard_key, row_key, length=length, pad=pad))
+
+
 @register("exact_dedup", "table", wide=True)
 def _exact(content_key="text", normalize=None, selection_key=None, selection_normalize=None, selection_reverse=False, row_key="doc_id"):
     norm = nz.BY_NAME[normalize] if normalize else lambda c: c

@@ -24,7 +24,7 @@ from .operators import modifiers as md
 from .operators import packing as pk
 from .plans import catalog as ct
 from .plans import pipeline as pl
-from .session import spread
+from .session import checkpoints, spread
 from .sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def s_segments(x: str, mark: str = "chr(10)") -> str:
     return f"list_filter(list_transform(string_split({x}, {mark}), lambda p: {s_strip('p')}), lambda p: p <> '')"
 
 
+def s_draw(key: str, seed: int = 0) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+
 def s_lines(x: str) -> str:
     parts = f"string_split_regex({x}, {_q(tx.LINE_END)})"
     return f"(CASE WHEN {parts}[-1] = '' THEN {parts}[1:-2] ELSE {parts} END)"
@@ -156,7 +160,7 @@ keeps("filter_word_length", lambda: fl.mean_word_length(T(), 3, 6), f"CAST(list_
 keeps("filter_symbol_ratio", lambda: fl.symbol_ratio(T(), 0.02), f"CAST({' + '.join(s_count('text', s) for s in ('#', '...', '. . .', '…'))} AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.02")
 keeps("filter_words_removed", lambda: fl.words_removed(T(), F.col("n_chars").cast("int") / 6, most=0.05, ignore_punctuation=False), f"(n_chars / 6.0 - len({s_fasttext('text')})) / nullif(n_chars / 6.0, 0) <= 0.05")
 keeps("filter_wordless_words", lambda: fl.wordless_words(T(), 0.05), f"CAST(len(list_filter({s_words('text')}, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS DOUBLE) / nullif(len({s_words('text')}), 0) <= 0.05")
-keeps("filter_sampled", lambda: fl.sampled(F.col("doc_id"), 0.5, 7), None)
+keeps("filter_sampled", lambda: fl.sampled(F.col("doc_id"), 0.5, 7), f"{s_draw('doc_id', 7)} < 0.5")
 keeps("filter_language", lambda: fl.in_language(F.create_map(F.col("lang"), F.col("n_chars") / 10000.0), ["en", "fr"], 0.1), "lang IN ('en', 'fr') AND n_chars / 10000.0 > 0.1")
 keeps("filter_score", lambda: fl.scored(F.col("n_chars") / 1000.0, 2.0), "n_chars / 1000.0 >= 2.0")
 keeps("filter_score_lower", lambda: fl.scored(F.col("n_chars") / 1000.0, 2.0, lower_is_better=True), "n_chars / 1000.0 <= 2.0")
@@ -339,7 +343,7 @@ def _(spark, sf_dir):
 @query("enrich_quality")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
-    scored = providers.QualityModel.train(docs.where("label is not null")).score(read(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit(""))))
+    scored = providers.QualityModel.train(docs).score(read(spark, sf_dir, "documents"))
     return scored.select("doc_id", "quality_prob")
 
 
@@ -354,7 +358,7 @@ def _(spark, sf_dir):
 @query("enrich_perplexity")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    _checkpoints(spark)
+    checkpoints(spark)
     return en.perplexity_of(docs, T(), providers.NgramModel.train(docs), "perplexity").select("doc_id", "perplexity")
 
 
@@ -474,22 +478,9 @@ def _(spark, sf_dir):
     return md.apply(kept, "text", md.join_lines(T())).select("doc_id", "text")
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    """Iterative plans cut their lineage in the cluster's shared folder; a temporary one only where Spark is one process."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.sparkContext.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
-            folder = f"file://{tempfile.mkdtemp(prefix='loomsift-')}"
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def _fuzzy(name: str, run) -> None:
     def go(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _checkpoints(spark)
+        checkpoints(spark)
         return run(read(spark, sf_dir, "documents")).select("doc_id", "text")
 
     query(name)(go)
@@ -548,7 +539,7 @@ def _(spark, sf_dir):
     return pk.manifest(pk.shuffled(_contexts(spark, sf_dir), seed=3, per_chunk=64))
 
 
-@query("pack_sample_by_source")
+@query("pack_sample_by_source", f"SELECT doc_id FROM documents WHERE {s_draw('doc_id')} < 0.5")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     rates = docs.groupBy("source").agg(F.lit(0.5).alias("rate"))
@@ -601,7 +592,7 @@ def _(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(jsonl.text_archive_path(F.concat(F.lit("/warc/"), "url", F.lit(".warc.gz"))).alias("path"))
 
 
-@query("source_sample")
+@query("source_sample", f"SELECT url AS key FROM pages ORDER BY {s_draw('url', 42)}, url LIMIT 50")
 def _(spark, sf_dir):
     return jsonl.sample(read(spark, sf_dir, "pages").select(F.col("url").alias("key")), 50)
 
@@ -632,27 +623,47 @@ def _(spark, sf_dir):
     return marked.groupBy("drop_reason", "lang").agg(F.count("*").alias("n"))
 
 
-C4 = """
-- source: documents
-  steps:
-    - {func: page_length_filter, length_type: char, max_length: 190000}
-    - {func: word_length_modifier, max_length: 1000, model: split}
+URL = "'http://' || CASE WHEN doc_id % 5 = 0 THEN 'www.' ELSE '' END || source || '.com/' || CASE WHEN doc_id % 7 = 0 THEN 'best-casino' ELSE 'page' END || '/' || CAST(CAST(floor(doc_id / 2) AS BIGINT) AS STRING)"
+_C4_PAGE = """
+    - {func: page_length_filter, max_length: 190000, length_type: char}
+    - {func: word_length_modifier, model: split, max_length: 1000}
     - func: citation_removal_modifier
     - {func: punctuation_line_modifier, remove_ellipses: true}
     - {func: line_length_modifier, min_length: 5}
-    - {func: substring_filter, banlist: ['{']}
+    - {func: substring_filter, banlist: [lorem ipsum]}
     - {func: substring_line_modifier, banlist: [cookies, likes]}
+    - {func: substring_filter, banlist: ['{']}"""
+_C4_DEDUP = """
     - {func: split_lines_modifier, delimiter: "\\n"}
-    - {func: exact_dedup, content_key: text, normalize: normalize_whitespace_and_lowercase}
+    - {func: exact_dedup, normalize: normalize_url, content_key: url}
+    - {func: exact_dedup, normalize: normalize_whitespace_and_lowercase, content_key: text, selection_normalize: hash_text, selection_key: url}
     - {func: join_lines_modifier, delimiter: "\\n"}
-"""
-REFINED = """
+    - {func: within_page_dedup, normalize: true, granularity: line}"""
+_SENTENCES = """
+    - {func: page_length_filter, min_length: 3, length_type: sentence}"""
+_LANGUAGE = """
+    - func: detect_lang_whole_page_enricher
+      _aggregate: {language_id_whole_page_own: {type: histogram, transform: threshold_transform, default: unknown, threshold: %s}}
+    - {func: language_filter, threshold: %s, keep_languages: [en], key: language_id_whole_page_own}"""
+_HEAD = """
 - source: documents
-  steps:
+  steps:"""
+C4_STYLE = _HEAD + _C4_PAGE + _C4_DEDUP
+C4 = _HEAD + _C4_PAGE + _SENTENCES + _C4_DEDUP + _SENTENCES + """
+    - {func: substring_filter, exact_word: true, banlist: [casino, viagra]}""" + _LANGUAGE % (0.99, 0.99)
+_DOMAINS = """
+    - {func: url_substring_filter, ignore_chars: [www], exact_domain_match: true, banlist: [.src0.com, src3.com]}"""
+_ADDRESSES = """
+    - {func: url_substring_filter, ignore_chars: [www], exact_domain_match: true, banlist: [.spam.example]}
+    - {func: url_substring_filter, ignore_chars: ['-', '.'], banlist: [bestcasino]}
+    - {func: url_substring_filter, match_substrings: false, banlist: [poker]}
+    - {func: url_substring_filter, match_substrings: false, num_banned_substrs: 2, banlist: [win, page]}"""
+_CLEAN = """
     - func: url_removal_modifier
-    - {func: newline_removal_modifier, max_consecutive: 2}
-    - {func: page_length_filter, length_type: word, min_length: 50, max_length: 100000, model: uniseg, ignore_punctuation: true}
-    - {func: word_length_filter, min_length: 3, max_length: 10}
+    - {func: newline_removal_modifier, max_consecutive: 2}"""
+_GOPHER = """
+    - {func: page_length_filter, max_length: 100000, min_length: 50, length_type: word, model: uniseg, ignore_punctuation: true}
+    - {func: word_length_filter, max_length: 10, min_length: 3}
     - {func: symbol_ratio_filter, max_symbol_to_word_ratio: 0.1}
     - {func: bullet_count_filter, max_bullet_start_ratio: 0.9}
     - {func: ellipsis_count_filter, max_ellipsis_end_ratio: 0.3}
@@ -664,18 +675,71 @@ REFINED = """
     - {func: numeric_ratio_line_modifier, max_ratio: 0.999999}
     - func: counter_line_modifier
     - {func: line_length_modifier, min_length: 2}
-    - {func: substring_line_modifier, banlist: sign-in, max_length: 10, location: prefix, remove_substring_only: true}
-    - {func: word_removal_ratio_filter, prev_word_count_key: previous_word_count, max_removed_ratio: 0.05}
-"""
+    - {func: substring_line_modifier, remove_substring_only: true, max_length: 10, banlist: items in cart}
+    - {func: substring_line_modifier, remove_substring_only: true, max_length: 10, location: suffix, banlist: Read more...}
+    - {func: substring_line_modifier, remove_substring_only: true, max_length: 10, location: prefix, banlist: sign-in}
+    - {func: word_removal_ratio_filter, max_removed_ratio: 0.05, prev_word_count_key: previous_word_count}"""
+REFINED_STYLE = _HEAD + _CLEAN + _GOPHER
+BASELINE = _HEAD + _ADDRESSES + _CLEAN + _LANGUAGE % (0.65, 0.65) + _GOPHER
+REFINED = BASELINE.replace(_ADDRESSES, _DOMAINS + _ADDRESSES)
+QUALITY = _HEAD + """
+    - {func: classify_fasttext_hq_prob_enricher, key: good}
+    - {func: quality_filter, threshold: 0.5, key: good}"""
 
 
-def _pipeline(name: str, text: str) -> None:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return pl.compile(varied(spark, sf_dir), pl.Spec.parse(text)[0], observe=False).df.select("doc_id", "text")
+def language_provider(spark: SparkSession, sf_dir: str) -> dict:
+    return {"detect_lang_whole_page_enricher": providers.LanguageModel.train(read(spark, sf_dir, "documents"))}
 
-    query(name)(run)
 
+def quality_provider(spark: SparkSession, sf_dir: str) -> dict:
+    labelled = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    return {"classify_fasttext_hq_prob_enricher": providers.QualityModel.train(labelled)}
 
-_pipeline("pipeline_c4_style", C4)
-_pipeline("pipeline_refined_style", REFINED)
-_pipeline("pipeline_sample", "- {source: d, steps: [{func: random_sampling_filter, keep_probability: 0.5, key: doc_id}]}")
+
+def _pipeline(name: str, text: str, sql: str | None = None, provide=None) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = pl.Spec.parse(text, provide(spark, sf_dir) if provide else None)[0]
+        return pl.compile(varied(spark, sf_dir).withColumn("url", F.expr(URL)), spec, observe=False).df.select("doc_id", "text")
+
+    query(name, sql)(run)
+
+
+def _chain(*steps: str) -> str:
+    """CTEs d0, d1, ..., each made by a step from the one before, which it calls PREV."""
+    parts = [f"d0 AS (SELECT doc_id, text, {URL} AS url FROM d)"]
+    for i, s in enumerate(steps, 1):
+        parts.append(f"d{i} AS ({s.replace('PREV', f'd{i - 1}')})")
+    return f"{D}, {', '.join(parts)} SELECT doc_id, text FROM d{len(steps)}"
+
+
+def _keep(where: str) -> str:
+    return f"SELECT doc_id, text, url FROM PREV WHERE {where}"
+
+
+def _map(value: str) -> str:
+    return f"SELECT doc_id, text, url FROM (SELECT doc_id, {value} AS text, url FROM PREV) WHERE text IS NOT NULL"
+
+
+_URL_SQL = r"regexp_replace(regexp_replace(regexp_replace(url, 'https?://(?:www\.)?', '', 'g'), '(?s)\?(?:utm_|ref|feed).*', '', 'g'), '/+\z', '', 'g')"
+C4_SQL = _chain(
+    _keep("length(text) BETWEEN 1 AND 190000"),
+    _map(s_nonempty(s_kept_lines("text", f"coalesce(list_max(list_transform({s_words('x')}, lambda w: length(w))), 0) <= 1000"))),
+    _map(r"regexp_replace(text, '\[(?:\p{Nd}*|edit|citation needed)\]', '', 'g')"),
+    _map(s_nonempty(s_kept_lines("text", f"(x = '' OR regexp_matches(x, '[.!?\"…][{tx.SPACE}]*\\z')) AND NOT regexp_matches(x, '(?:\\.\\.\\.|…)[{tx.SPACE}]*\\z')"))),
+    _map(s_nonempty(s_kept_lines("text", f"x = '' OR len({s_words('x')}) >= 5"))),
+    _keep("NOT contains(lower(text), 'lorem ipsum')"),
+    _map(s_nonempty(s_strip(s_kept_lines("text", "NOT regexp_matches(x, '(?i)(?:cookies|likes)')")))),
+    _keep("NOT contains(text, '{')"),
+    f"SELECT doc_id, text, url FROM (SELECT *, row_number() OVER (PARTITION BY {_URL_SQL} ORDER BY doc_id) AS r FROM PREV) WHERE r = 1",
+    f"""SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS text, any_value(url) AS url FROM (
+      SELECT *, row_number() OVER (PARTITION BY lower({s_strip('x')}) ORDER BY md5(url), doc_id, i) AS r FROM (
+      SELECT doc_id, url, unnest(string_split(text, chr(10))) AS x, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM PREV)) WHERE r = 1 GROUP BY doc_id""",
+)
+
+_pipeline("pipeline_c4_style", C4_STYLE, C4_SQL)
+_pipeline("pipeline_c4", C4, provide=language_provider)
+_pipeline("pipeline_refined_style", REFINED_STYLE)
+_pipeline("pipeline_refined", REFINED, provide=language_provider)
+_pipeline("pipeline_baseline", BASELINE, provide=language_provider)
+_pipeline("pipeline_quality_filter", QUALITY, provide=quality_provider)
+_pipeline("pipeline_sample", "- {source: d, steps: [{func: random_sampling_filter, keep_probability: 0.5, key: doc_id}]}", _chain(_keep(f"{s_draw('doc_id')} < 0.5")))

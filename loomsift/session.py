@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,19 @@ def session(app: str = "loomsift", master: str | None = None, **conf: str) -> Sp
     return builder.config(map=settings).getOrCreate()
 
 
+def checkpoints(spark: SparkSession) -> None:
+    """Iterative plans cut their lineage in the cluster's shared folder; a temporary one only where Spark is one process. What nothing refers to any more is deleted."""
+    context = spark.sparkContext
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = f"file://{tempfile.mkdtemp(prefix='loomsift-')}"
+        context.setCheckpointDir(folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df in as many partitions as there are cores, if a scan gives fewer than half of that: files of one row group, or compressed as a whole, are read by one task each. A table of many files stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

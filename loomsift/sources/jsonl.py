@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
+
 SUFFIXES = ("jsonl", "jsonl.gz", "jsonl.zst", "jsonl.zstd")
 GLOB = "*.{jsonl,jsonl.gz,jsonl.zst,jsonl.zstd}"
 
@@ -71,7 +73,7 @@ def keys(spark: SparkSession, path: str, pattern: str | None = None) -> DataFram
 
 def sample(df: DataFrame, n: int, key: str = "key", seed: int = 42) -> DataFrame:
     """n rows, the same ones on every run: those with the least seeded hash of their key."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(tx.draw(F.col(key), seed), key).limit(n)
 
 
 def head(df: DataFrame, order: str, n: int | None = None, fraction: float | None = None) -> DataFrame:
