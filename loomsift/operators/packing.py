@@ -122,11 +122,21 @@ def manifest(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy(F.format_string("shard_%08d", F.col("chunk")).alias("shard")).agg(F.count("*").alias("num_sequences"))
 
 
+def filesystem(uri: str):
+    """The file system of a path or URI, and the path in it."""
+    from pyarrow import fs
+
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri.rstrip("/")
+    scheme, _, rest = uri.partition("://")
+    system, path = fs.FileSystem.from_uri(f"s3://{rest}" if scheme in ("s3a", "s3n") else uri)
+    return system, path.rstrip("/")
+
+
 def write_tars(chunks: DataFrame, folder: str) -> DataFrame:
-    """Writes each chunk as a tar of gzipped JSON arrays to a folder that all executors share; returns (shard, num_sequences). A retried task writes the same file again."""
+    """Writes each chunk as a tar of gzipped JSON arrays to a folder that all executors share (a path or a URI, of an object store too); returns (shard, num_sequences). A retried task writes the same file again."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        import os
         import uuid
 
         name = f"shard_{key[0].as_py():08d}"
@@ -138,11 +148,12 @@ def write_tars(chunks: DataFrame, folder: str) -> DataFrame:
                 info = tarfile.TarInfo(f"{key[0].as_py():08d}_{i:08d}.json.gz")
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
-        os.makedirs(folder, exist_ok=True)
-        part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
+        fs, base = filesystem(folder)
+        fs.create_dir(base, recursive=True)
+        part = f"{base}/.{name}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as f:
             f.write(raw.getvalue())
-        os.replace(part, f"{folder}/{name}.tar")
+        fs.move(part, f"{base}/{name}.tar")
         return pa.table({"shard": [name], "num_sequences": pa.array([rows.num_rows], pa.int64())})
 
     return chunks.groupBy("chunk").applyInArrow(run, "shard string, num_sequences bigint")

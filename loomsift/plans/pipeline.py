@@ -63,8 +63,10 @@ class Run:
     aggregates: list[tuple[str, DataFrame]]
 
     def funnel(self) -> list[dict]:
-        """(step, name, rows) of each step, once an action has run."""
-        return [{"step": i, "name": n, "rows": o.get["rows"]} for i, n, o in self.observed]
+        """(step, name, rows, removed, added) of each step, once an action has run; rows are those after it."""
+        rows = [(i, n, o.get["rows"]) for i, n, o in self.observed]
+        before = [r for _, _, r in rows[:1]] + [r for _, _, r in rows[:-1]]
+        return [{"step": i, "name": n, "rows": r, "removed": max(0, b - r), "added": max(0, r - b)} for (i, n, r), b in zip(rows, before)]
 
 
 def compile(df: DataFrame, spec: Spec, observe: bool = True, commit_to: str | None = None) -> Run:
@@ -113,8 +115,10 @@ def process(spark: SparkSession, spec: Spec, source: str, output: str, schema: s
     paths = jsonl.output_paths(output)
     jsonl.write(run.df, paths["data"], mode="overwrite")
     rows = run.funnel()
-    stats = [(r["step"], r["name"], rows[max(0, i - 1)]["rows"], r["rows"], time.time() - began) for i, r in enumerate(rows)]
-    spark.createDataFrame(stats, "step int, name string, pages_in long, pages_out long, total_secs double").coalesce(1).write.mode("overwrite").json(paths["stats"])
+    stats = [(r["step"], r["name"], rows[max(0, i - 1)]["rows"], r["rows"], r["removed"], r["added"], time.time() - began) for i, r in enumerate(rows)]
+    first, last = rows[0]["rows"], rows[-1]["rows"]
+    stats.append((len(rows), "global", first, last, max(0, first - last), max(0, last - first), time.time() - began))
+    spark.createDataFrame(stats, "step int, name string, pages_in long, pages_out long, removed long, added long, total_secs double").coalesce(1).write.mode("overwrite").json(paths["stats"])
     return rows
 
 

@@ -160,3 +160,41 @@ def test_the_rest_works_with_the_llm_folders_deleted(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and e.oracle_sql().keys() <= q.keys() and not any(k.startswith('op') for k in q); import loomsift.plans.registry, loomsift.streaming.pages; print('good')"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip().endswith("good"), done.stderr
+
+
+def test_streams_keep_first_pages_and_count(spark, tmp_path):
+    import json
+
+    from loomsift.streaming import pages as st
+
+    (tmp_path / "in").mkdir()
+    rows = [("2024-01-01T00:00:00", "http://www.a.com/", "x"), ("2024-01-01T00:10:00", "https://a.com", "y"), ("2024-01-01T01:00:00", "http://b.com", "x"), ("2024-01-01T01:30:00", "http://b.com?utm_x=1", "x")]
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps({"ts": t, "url": u, "kind": k}) for t, u, k in rows[:3]))
+    schema = "ts timestamp, url string, kind string"
+
+    def run(build, out):
+        stream = st.write(build(st.read(spark, str(tmp_path / "in"), schema)), str(tmp_path / out), str(tmp_path / f"{out}-state"))
+        stream.awaitTermination(60)
+        return spark.read.parquet(str(tmp_path / out)).collect()
+
+    assert sorted(r.url for r in run(st.distinct_urls, "urls")) in (["http://b.com", "http://www.a.com/"], ["http://b.com", "https://a.com"])
+    (tmp_path / "in" / "2.json").write_text(json.dumps({"ts": rows[3][0], "url": rows[3][1], "kind": rows[3][2]}))
+    assert len(run(st.distinct_urls, "urls")) == 2  # the second run goes on from the state of the first
+    (tmp_path / "in" / "3.json").write_text(json.dumps({"ts": "2024-01-05T00:00:00", "url": "http://z.com", "kind": "z"}))
+    got = run(lambda s: st.counts(s, "ts", "kind"), "counts") and run(lambda s: st.counts(s, "ts", "kind"), "counts")
+    assert {(r.kind, r.n, r.window.start.hour) for r in got} >= {("x", 1, 0), ("y", 1, 0), ("x", 2, 1)}
+
+
+def test_tars_in_a_uri_and_statistics(spark, tmp_path):
+    import json
+
+    ctx = spark.createDataFrame([(0, i, [i, i + 1]) for i in range(5)], "chunk long, place int, tokens array<int>")
+    assert pk.write_tars(ctx, f"file://{tmp_path}/tars").collect()[0].num_sequences == 5
+    assert sorted(r.tokens for r in pk.read_tars(spark, f"file://{tmp_path}/tars").collect()) == [[i, i + 1] for i in range(5)]
+    assert os.listdir(tmp_path / "tars") == ["shard_00000000.tar"]
+    (tmp_path / "in.jsonl").write_text("\n".join(json.dumps({"text": t}) for t in ("a", "bb", "ccc")))
+    spec = pl.Spec.parse("- {source: s, steps: [{func: page_length_filter, length_type: char, min_length: 2}]}")[0]
+    rows = pl.process(spark, spec, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))
+    assert [(r["rows"], r["removed"], r["added"]) for r in rows] == [(3, 0, 0), (2, 1, 0)]
+    stats = spark.read.json(jsonl.output_paths(str(tmp_path / "out"))["stats"]).orderBy("step").collect()
+    assert [(r.name, r.pages_in, r.pages_out, r.removed) for r in stats] == [("input", 3, 3, 0), ("page_length_filter", 3, 2, 1), ("global", 3, 2, 1)]
