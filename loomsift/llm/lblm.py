@@ -24,7 +24,11 @@ Defined results:
   null mean.
 * Tokens are lower-cased words and runs of punctuation. Equal counts are ordered
   by hash. An empty table has no model and gives no rows.
-* Repeated rows are each scored, and count each in training.
+* Repeated rows are each scored, and count each in training. A null doc_id is
+  an id like any other; ids may have any type. Texts of any length are learnt
+  from and scored as a whole. Other columns play no part, whatever their names.
+* How the table is partitioned sets the order of training, and so moves scores
+  a little; the same partitions give the same scores.
 """
 
 from __future__ import annotations

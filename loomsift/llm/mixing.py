@@ -17,6 +17,8 @@ Defined results:
   (or with weight 0 or less) takes no part, and its rows go.
 * A null or empty text has no bytes, and is repeated as its source is; a source
   of no bytes at all stays as it is.
+* Texts of any length count with all their bytes. Sources of equal size get equal
+  repetitions.
 * Rows with the same doc_id draw alike (a null doc_id too). Empty in, empty out.
 * Other columns pass through untouched, whatever their names.
 """

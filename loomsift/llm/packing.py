@@ -16,7 +16,9 @@ is cut: whole windows of it stand alone, the rest is packed.
 Defined results:
 * A null text isn't packed; an empty text is its end mark alone.
 * Repeated rows are packed each on its own. A null doc_id comes last.
-* An empty table gives no rows. Other columns play no part.
+* Rows of one id stand in the order of their lengths; those that tie are alike
+  here. A document of any length fills as many windows as it needs.
+* An empty table gives no rows. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
