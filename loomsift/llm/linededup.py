@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cuckoo import CuckooFilter
-from .state import cut, remove, shared_dir, small_batches
+from .state import cut, release, remove, shared_dir, small_batches
 
 BLANK = r"^[ \t\r]*$"
 KEYS = ["hi", "lo"]
@@ -302,6 +302,7 @@ def dedup_lines(docs: DataFrame, batches: int = 3) -> DataFrame:
         return strip(docs, reduce(DataFrame.unionByName, gone))
     finally:
         store.drop()
+        release(docs.sparkSession)
 
 
 SQL = r"""

@@ -44,7 +44,7 @@ from . import align
 from . import tokens as tk
 from .graph import components
 from .linededup import WHO, _fresh, _who
-from .state import cut, small_batches, table
+from .state import cut, release, small_batches, table
 
 
 @dataclass(frozen=True)
@@ -289,6 +289,7 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
             _nodes(texts.select("t1", "t2", "text"), clashes).join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sequences(p), "node long, seq binary, bins binary").dropDuplicates(["node"])
         ))
         edges = cut(_aligned(cut(_near(star, sequences, p)), sequences, p))
+        release(docs.sparkSession)
         rooted = buckets.select("key", "node", "n").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         # several buckets of the same nodes need one look only

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
-from .state import cut, small_batches
+from .state import cut, release, small_batches
 
 
 @dataclass(frozen=True)
@@ -136,6 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[Model
     weights = _weights(raw, target, p.caution)
     score = _scorer(spark.sparkContext.broadcast(weights), p.buckets)
     held = own.join(sample.where("clean and not fits"), "doc_id").select(score("text").alias("s")).where("s is not null").toArrow().column("s").to_numpy()
+    release(spark)
     limit = float(np.quantile(held, p.clean_loss)) if len(held) and target.any() else -np.inf
     return Model(weights, limit), score(docs["text"])
 

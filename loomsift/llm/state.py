@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -44,6 +45,12 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage. Spark's cleaner goes by that: shuffles, broadcasts and checkpoints that nothing refers to leave disks and memory now, not when the heap happens to be full; finished plans leave the heap."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def table(df: DataFrame):
     """df written as Parquet to the shared folder; it is deleted at the end of the block."""
