@@ -95,4 +95,6 @@ def pack(docs: DataFrame, window: int = WINDOW, per_shard: int = PER_SHARD, leng
             "start": pa.array(start.astype(np.int32)), "doc_start": pa.array(inside), "length": pa.array(n.astype(np.int32)),
         })
 
-    return sized.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")).applyInArrow(run, f"window_id long, doc_id {id_type}, start int, doc_start long, length int")
+    # a number of partitions of its own, which adaptive plans leave alone: lengths are few bytes, but a shard is much work
+    spread = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards))).repartition(2 * shards, "shard")
+    return spread.groupBy("shard").applyInArrow(run, f"window_id long, doc_id {id_type}, start int, doc_start long, length int")
