@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words of a chunk at least, if there are so many; texts aren't cut.
-TOKENS = 1 << 21
+TOKENS = 1 << 20
 #: Bytes of text whose n-grams of one order share a key, at most.
-KEY_BYTES = 32 << 20
+KEY_BYTES = 16 << 20
 _PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _A, _B, _C, _D, _E = (np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -120,14 +120,18 @@ def ranks(g: np.ndarray) -> tuple[np.ndarray, int]:
     """For each of g, the place of its value among the distinct ones in order; how many there are."""
     low = np.uint64((1 << len(g).bit_length()) - 1)
     # numbers sort faster than they argsort: the first bits of the hash, then the place
-    order = (np.sort((g & ~low) | np.arange(len(g), dtype=np.uint64)) & low).astype(np.int64)
+    order = g & ~low
+    order |= np.arange(len(g), dtype=np.uint64)
+    order.sort()
+    order &= low
+    order = order.view(np.int64)
     s = g[order]
     if (s[1:] < s[:-1]).any():
         order = np.argsort(g)
         s = g[order]
-    new = np.concatenate((np.zeros(min(1, len(s)), np.int64), (s[1:] != s[:-1]).astype(np.int64)))
+    new = np.concatenate((np.zeros(min(1, len(s)), bool), s[1:] != s[:-1]))
     out = np.empty(len(g), np.int64)
-    out[order] = rank = np.cumsum(new)
+    out[order] = rank = np.cumsum(new, dtype=np.int64)
     return out, int(rank[-1]) + 1 if len(g) else 0
 
 

@@ -248,7 +248,7 @@ def test_perplexity_shuffles_no_row_for_an_ngram(spark, monkeypatch):
     few = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:40])], "doc_id long, text string")
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "<s> <s> a </s>", texts[0]])], "doc_id long, text string")
     got = []
-    for tokens, size in ((1 << 21, 32 << 20), (300, 400)):
+    for tokens, size in ((1 << 20, 16 << 20), (300, 400)):
         monkeypatch.setattr(ngrams, "TOKENS", tokens)
         monkeypatch.setattr(ngrams, "KEY_BYTES", size)
         model = providers.NgramModel.train(few)
